@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from mailweave.functions.text import query_len
 from mailweave.functions.vectors import semantic_weight
-from mailweave.operators.joins import attach
+from mailweave.operators.joins import ROW_BYTES, attach
+from mailweave.operators.mailbox import FOLDERS
 from mailweave.operators.ranking import by_score, rank_within, top_n
 
 RRF_K = 60
@@ -83,9 +84,10 @@ def combine(
         for f, name in ((F.min, "low"), (F.max, "high"), (F.count, "n"))
     ]
     weights = queries.select("qid", semantic_weight(query_len(F.col("query"))).alias("length_weight"))
+    per_query = queries.count() * len(FOLDERS) * 2 * ROW_BYTES
     stats = merged.groupBy(*KEYS).agg(*bounds)
-    stats = attach(stats, sizes, ["folder"], ["qid"])
-    stats = attach(stats, weights, ["qid"], ["folder"])
+    stats = attach(stats, sizes, ["folder"], ["qid"], size=len(FOLDERS) * ROW_BYTES)
+    stats = attach(stats, weights, ["qid"], ["folder"], size=per_query)
     stats = _filled(_filled(stats, "sem"), "kw").withColumn(
         "w",
         F.when((F.col("sem_n") > 0) & (F.col("kw_n") > 0), F.col("length_weight"))
@@ -97,18 +99,20 @@ def combine(
         F.col(f"{c}_n") > 0,
         scaled(F.coalesce(c, F.lit(0.0)), F.col(f"{c}_lo"), F.col(f"{c}_hi")),
     ).otherwise(0.0)
-    scored = attach(merged, stats, KEYS, ["Id"], "inner").select(
+    scored = attach(merged, stats, KEYS, ["Id"], "inner", per_query).select(
         *KEYS, "Id", blend(value("sem"), value("kw")).alias("score")
     )
     if not hits_only:
         rest = stats.withColumn("score", blend(F.col("sem_zero"), F.col("kw_zero")))
-        scored = scored.unionByName(_unscored(rest, merged, ids, n))
+        scored = scored.unionByName(_unscored(rest, merged, ids, n, per_query))
     if n is None:
         return rank_within(scored, KEYS, by_score(), group_rows=largest)
     return top_n(scored, KEYS, n, by_score(), group_rows=largest)
 
 
-def _unscored(rest: DataFrame, merged: DataFrame, ids: DataFrame, n: int | None) -> DataFrame:
+def _unscored(
+    rest: DataFrame, merged: DataFrame, ids: DataFrame, n: int | None, size: int
+) -> DataFrame:
     """Rows of unscored mails that can reach the result, with their common score.
 
     With positive scores the unscored mails rank last, in id order, so a query with fewer
@@ -116,16 +120,16 @@ def _unscored(rest: DataFrame, merged: DataFrame, ids: DataFrame, n: int | None)
     ranking, or scores at or below 0, needs all mails of a folder for the query.
     """
     incomplete = rest.filter(F.greatest("sem_n", "kw_n") < F.col("n_docs"))
-    needed = incomplete.select(*KEYS, "score")
+    pairs = lambda mails, wanted: attach(
+        mails, wanted.select(*KEYS, "score"), ["folder"], ["Id"], "inner", size
+    )
     if n is None:
-        pool = attach(ids, needed, ["folder"], ["Id"], "inner")
+        pool = pairs(ids, incomplete)
     else:
         deep = (F.coalesce("sem_low", F.lit(1.0)) <= 0) | (F.coalesce("kw_low", F.lit(1.0)) <= 0)
-        short = incomplete.filter(~deep & (F.greatest("sem_n", "kw_n") < n)).select(*KEYS, "score")
+        short = incomplete.filter(~deep & (F.greatest("sem_n", "kw_n") < n))
         lowest = top_n(ids, ["folder"], 3 * n, [F.col("Id").asc()]).drop("rank")
-        pool = attach(lowest, short, ["folder"], ["Id"], "inner").unionByName(
-            attach(ids, incomplete.filter(deep).select(*KEYS, "score"), ["folder"], ["Id"], "inner")
-        )
+        pool = pairs(lowest, short).unionByName(pairs(ids, incomplete.filter(deep)))
     return pool.join(merged.select(*KEYS, "Id"), [*KEYS, "Id"], "left_anti").select(
         *KEYS, "Id", "score"
     )

@@ -27,16 +27,15 @@ def _width(field: T.StructField) -> Column:
     return F.lit(8)
 
 
+ROW_BYTES = 64
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Approximate in-memory size, from one distributed aggregation."""
-    width = sum((_width(f) for f in df.schema.fields), F.lit(16))
+    width = sum((_width(f) for f in df.schema.fields), F.lit(ROW_BYTES))
     return int(df.agg(F.sum(width.cast("bigint"))).first()[0] or 0)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    return measured_bytes(df) <= broadcast_limit(df)
-
-
 def salted_join(
     big: DataFrame,
     side: DataFrame,
@@ -74,8 +73,12 @@ def attach(
     keys: list[str],
     spread: list[str],
     how: str = "left",
+    size: int | None = None,
 ) -> DataFrame:
-    """Join ``side`` to ``big``: broadcast when ``side`` is measured small, else salted."""
-    if fits_broadcast(side):
+    """Join ``side`` to ``big``: broadcast when ``side`` is small, else salted.
+
+    The size of ``side`` is measured, unless the caller knows a bound in bytes.
+    """
+    if (measured_bytes(side) if size is None else size) <= broadcast_limit(side):
         return big.join(F.broadcast(side), keys, how)
     return salted_join(big, side, keys, spread, how)

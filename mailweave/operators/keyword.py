@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailweave.functions.text import extract_alias, tokens
-from mailweave.operators.joins import attach
+from mailweave.operators.joins import ROW_BYTES, attach, measured_bytes
+from mailweave.operators.mailbox import FOLDERS
 from mailweave.operators.ranking import by_score, top_n
 from mailweave.sources.postings import Index
 
@@ -24,15 +25,17 @@ def query_terms(queries: DataFrame, text_col: str = "query") -> DataFrame:
     return words.groupBy("qid", "term").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
-def term_weights(index: Index, terms: DataFrame, fields: tuple[str, ...], k1: float = K1) -> DataFrame:
-    """Join query terms with the dictionary: one weighted row per folder, field and term.
-
-    Only the dictionary is read here, never the postings.
+def term_weights(
+    index: Index, terms: DataFrame, fields: tuple[str, ...], size: int, k1: float = K1
+) -> DataFrame:
+    """Join query terms of ``size`` bytes with the dictionary: one weighted row per folder,
+    field and term. Only the dictionary is read here, never the postings.
     """
     dictionary = index.terms.filter(F.col("field").isin(*fields))
     keys = ["term"] + (["field"] if "field" in terms.columns else [])
-    matched = attach(dictionary, terms, keys, ["folder", "field"], "inner")
-    known = attach(matched, index.fields, ["folder", "field"], ["qid", "term"], "inner")
+    matched = attach(dictionary, terms, keys, ["folder", "field"], "inner", size)
+    statistics = len(fields) * len(FOLDERS) * ROW_BYTES
+    known = attach(matched, index.fields, ["folder", "field"], ["qid", "term"], "inner", statistics)
     idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     return known.select(
         "folder",
@@ -44,13 +47,20 @@ def term_weights(index: Index, terms: DataFrame, fields: tuple[str, ...], k1: fl
     )
 
 
-def _contributions(index: Index, weights: DataFrame, k1: float, b: float) -> DataFrame:
+def _contributions(
+    index: Index, weights: DataFrame, size: int, k1: float, b: float
+) -> DataFrame:
     keys = ["folder", "field", "term"]
-    hits = attach(index.postings, weights, keys, ["Id"], "inner")
+    hits = attach(index.postings, weights, keys, ["Id"], "inner", size)
     saturation = F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len"))
     return hits.withColumn("part", F.col("gain") * F.col("tf") / saturation)
 
 
+def _weighted_size(size: int, fields: tuple[str, ...]) -> int:
+    """A query term becomes at most one row per folder and field."""
+    return size * len(fields) * len(FOLDERS)
+
+
 def bm25(
     queries: DataFrame,
     index: Index,
@@ -60,9 +70,11 @@ def bm25(
     text_col: str = "query",
 ) -> DataFrame:
     """``(folder, qid, field, Id, score)`` for every mail that shares a word with the query."""
-    weights = term_weights(index, query_terms(queries, text_col), fields, k1)
+    terms = query_terms(queries, text_col)
+    size = measured_bytes(terms)
+    weights = term_weights(index, terms, fields, size, k1)
     return (
-        _contributions(index, weights, k1, b)
+        _contributions(index, weights, _weighted_size(size, fields), k1, b)
         .groupBy("folder", "qid", "field", "Id")
         .agg(F.sum("part").alias("score"))
     )
@@ -82,10 +94,15 @@ def match_best_field(
     ``sender_terms(qid, field, term, weight)`` adds a boosted sender score, which never
     makes a hit by itself. Both come from one join and one aggregation of the postings.
     """
-    weights = term_weights(index, query_terms(queries, text_col), fields, k1)
+    terms = query_terms(queries, text_col)
+    size = measured_bytes(terms)
+    total = _weighted_size(size, fields)
+    weights = term_weights(index, terms, fields, size, k1)
     if sender_terms is not None:
-        weights = weights.unionByName(term_weights(index, sender_terms, ("sender",), k1))
-    parts = _contributions(index, weights, k1, b)
+        size = measured_bytes(sender_terms)
+        total += _weighted_size(size, ("sender",))
+        weights = weights.unionByName(term_weights(index, sender_terms, ("sender",), size, k1))
+    parts = _contributions(index, weights, total, k1, b)
     sums = [F.sum(F.when(F.col("field") == f, F.col("part"))).alias(f"_{f}") for f in fields]
     sender = F.coalesce(F.sum(F.when(F.col("field") == "sender", F.col("part"))), F.lit(0.0))
     scored = parts.groupBy("folder", "qid", "Id").agg(
