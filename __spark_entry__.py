@@ -472,7 +472,7 @@ def q_hit_cap(spark, sf):
 
 
 def q_l2_normalize(spark, sf):
-    scaled = F.transform("embedding", lambda x: x * 3)
+    scaled = F.transform("embedding", lambda x: x.cast("double") * 3)
     rows = table(spark, sf, "embeddings").select("vec_id", F.posexplode(l2_normalize(scaled)).alias("pos", "value"))
     return rows.select(
         "vec_id", F.col("pos").cast("bigint").alias("pos"), F.round(F.col("value").cast("double"), 5).alias("value")
@@ -949,7 +949,7 @@ eq AS (SELECT vec_id // 4 AS qid, vec_id % 4 AS variant_no, embedding AS v FROM
     def letter_vectors(rows: str, keys: str) -> str:
         return f"""WITH x AS ({rows}), l AS ({letters}),
 n AS (SELECT {keys}, pos, len(text) - len(replace(text, c, '')) AS k FROM x CROSS JOIN l)
-SELECT {keys}, CAST(pos AS BIGINT) AS pos, round(CAST(CAST(k / greatest(sqrt(sum(k * k) OVER (PARTITION BY {keys})), 1e-12) AS FLOAT) AS DOUBLE), 5) AS value FROM n"""
+SELECT {keys}, CAST(pos AS BIGINT) AS pos, round(CAST(CAST(k / greatest(sqrt(sum(k * k) OVER (PARTITION BY {keys})), 1e-12) AS FLOAT) AS DOUBLE), 5) + 0.0 AS value FROM n"""
 
     sql = {
         "tokens": f"SELECT doc_id, len({_tokens('text')}) AS n_tokens, md5(array_to_string({_tokens('text')}, ' ')) AS words_md5 FROM documents",
@@ -1014,13 +1014,13 @@ WHERE bonus > 0 AND (q.sender NOT IN (SELECT Name FROM names)
         "hit_cap": f"""WITH {boosted}, c AS (SELECT folder, qid, Id, best + sender + bonus AS score FROM boosted)
 SELECT folder, qid, Id, round(score, 6) AS score FROM {_ranked('c', 'folder, qid')} WHERE rank < 500""",
         "l2_normalize": """WITH x AS (SELECT vec_id, unnest(range(64)) AS pos, embedding FROM embeddings),
-y AS (SELECT vec_id, pos, CAST(embedding[pos + 1] * 3 AS DOUBLE) AS e FROM x)
-SELECT vec_id, pos, round(CAST(CAST(e / sqrt(sum(e * e) OVER (PARTITION BY vec_id)) AS FLOAT) AS DOUBLE), 5) AS value FROM y""",
+y AS (SELECT vec_id, pos, CAST(embedding[pos + 1] AS DOUBLE) * 3 AS e FROM x)
+SELECT vec_id, pos, round(CAST(CAST(e / sqrt(sum(e * e) OVER (PARTITION BY vec_id)) AS FLOAT) AS DOUBLE), 5) + 0.0 AS value FROM y""",
         "dense_top10": f"""WITH {given}, {_fuse('eq', 'ev')}
 SELECT folder, qid, variant_no, Id, round(score, 6) AS score, rank FROM {_ranked('prod', 'folder, qid, variant_no')} WHERE rank < 10""",
         "rrf_fused": f"WITH {given}, {_fuse('eq', 'ev')} SELECT folder, qid, Id, round(score, 6) AS score FROM sem",
         "vector_table": f"""WITH {MAILS}, {_hashed('mv', 'mails', 'folder, Id', 'subject || chr(10) || body')}
-SELECT folder, Id, len(v) AS dim, round(list_sum(v::DOUBLE[]), 5) AS total FROM mv""",
+SELECT folder, Id, len(v) AS dim, round(list_sum(v::DOUBLE[]), 5) + 0.0 AS total FROM mv""",
         "embed_model": letter_vectors("SELECT doc_id, text FROM documents", "doc_id"),
         "embed_queries_model": letter_vectors(
             f"WITH {VARIANTS} SELECT qid, CAST(variant_no AS BIGINT) AS variant_no, 'Instruct: {tx.QUERY_TASK}' || chr(10) || 'Query: ' || variant AS text FROM vr",

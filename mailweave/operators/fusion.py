@@ -10,6 +10,7 @@ from mailweave.functions.vectors import semantic_weight
 from mailweave.operators.joins import ROW_BYTES, attach
 from mailweave.operators.mailbox import FOLDERS
 from mailweave.operators.ranking import by_score, rank_within, top_n
+from mailweave.session import stored
 
 RRF_K = 60
 KEYS = ["folder", "qid"]
@@ -75,9 +76,9 @@ def combine(
     else:
         raise ValueError("at least one ranking is needed")
 
+    merged = stored(merged, "scores")
     ids = corpus.select("folder", "Id")
     sizes = ids.groupBy("folder").agg(F.count(F.lit(1)).alias("n_docs"))
-    largest = sizes.agg(F.max("n_docs")).first()[0] or 0
     bounds = [
         f(c).alias(f"{c}_{name}")
         for c in ("sem", "kw")
@@ -99,37 +100,38 @@ def combine(
         F.col(f"{c}_n") > 0,
         scaled(F.coalesce(c, F.lit(0.0)), F.col(f"{c}_lo"), F.col(f"{c}_hi")),
     ).otherwise(0.0)
+    positive = (F.coalesce("sem_low", F.lit(1.0)) > 0) & (F.coalesce("kw_low", F.lit(1.0)) > 0)
+    hits = F.greatest("sem_n", "kw_n")
+    incomplete = hits < F.col("n_docs")
+    short = incomplete & positive & (hits < n) if n is not None else F.lit(False)
+    deep = incomplete if n is None else incomplete & ~positive
+    rest_score = blend(F.col("sem_zero"), F.col("kw_zero")).alias("rest")
+    stats = stored(stats.select("*", rest_score, short.alias("short"), deep.alias("deep")), "bounds")
+
     scored = attach(merged, stats, KEYS, ["Id"], "inner", per_query).select(
         *KEYS, "Id", blend(value("sem"), value("kw")).alias("score")
     )
+    facts = stats.agg(F.max("n_docs"), F.max("short"), F.max("deep")).first()
     if not hits_only:
-        rest = stats.withColumn("score", blend(F.col("sem_zero"), F.col("kw_zero")))
-        scored = scored.unionByName(_unscored(rest, merged, ids, n, per_query))
+        seen = merged.select(*KEYS, "Id")
+        if facts[1]:
+            lowest = top_n(ids, ["folder"], 3 * n, [F.col("Id").asc()]).drop("rank")
+            scored = scored.unionByName(_rest(stats.filter("short"), lowest, seen, per_query))
+        if facts[2]:
+            scored = scored.unionByName(_rest(stats.filter("deep"), ids, seen, per_query))
+    group_rows = facts[0] or 0
     if n is None:
-        return rank_within(scored, KEYS, by_score(), group_rows=largest)
-    return top_n(scored, KEYS, n, by_score(), group_rows=largest)
+        return rank_within(scored, KEYS, by_score(), group_rows=group_rows)
+    return top_n(scored, KEYS, n, by_score(), group_rows=group_rows)
 
 
-def _unscored(
-    rest: DataFrame, merged: DataFrame, ids: DataFrame, n: int | None, size: int
-) -> DataFrame:
-    """Rows of unscored mails that can reach the result, with their common score.
+def _rest(stats: DataFrame, mails: DataFrame, seen: DataFrame, size: int) -> DataFrame:
+    """``mails`` that the queries of ``stats`` have not scored, with their common score.
 
-    With positive scores the unscored mails rank last, in id order, so a query with fewer
-    than ``n`` hits needs at most the ``3 n`` lowest ids of its folder. Only a full
-    ranking, or scores at or below 0, needs all mails of a folder for the query.
+    With positive scores unscored mails rank last, in id order: a query with fewer than n
+    hits needs at most the ``3 n`` lowest ids of its folder. Only a full ranking, or scores
+    at or below 0, pairs a query with all mails of the folder.
     """
-    incomplete = rest.filter(F.greatest("sem_n", "kw_n") < F.col("n_docs"))
-    pairs = lambda mails, wanted: attach(
-        mails, wanted.select(*KEYS, "score"), ["folder"], ["Id"], "inner", size
-    )
-    if n is None:
-        pool = pairs(ids, incomplete)
-    else:
-        deep = (F.coalesce("sem_low", F.lit(1.0)) <= 0) | (F.coalesce("kw_low", F.lit(1.0)) <= 0)
-        short = incomplete.filter(~deep & (F.greatest("sem_n", "kw_n") < n))
-        lowest = top_n(ids, ["folder"], 3 * n, [F.col("Id").asc()]).drop("rank")
-        pool = pairs(lowest, short).unionByName(pairs(ids, incomplete.filter(deep)))
-    return pool.join(merged.select(*KEYS, "Id"), [*KEYS, "Id"], "left_anti").select(
-        *KEYS, "Id", "score"
-    )
+    wanted = stats.select(*KEYS, F.col("rest").alias("score"))
+    pairs = attach(mails, wanted, ["folder"], ["Id"], "inner", size)
+    return pairs.join(seen, [*KEYS, "Id"], "left_anti").select(*KEYS, "Id", "score")

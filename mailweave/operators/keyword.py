@@ -9,7 +9,8 @@ from mailweave.functions.text import extract_alias, tokens
 from mailweave.operators.joins import ROW_BYTES, attach, measured_bytes
 from mailweave.operators.mailbox import FOLDERS
 from mailweave.operators.ranking import by_score, top_n
-from mailweave.sources.postings import Index
+from mailweave.session import stored
+from mailweave.sources.postings import FIELDS, Index
 
 # BM25 parameters and boosts.
 K1 = 1.2
@@ -19,48 +20,42 @@ DATE_BOOST = 1.5
 MATCH_FIELDS = ("subject", "body")
 
 
-def query_terms(queries: DataFrame, text_col: str = "query") -> DataFrame:
-    """``(qid, term, weight)``; a repeated word counts as often as it occurs."""
+def query_terms(queries: DataFrame, fields: tuple[str, ...], text_col: str = "query") -> DataFrame:
+    """``(qid, field, term, weight)``; a repeated word counts as often as it occurs."""
     words = queries.select("qid", F.explode(tokens(F.col(text_col))).alias("term"))
-    return words.groupBy("qid", "term").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    counted = words.groupBy("qid", "term").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    field = F.explode(F.array(*[F.lit(f) for f in fields])).alias("field")
+    return counted.select("qid", field, "term", "weight")
 
 
-def term_weights(
-    index: Index, terms: DataFrame, fields: tuple[str, ...], size: int, k1: float = K1
-) -> DataFrame:
-    """Join query terms of ``size`` bytes with the dictionary: one weighted row per folder,
-    field and term. Only the dictionary is read here, never the postings.
+def contributions(index: Index, terms: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
+    """Posting rows that match ``terms(qid, field, term, weight)`` with their share ``part``.
+
+    The terms are weighted by the dictionary first, where each becomes at most one row per
+    folder. The postings are then read once and, with few terms, not shuffled.
     """
-    dictionary = index.terms.filter(F.col("field").isin(*fields))
-    keys = ["term"] + (["field"] if "field" in terms.columns else [])
-    matched = attach(dictionary, terms, keys, ["folder", "field"], "inner", size)
-    statistics = len(fields) * len(FOLDERS) * ROW_BYTES
-    known = attach(matched, index.fields, ["folder", "field"], ["qid", "term"], "inner", statistics)
+    wanted = stored(terms, "terms")
+    size = measured_bytes(wanted)
+    folders = len(FOLDERS)
+    matched = attach(index.terms, wanted, ["field", "term"], ["folder"], "inner", size)
+    known = attach(
+        matched,
+        index.fields,
+        ["folder", "field"],
+        ["qid", "term"],
+        "inner",
+        len(FIELDS) * folders * ROW_BYTES,
+    )
     idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    return known.select(
-        "folder",
-        "field",
-        "term",
-        "qid",
-        (F.col("weight") * idf * (k1 + 1)).alias("gain"),
-        "avg_len",
+    gain = F.col("weight") * idf * (k1 + 1)
+    weights = known.select("folder", "field", "term", "qid", gain.alias("gain"), "avg_len")
+    hits = attach(
+        index.postings, weights, ["folder", "field", "term"], ["Id"], "inner", size * folders
     )
-
-
-def _contributions(
-    index: Index, weights: DataFrame, size: int, k1: float, b: float
-) -> DataFrame:
-    keys = ["folder", "field", "term"]
-    hits = attach(index.postings, weights, keys, ["Id"], "inner", size)
     saturation = F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len"))
     return hits.withColumn("part", F.col("gain") * F.col("tf") / saturation)
 
 
-def _weighted_size(size: int, fields: tuple[str, ...]) -> int:
-    """A query term becomes at most one row per folder and field."""
-    return size * len(fields) * len(FOLDERS)
-
-
 def bm25(
     queries: DataFrame,
     index: Index,
@@ -70,11 +65,8 @@ def bm25(
     text_col: str = "query",
 ) -> DataFrame:
     """``(folder, qid, field, Id, score)`` for every mail that shares a word with the query."""
-    terms = query_terms(queries, text_col)
-    size = measured_bytes(terms)
-    weights = term_weights(index, terms, fields, size, k1)
     return (
-        _contributions(index, weights, _weighted_size(size, fields), k1, b)
+        contributions(index, query_terms(queries, fields, text_col), k1, b)
         .groupBy("folder", "qid", "field", "Id")
         .agg(F.sum("part").alias("score"))
     )
@@ -94,18 +86,12 @@ def match_best_field(
     ``sender_terms(qid, field, term, weight)`` adds a boosted sender score, which never
     makes a hit by itself. Both come from one join and one aggregation of the postings.
     """
-    terms = query_terms(queries, text_col)
-    size = measured_bytes(terms)
-    total = _weighted_size(size, fields)
-    weights = term_weights(index, terms, fields, size, k1)
+    terms = query_terms(queries, fields, text_col)
     if sender_terms is not None:
-        size = measured_bytes(sender_terms)
-        total += _weighted_size(size, ("sender",))
-        weights = weights.unionByName(term_weights(index, sender_terms, ("sender",), size, k1))
-    parts = _contributions(index, weights, total, k1, b)
+        terms = terms.unionByName(sender_terms)
     sums = [F.sum(F.when(F.col("field") == f, F.col("part"))).alias(f"_{f}") for f in fields]
     sender = F.coalesce(F.sum(F.when(F.col("field") == "sender", F.col("part"))), F.lit(0.0))
-    scored = parts.groupBy("folder", "qid", "Id").agg(
+    scored = contributions(index, terms, k1, b).groupBy("folder", "qid", "Id").agg(
         *sums, sender.alias("sender"), F.max("date_sent").alias("date_sent")
     )
     best = F.greatest(*[F.coalesce(F.col(f"_{f}"), F.lit(0.0)) for f in fields])

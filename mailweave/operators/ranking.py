@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailweave.session import durable
+from mailweave.session import stored
 
 WINDOW_CONF = "spark.mailweave.windowRows"
 WINDOW_ROWS = 1_000_000
@@ -37,18 +37,19 @@ def rank_within(
     ``group_rows`` is a known bound on the rows of a group. Small groups use one window.
     Larger or unknown ones are range-partitioned on keys and order, so that a group spans
     as many tasks as it needs; each row then adds the number of rows of its group in the
-    partitions before its own. The partitioned rows are checkpointed first, because range
-    bounds come from a sample and must not change between the two uses.
+    partitions before its own. The placed rows are stored first, because range bounds come
+    from a sample and must not change between the two uses.
     """
     if group_rows is not None and group_rows <= _window_rows(df):
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = durable(
+    placed = stored(
         df.repartitionByRange(parts, *keys, *order)
         .sortWithinPartitions(*keys, *order)
-        .withColumn("_pos", F.monotonically_increasing_id())
+        .withColumn("_pos", F.monotonically_increasing_id()),
+        "placed",
     ).withColumn("_part", F.shiftright("_pos", 33))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (

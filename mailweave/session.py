@@ -1,4 +1,4 @@
-"""Session helpers: a local session for tests, durable lineage cuts, scratch paths."""
+"""Session helpers: a local session for tests, stored intermediate tables, scratch paths."""
 
 from __future__ import annotations
 
@@ -44,7 +44,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Cuts the lineage: several uses read one result, and a lost executor costs no recompute.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
