@@ -36,12 +36,12 @@ from mailweave.operators.query_parse import (
 from mailweave.operators.ranking import by_score, hit_cap, number_docs, rank_all, top_n
 from mailweave.plans.evaluation import evaluate
 from mailweave.plans.mailboxes import build_mailboxes, build_vectors
-from mailweave.plans.search import Store, fetch, search, search_scores
+from mailweave.plans.search import Store, fetch, open_store, search, search_scores
 from mailweave.session import scratch_path
 from mailweave.sources import raw as rw
 from mailweave.sources import reports as rp
 from mailweave.sources import store as st
-from mailweave.sources.postings import build_postings, stored_index
+from mailweave.sources.postings import build_postings
 
 OWNER = "nation_7$"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,8 +189,7 @@ def store(spark: SparkSession, sf: str) -> Store:
     """Mails, their hashed vectors and their written keyword index; built once per session."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _stores:
-        rows = corpus(spark, sf)
-        _stores[key] = Store(rows, build_vectors(rows), stored_index(rows), alias_rows(spark, sf))
+        _stores[key] = open_store(corpus(spark, sf), alias_rows(spark, sf))
     return _stores[key]
 
 
@@ -702,6 +701,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 # --------------------------------------------------------------------------- SQL
 
+TIE = "(score * 131073.0::DOUBLE) - (score * 131073.0::DOUBLE - score)"
 PAT = tx.TOKEN.replace("'", "''")
 WS = r"\s\x0B\x1C-\x1F\x{85}\p{Z}"
 NOT_WORD = rf"[^\p{{L}}\p{{N}}_{WS}]"
@@ -851,7 +851,7 @@ def _hashed(name: str, rows: str, keys: str, text: str, extra: str = "") -> str:
 
 
 def _ranked(scores: str, parts: str) -> str:
-    return f"(SELECT *, row_number() OVER (PARTITION BY {parts} ORDER BY round(score * 1e12) DESC, Id) - 1 AS rank FROM {scores})"
+    return f"(SELECT *, row_number() OVER (PARTITION BY {parts} ORDER BY {TIE} DESC, Id) - 1 AS rank FROM {scores})"
 
 
 def _fuse(queries: str, vectors: str) -> str:
@@ -930,7 +930,7 @@ q AS (SELECT qid, set_id, grp, query AS raw, CASE WHEN kept = '' THEN lower({_st
 b4 AS (SELECT folder, set_id, Id, max(score) AS score, arg_min(qid, rank_in) AS qid FROM (
   SELECT *, row_number() OVER (PARTITION BY folder, set_id, Id ORDER BY score DESC, qid) AS rank_in FROM rk) GROUP BY ALL),
 best4 AS (SELECT *, row_number() OVER (PARTITION BY folder, set_id
-  ORDER BY round(score * 1e12) DESC, CAST(Id AS VARCHAR)) - 1 AS rank FROM b4)"""
+  ORDER BY """ + TIE + """ DESC, CAST(Id AS VARCHAR)) - 1 AS rank FROM b4)"""
     given = """
 ev AS (SELECT CASE WHEN vec_id % 4 = 0 THEN 'sent' ELSE 'inbox' END AS folder, vec_id AS Id, embedding AS v FROM embeddings),
 eq AS (SELECT vec_id // 4 AS qid, vec_id % 4 AS variant_no, embedding AS v FROM embeddings)"""

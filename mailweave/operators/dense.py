@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailweave.operators.joins import broadcast_limit, measured_bytes
-from mailweave.operators.ranking import by_score, rank_within, top_n
+from mailweave.operators.ranking import by_score, rank_within, tie_key, top_n
 
 SCORES = "folder string, qid bigint, variant_no int, Id bigint, score double"
 SCORE_SCHEMA = pa.schema(
@@ -54,8 +54,8 @@ def _score_batch(
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of the ``depth`` best of one list: score down to 12 decimals, then id up."""
-    keyed = np.rint(scores * 1e12)
+    """Positions of the ``depth`` best of one list: score down, then id up."""
+    keyed = tie_key(scores)
     if len(keyed) > depth:
         floor = np.partition(keyed, len(keyed) - depth)[len(keyed) - depth]
         rows = np.nonzero(keyed >= floor)[0]

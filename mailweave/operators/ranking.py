@@ -12,13 +12,23 @@ WINDOW_ROWS = 1_000_000
 GROUP_LIMIT = 1000
 
 
-def by_score(score: str = "score", tie: Column | str = "Id") -> list[Column]:
-    """Ranking order: score down to 12 decimals, then id up.
+TIE_SPLIT = 2.0**17 + 1
+
+
+def tie_key(score):
+    """``score`` rounded to 36 bits, about 11 digits; works on columns and arrays.
 
-    Equal sums added up in another order differ in the last bits and must still tie.
+    Equal sums added up in another order differ in their last bits and must still tie.
+    The rounding is relative, so the small steps of fused ranks stay apart.
     """
+    split = score * TIE_SPLIT
+    return split - (split - score)
+
+
+def by_score(score: str = "score", tie: Column | str = "Id") -> list[Column]:
+    """Ranking order: score down, then id up."""
     tie = F.col(tie) if isinstance(tie, str) else tie
-    return [F.rint(F.col(score) * 1e12).desc(), tie.asc()]
+    return [tie_key(F.col(score)).desc(), tie.asc()]
 
 
 def _window_rows(df: DataFrame) -> int:

@@ -16,6 +16,7 @@ from mailweave.operators.keyword import keyword_search
 from mailweave.operators.query_parse import expand_queries, parse_queries
 from mailweave.operators.ranking import hit_cap
 from mailweave.plans.mailboxes import build_vectors
+from mailweave.session import stored
 from mailweave.sources.postings import Index, stored_index
 from mailweave.sources.store import check_folder
 
@@ -47,8 +48,12 @@ def open_store(
     encoder: Callable[[], Encoder] | None = None,
     dim: int = 64,
 ) -> Store:
-    """Build vectors and keyword index of a corpus."""
-    return Store(corpus, build_vectors(corpus, encoder, dim=dim), stored_index(corpus), aliases)
+    """Build vectors and keyword index of a corpus in the shared folder.
+
+    Encoding is heavy per mail, so the mails are spread first.
+    """
+    vectors = build_vectors(corpus.repartition("Id"), encoder, dim=dim)
+    return Store(corpus, stored(vectors, "vectors"), stored_index(corpus), aliases)
 
 
 def semantic_search(
