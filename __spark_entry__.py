@@ -23,7 +23,7 @@ from mailweave.functions import text as tx
 from mailweave.functions.vectors import hash_encode, l2_normalize, rank_decay, semantic_weight
 from mailweave.operators import mailbox as mb
 from mailweave.operators import metrics as mt
-from mailweave.operators.dense import dense_rank_all
+from mailweave.operators.dense import dense_rank_all, dense_scores
 from mailweave.operators.encode import embed, embed_queries
 from mailweave.operators.fusion import combine, min_max, rrf
 from mailweave.operators.keyword import bm25, keyword_search, match_best_field, sender_terms
@@ -186,10 +186,12 @@ _stores: dict[tuple[str, str], Store] = {}
 
 
 def store(spark: SparkSession, sf: str) -> Store:
-    """Mails, their hashed vectors and their written keyword index; built once per session."""
+    """Mails, their hashed vectors and their keyword index, all written; built once per session."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _stores:
-        _stores[key] = open_store(corpus(spark, sf), alias_rows(spark, sf))
+        path = scratch_path(spark, "mailbox")
+        st.write_mailbox(corpus(spark, sf), path)
+        _stores[key] = open_store(st.load_corpus(spark, path), alias_rows(spark, sf))
     return _stores[key]
 
 
@@ -528,8 +530,7 @@ def q_embed_queries_model(spark, sf):
 
 def q_min_max(spark, sf):
     hits = match_best_field(benchmark(spark, sf), store(spark, sf).index)
-    scores = hits.filter("folder = 'inbox'").unionByName(hits.filter("folder = 'sent'"))
-    scores = scores.select(F.concat_ws("-", "folder", "qid").alias("key"), "Id", F.col("best").alias("score"))
+    scores = hits.select(F.concat_ws("-", "folder", "qid").alias("key"), "Id", F.col("best").alias("score"))
     return min_max(scores, "key").select("key", "Id", F.round("norm", 6).alias("norm"))
 
 
@@ -538,9 +539,9 @@ def q_combined_top10(spark, sf):
     s = store(spark, sf)
     queries = benchmark(spark, sf)
     known = given_vectors(spark, sf).join(s.corpus.select("folder", "Id"), ["folder", "Id"], "left_semi")
-    # Vectors carry signed scores, so mails without one rank in the middle.
-    wanted = vector_queries(spark, sf).filter("variant_no = 0").join(queries.select("qid"), "qid", "left_semi")
-    sem = dense_rank_all(wanted, known).select("folder", "qid", "Id", "score")
+    # Products of vectors are signed, so mails without one rank in the middle.
+    wanted = vector_queries(spark, sf).join(queries.select("qid"), "qid", "left_semi")
+    sem = dense_scores(wanted, known).groupBy("folder", "qid", "Id").agg(F.max("score").alias("score"))
     kw = match_best_field(queries, s.index).select("folder", "qid", "Id", F.col("best").alias("score"))
     return rounded(combine(sem, kw, queries, s.corpus, n=10), "score")
 
@@ -1030,8 +1031,8 @@ SELECT folder, Id, len(v) AS dim, round(list_sum(v::DOUBLE[]), 5) + 0.0 AS total
 round(coalesce((score - min(score) OVER w) / nullif(max(score) OVER w - min(score) OVER w, 0), 0), 6) AS norm
 FROM best WINDOW w AS (PARTITION BY folder, qid)""",
         "combined_top10": f"""WITH {KW_CHAIN}, {given},
-es AS (SELECT v.folder, e.qid, v.Id, list_dot_product(e.v::DOUBLE[], v.v::DOUBLE[]) AS score
-  FROM eq e CROSS JOIN ev v WHERE e.variant_no = 0 AND v.Id IN (SELECT Id FROM mails) AND e.qid IN (SELECT qid FROM q)),
+es AS (SELECT v.folder, e.qid, v.Id, max(list_dot_product(e.v::DOUBLE[], v.v::DOUBLE[])) AS score
+  FROM eq e CROSS JOIN ev v WHERE v.Id IN (SELECT Id FROM mails) AND e.qid IN (SELECT qid FROM q) GROUP BY ALL),
 {_combined('es', 'best')} {RESULT} WHERE rank < 10""",
         "full_ranking": f"""WITH {KW_CHAIN} SELECT folder, qid, Id, round(score, 6) AS score, rank FROM {_ranked('best', 'folder, qid')}""",
         "search_semantic": f"WITH {semantic} {RESULT} WHERE rank < 10",

@@ -97,9 +97,12 @@ def _best_scores(
             scores = vectors[rows] @ queries.T
             empty = (np.empty(0, dtype=np.int64), np.empty(0))
             lists = kept.setdefault(folder, [empty] * len(qid))
-            for q in range(len(qid)):
-                all_ids = np.concatenate([lists[q][0], ids[rows]])
-                all_scores = np.concatenate([lists[q][1], scores[:, q]])
+            worst = [tie_key(s[-1]) if len(s) >= depth else -np.inf for _, s in lists]
+            able = tie_key(scores) >= np.array(worst)
+            for q in np.nonzero(able.any(axis=0))[0]:
+                new = able[:, q]
+                all_ids = np.concatenate([lists[q][0], ids[rows][new]])
+                all_scores = np.concatenate([lists[q][1], scores[new, q]])
                 best = _best(all_ids, all_scores, depth)
                 lists[q] = (all_ids[best], all_scores[best])
     for folder, lists in kept.items():
@@ -125,6 +128,7 @@ def dense_scores(variants: DataFrame, vectors: DataFrame, depth: int | None = No
     mails = vectors.select("folder", F.col("Id").cast("bigint"), "embedding").filter(
         F.col("embedding").isNotNull()
     )
+    depth = None if depth is None else max(depth, 1)
     size = measured_bytes(queries)
     if size > broadcast_limit(queries):
         return _grid_scores(queries, mails, depth)

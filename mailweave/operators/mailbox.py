@@ -129,10 +129,14 @@ def drop_empty_body(df: DataFrame) -> DataFrame:
 
 
 def dedupe_corpus(df: DataFrame, order_col: str | None = None) -> DataFrame:
-    """One row per ``Id``, inbox before sent; copies are cut in each task before the shuffle."""
+    """One row per ``Id``, inbox before sent; copies are cut in each task before the shuffle.
+
+    A ``block`` depends on the id alone; naming it lets filters on it reach the files.
+    """
+    keys = [c for c in ("Id", "block") if c in df.columns]
     order = [F.when(F.col("folder") == FOLDERS[0], 0).otherwise(1)]
     order += [F.col(order_col)] if order_col else [F.xxhash64(*df.columns)]
-    w = Window.partitionBy("Id").orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 

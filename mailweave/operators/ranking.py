@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +57,7 @@ def rank_within(
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, math.ceil((group_rows or 0) / WINDOW_ROWS))
     placed = stored(
         df.repartitionByRange(parts, *keys, *order)
         .sortWithinPartitions(*keys, *order)

@@ -18,7 +18,7 @@ from mailweave.operators.ranking import hit_cap
 from mailweave.plans.mailboxes import build_vectors
 from mailweave.session import stored
 from mailweave.sources.postings import Index, stored_index
-from mailweave.sources.store import check_folder
+from mailweave.sources.store import check_folder, mail_block
 
 MODES = ("hybrid", "semantic", "keyword")
 ROW_BYTES = 64
@@ -109,14 +109,27 @@ def search_scores(
 def fetch(ranked: DataFrame, corpus: DataFrame, rows: int | None = None) -> DataFrame:
     """Ranked rows with their mails. ``rows`` is a proven bound on the ranked rows.
 
-    A small bounded list is broadcast, so the mails are not shuffled. Otherwise one mail
-    may be a result of very many queries, and its rows are spread.
+    A small bounded list is stored and broadcast, so the mails are not shuffled, and of a
+    corpus in blocks only the blocks with results are read. Otherwise one mail may be a
+    result of very many queries, and its rows are spread.
     """
-    limit = broadcast_limit(ranked)
-    if rows is not None and rows * ROW_BYTES <= limit:
-        return corpus.join(F.broadcast(ranked), ["folder", "Id"])
-    spread = ["qid"] if "qid" in ranked.columns else ["rank"]
-    return salted_join(ranked, corpus, ["folder", "Id"], spread)
+    if rows is None or rows * ROW_BYTES > broadcast_limit(ranked):
+        spread = ["qid"] if "qid" in ranked.columns else ["rank"]
+        return salted_join(ranked, corpus, ["folder", "Id"], spread)
+    ranked = stored(ranked, "top")
+    if "block" in corpus.columns:
+        corpus = _blocks_of(ranked, corpus)
+    return corpus.join(F.broadcast(ranked), ["folder", "Id"])
+
+
+def _blocks_of(ranked: DataFrame, corpus: DataFrame) -> DataFrame:
+    """The blocks that hold ranked mails; their names are at most as many as directories."""
+    sample = corpus.select("block").first()
+    if sample is None:
+        return corpus
+    blocks = int(sample["block"].split("-")[0])
+    named = ranked.select(mail_block(F.col("Id"), blocks).alias("block")).distinct().collect()
+    return corpus.filter(F.col("block").isin([r["block"] for r in named])).drop("block")
 
 
 def search(queries: DataFrame, store: Store, n: int = 10, **options) -> DataFrame:

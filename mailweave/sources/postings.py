@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -17,6 +18,10 @@ FIELDS = {
     "body": "ExtractedBodyText",
     "sender": "ExtractedFrom",
 }
+
+MAILS_PER_SHARD = 100_000
+
+
 @dataclass(frozen=True)
 class Index:
     """``postings(folder, field, term, Id, tf, len, date_sent)``,
@@ -93,9 +98,12 @@ def write_index(
 
     Postings are bucketed by mail: all terms of a mail lie in one file, sorted by term.
     Scores per mail are then complete inside a task, and only its best hits are shuffled.
+    The number of files follows the number of mails unless ``shards`` is given.
     """
     spark = corpus.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if shards is None:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        shards = max(parts, math.ceil(corpus.count() / MAILS_PER_SHARD))
     table = _table_name()
     (
         _postings(corpus.repartition(shards, key), fields or FIELDS, key)

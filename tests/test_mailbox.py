@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from mailweave.operators import mailbox as mb
 from mailweave.plans.mailboxes import build_mailboxes, build_vectors
+from mailweave.plans.search import fetch
 from mailweave.sources import raw as rw
 from mailweave.sources import store as st
 
@@ -74,6 +75,13 @@ def test_mailbox_round_trip(spark, raw, tmp_path):
     assert {r.folder: r.n_mails for r in mb.mailbox_stats(st.load_corpus(spark, path)).collect()} == {
         "inbox": 2, "sent": 1,
     }
+    ranked = spark.createDataFrame(
+        [("inbox", 0, 2, 1.0, 0)], "folder string, qid bigint, Id bigint, score double, rank bigint"
+    )
+    found = fetch(ranked, st.load_corpus(spark, path), 1)
+    assert [r.ExtractedSubject for r in found.collect()] == ["Hi"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "(block#" in plan.split("PartitionFilters:")[1].split("]")[0]
     vectors = str(tmp_path / "vectors")
     st.write_vectors(build_vectors(st.load_corpus(spark, path)), vectors)
     assert st.load_vectors(spark, vectors, "sent").count() == 1
