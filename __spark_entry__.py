@@ -296,7 +296,9 @@ def q_query_prompt(spark, sf):
 
 
 def q_hash_encode(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", hash_encode(F.col("text")).alias("v"))
+    # The small files hold one row group each; hashing is heavy per text, so spread it.
+    docs = table(spark, sf, "documents").repartition("doc_id")
+    docs = docs.select("doc_id", hash_encode(F.col("text")).alias("v"))
     return docs.select("doc_id", F.posexplode("v").alias("pos", "value")).select(
         "doc_id", F.col("pos").cast("bigint").alias("pos"), F.round(F.col("value").cast("double"), 6).alias("value")
     )
@@ -603,6 +605,23 @@ def q_relevant_text(spark, sf):
     return parse_queries(named_queries(spark, sf)).select("qid", "relevant_text")
 
 
+def q_parsed_queries(spark, sf):
+    raw = people(spark, sf)
+    parsed = parse_queries(dated_queries(spark, sf), as_of="1998-12-15")
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    return resolve_sender(parsed, rw.load_name_aliases(raw)).select(
+        "qid",
+        "relevant_text",
+        day("start_date"),
+        day("end_date"),
+        F.size("possible_senders").cast("bigint").alias("n_senders"),
+    )
+
+
+def q_keyword_by_word(spark, sf):
+    return _keyword(spark, sf, match="word")
+
+
 def q_variants(spark, sf):
     return expand_queries(benchmark(spark, sf), paraphrases(spark, sf)).select(
         "qid", F.col("variant_no").cast("bigint").alias("variant_no"), "variant"
@@ -952,6 +971,11 @@ eq AS (SELECT vec_id // 4 AS qid, vec_id % 4 AS variant_no, embedding AS v FROM
 n AS (SELECT {keys}, pos, len(text) - len(replace(text, c, '')) AS k FROM x CROSS JOIN l)
 SELECT {keys}, CAST(pos AS BIGINT) AS pos, round(CAST(CAST(k / greatest(sqrt(sum(k * k) OVER (PARTITION BY {keys})), 1e-12) AS FLOAT) AS DOUBLE), 5) + 0.0 AS value FROM n"""
 
+    date_sql = """WITH s AS (SELECT o_orderkey AS qid, CASE o_orderkey % 5 WHEN 0 THEN o_orderdate::DATE WHEN 1 THEN o_orderdate::DATE
+WHEN 2 THEN date_trunc('month', o_orderdate)::DATE
+WHEN 3 THEN make_date(CASE WHEN month(o_orderdate) < 12 THEN 1998 ELSE 1997 END, month(o_orderdate), 1)
+ELSE date_trunc('year', o_orderdate)::DATE END AS d FROM orders)
+SELECT qid, strftime(d, '%Y-%m-%d') AS start_date, strftime(d + INTERVAL 1 MONTH, '%Y-%m-%d') AS end_date FROM s"""
     sql = {
         "tokens": f"SELECT doc_id, len({_tokens('text')}) AS n_tokens, md5(array_to_string({_tokens('text')}, ' ')) AS words_md5 FROM documents",
         "clean_body": f"""SELECT 'document' AS kind, doc_id AS id, {_clean_body('text')} AS body FROM documents
@@ -1044,11 +1068,18 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name),
 s AS (SELECT o_orderkey AS qid, 'NATION_' || CAST(o_custkey % 30 AS VARCHAR) AS sender FROM orders)
 SELECT qid, sender, n, m AS aliases_md5 FROM s LEFT JOIN n ON Name = sender""",
         "sender_by_word": "SELECT lower(n_name) AS Name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1",
-        "date_range": """WITH s AS (SELECT o_orderkey AS qid, CASE o_orderkey % 5 WHEN 0 THEN o_orderdate::DATE WHEN 1 THEN o_orderdate::DATE
-WHEN 2 THEN date_trunc('month', o_orderdate)::DATE
-WHEN 3 THEN make_date(CASE WHEN month(o_orderdate) < 12 THEN 1998 ELSE 1997 END, month(o_orderdate), 1)
-ELSE date_trunc('year', o_orderdate)::DATE END AS d FROM orders)
-SELECT qid, strftime(d, '%Y-%m-%d') AS start_date, strftime(d + INTERVAL 1 MONTH, '%Y-%m-%d') AS end_date FROM s""",
+        "date_range": date_sql,
+        "parsed_queries": f"""WITH s AS ({date_sql}),
+n AS (SELECT n_name AS Name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name),
+x AS (SELECT o_orderkey AS qid, 'NATION_' || CAST(o_custkey % 30 AS VARCHAR) AS sender,
+  'Mail priority ' || array_to_string(list_filter(regexp_extract_all(o_orderpriority, '{PAT}'),
+    lambda w: regexp_full_match(w, '\\p{{L}}+') AND lower(w) NOT IN ({stop})), ' ')
+  || CASE o_orderkey % 5 WHEN 3 THEN ' last' ELSE '' END
+  || CASE WHEN o_orderkey % 5 IN (1, 2, 3) AND month(o_orderdate) <> 0 THEN ' ' || monthname(o_orderdate) ELSE '' END AS relevant_text
+  FROM orders)
+SELECT x.qid, relevant_text, start_date, end_date, n AS n_senders FROM x JOIN s USING (qid) LEFT JOIN n ON n.Name = x.sender""",
+        "keyword_by_word": f"""WITH {boosted.replace("n.Name = q.sender", "lower(n.Name) = lower(q.sender)")}
+SELECT folder, qid, Id, round(best + sender + bonus, 6) AS score FROM boosted""",
         "relevant_text": f"WITH {named} SELECT qid, query AS relevant_text FROM q",
         "variants": f"WITH {VARIANTS} SELECT qid, CAST(variant_no AS BIGINT) AS variant_no, variant FROM vr",
         "variants_generated": """SELECT item_id AS qid, CAST(0 AS BIGINT) AS variant_no, lower(text) AS variant FROM benchmark

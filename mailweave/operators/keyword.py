@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mailweave.functions.text import extract_alias, tokens
 from mailweave.operators.joins import ROW_BYTES, attach, measured_bytes
 from mailweave.operators.mailbox import FOLDERS
+from mailweave.operators.query_parse import by_name_word
 from mailweave.operators.ranking import by_score, top_n
 from mailweave.session import stored
 from mailweave.sources.postings import FIELDS, Index
@@ -126,15 +127,22 @@ def keyword_search(
     mode: str = "boost",
     corpus: DataFrame | None = None,
     max_hits: int | None = None,
+    match: str = "exact",
 ) -> DataFrame:
     """``(folder, qid, Id, score)`` of parsed queries.
 
     A mail is a hit when its subject or body shares a word with ``relevant_text``. In
     mode ``boost`` sender and date only raise scores (``boosts=False`` leaves them out);
-    in mode ``filter`` they restrict the hits instead, for which ``corpus`` is needed.
+    in mode ``filter`` they restrict the hits instead, for which ``corpus`` is needed. A
+    sender matches a full name exactly, or with ``match="word"`` any word of it, case-blind.
     """
     if mode not in ("boost", "filter"):
         raise ValueError(f"unknown keyword mode: {mode}")
+    if match not in ("exact", "word"):
+        raise ValueError(f"unknown sender match: {match}")
+    if match == "word" and aliases is not None:
+        aliases = by_name_word(aliases)
+        parsed = parsed.withColumn("sender", F.lower("sender"))
     boosted = boosts and mode == "boost"
     senders = sender_terms(parsed, aliases) if boosted and aliases is not None else None
     hits = match_best_field(parsed, index, sender_terms=senders, text_col="relevant_text")

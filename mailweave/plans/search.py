@@ -84,6 +84,7 @@ def search_scores(
     variants: DataFrame | None = None,
     generator: Callable[[str], list[str]] | None = None,
     boosts: bool = True,
+    match: str = "exact",
     as_of: str = "2024-01-01",
     hits_only: bool = False,
     max_hits: int | None = None,
@@ -102,7 +103,7 @@ def search_scores(
     if mode in ("hybrid", "keyword"):
         parsed = parse_queries(queries, as_of)
         cap = None if max_hits is None else hit_cap(max_hits)
-        keyword = keyword_search(parsed, part.index, part.aliases, boosts, max_hits=cap)
+        keyword = keyword_search(parsed, part.index, part.aliases, boosts, max_hits=cap, match=match)
     return combine(semantic, keyword, queries, part.corpus, n, hits_only)
 
 

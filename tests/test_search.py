@@ -139,6 +139,15 @@ def test_boosts_only_add_to_hits(spark, store, aliases):
         keyword_search(parsed, store.index, mode="other")
 
 
+def test_sender_by_word_of_the_name(spark, store, aliases):
+    parsed = parse_queries(asked(spark, "crisis from hope"))
+    exact, word = (
+        {r.Id: r.score for r in keyword_search(parsed, store.index, aliases, match=m).collect()}
+        for m in ("exact", "word")
+    )
+    assert word[2] > exact[2] and word[4] == exact[4]
+
+
 def test_hit_cap(spark, store):
     parsed = parse_queries(asked(spark, "talk crisis"))
     assert keyword_search(parsed, store.index, max_hits=1).count() == 1
