@@ -74,11 +74,15 @@ def attach(
     spread: list[str],
     how: str = "left",
     size: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Join ``side`` to ``big``: broadcast when ``side`` is small, else salted.
 
-    The size of ``side`` is measured, unless the caller knows a bound in bytes.
+    The size of ``side`` is measured, unless the caller knows a bound in bytes. With
+    ``unique`` keys in ``big`` there is nothing to salt.
     """
     if (measured_bytes(side) if size is None else size) <= broadcast_limit(side):
         return big.join(F.broadcast(side), keys, how)
+    if unique:
+        return big.join(side, keys, how)
     return salted_join(big, side, keys, spread, how)

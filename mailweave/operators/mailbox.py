@@ -89,7 +89,8 @@ def inbox_mails(
     emails: DataFrame, receivers: DataFrame, persons: DataFrame, pattern: str
 ) -> DataFrame:
     """Mails the owner received."""
-    return emails.join(received_ids(receivers, persons, pattern), "Id", "left_semi")
+    received = received_ids(receivers, persons, pattern)
+    return attach(emails, received, ["Id"], ["Id"], "left_semi", unique=True)
 
 
 def sent_mails(
@@ -121,7 +122,7 @@ def recipients(receivers: DataFrame, persons: DataFrame) -> DataFrame:
 def with_recipients(emails: DataFrame, lists: DataFrame) -> DataFrame:
     """Overwrite ``ExtractedTo``; null when a mail has no known receiver."""
     lists = lists.withColumnRenamed("EmailId", "Id")
-    return emails.drop("ExtractedTo").join(lists, "Id", "left")
+    return attach(emails.drop("ExtractedTo"), lists, ["Id"], ["Id"], unique=True)
 
 
 def drop_empty_body(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mailweave.functions.text import clean_body, clean_subject, compose_text, parse_date, repair_date_text
 from mailweave.operators import mailbox as mb
 from mailweave.operators.encode import Encoder, embed
+from mailweave.operators.joins import attach
 
 
 def build_mailboxes(
@@ -18,7 +19,7 @@ def build_mailboxes(
     """Inbox and sent mails of the owner as one table with ``folder``.
 
     A mail can be in both folders. Each mail is read once and tagged, not scanned per
-    folder. ``keep_clean`` adds the cleaned text, the parsed date and the sender's name.
+    folder; with small lookups only the owner's mails are shuffled, for their recipients. ``keep_clean`` adds the cleaned text, the parsed date and the sender's name.
     """
     emails, receivers = raw["Emails"], raw["EmailReceivers"]
     aliases, persons = raw["Aliases"], raw["Persons"]
@@ -26,8 +27,8 @@ def build_mailboxes(
     mails = mb.flag_sent(mails, mb.owner_aliases(aliases, persons, owner_pattern))
     mails = mb.fill_sender(mails)
     received = mb.received_ids(receivers, persons, owner_pattern).withColumn("_in", F.lit(True))
-    mails = mails.join(received, "Id", "left")
-    mails = mails.filter(F.col("_in") | F.col("IsOwnerSender"))
+    mails = attach(mails, received, ["Id"], ["Id"], unique=True)
+    mails = mb.drop_empty_body(mails.filter(F.col("_in") | F.col("IsOwnerSender")))
     mails = mb.with_recipients(mails, mb.recipients(receivers, persons))
     folders = F.array_compact(
         F.array(F.when(F.col("_in"), mb.FOLDERS[0]), F.when(F.col("IsOwnerSender"), mb.FOLDERS[1]))
@@ -41,10 +42,7 @@ def build_mailboxes(
             F.col("CleanedAlias"),
             F.col("SenderName"),
         ]
-    boxes = mb.drop_empty_body(mails).select(
-        *mb.MAILBOX_COLUMNS, *extra, F.explode(folders).alias("folder")
-    )
-    return boxes
+    return mails.select(*mb.MAILBOX_COLUMNS, *extra, F.explode(folders).alias("folder"))
 
 
 def build_vectors(
