@@ -8,23 +8,22 @@ from __future__ import annotations
 
 import os
 import sys
-import zipfile
 from collections.abc import Callable
-from pathlib import Path
+from functools import wraps
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-import numpy as np
-import pyspark
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailweave.functions import text as tx
+from mailweave.functions.stopwords import ENGLISH_STOP_WORDS
 from mailweave.functions.vectors import hash_encode, l2_normalize, rank_decay, semantic_weight
 from mailweave.operators import mailbox as mb
 from mailweave.operators import metrics as mt
 from mailweave.operators.dense import dense_rank_all, dense_scores
 from mailweave.operators.encode import embed, embed_queries
+from mailweave.operators.examples import letter_encoder, same_and_doubled
 from mailweave.operators.fusion import combine, min_max, rrf
 from mailweave.operators.keyword import bm25, keyword_search, match_best_field, sender_terms
 from mailweave.operators.query_parse import (
@@ -37,12 +36,20 @@ from mailweave.operators.ranking import by_score, hit_cap, number_docs, rank_all
 from mailweave.plans.evaluation import evaluate
 from mailweave.plans.mailboxes import build_mailboxes, build_vectors
 from mailweave.plans.search import Store, fetch, open_store, search, search_scores
-from mailweave.session import scratch_path
+from mailweave.session import scratch_path, ship
 from mailweave.sources import raw as rw
 from mailweave.sources import reports as rp
 from mailweave.sources import store as st
 from mailweave.sources.postings import build_postings
 
+# The operators of the llm folder may be taken out of a checkout.
+try:
+    from mailweave.llm import registry as llm
+except ImportError as missing:
+    if not (missing.name or "").startswith(("mailweave.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
 OWNER = "nation_7$"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -501,12 +508,6 @@ def q_vector_table(spark, sf):
     )
 
 
-def letter_encoder():
-    """A user-supplied encoder for the model hook: counts of the letters a to z."""
-    letters = "abcdefghijklmnopqrstuvwxyz"
-    return lambda texts: np.array([[t.count(c) for c in letters] for t in texts], dtype=np.float64)
-
-
 def q_embed_model(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     rows = embed(docs, "text", letter_encoder).select("doc_id", F.posexplode("embedding").alias("pos", "value"))
@@ -628,11 +629,6 @@ def q_variants(spark, sf):
     )
 
 
-def same_and_doubled(query: str) -> list[str]:
-    """A user-supplied paraphraser for the generator hook."""
-    return [query, query + " " + query]
-
-
 def q_variants_generated(spark, sf):
     return expand_queries(benchmark(spark, sf), generator=same_and_doubled).select(
         "qid", F.col("variant_no").cast("bigint").alias("variant_no"), "variant"
@@ -709,9 +705,21 @@ def q_report_file(spark, sf):
     return lines.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _shipped(query: Query) -> Query:
+    """The query, run after the package was sent to the Python workers."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     """One entry per registered query."""
-    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    found = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    return {name: _shipped(fn) for name, fn in found.items()} | (llm.queries() if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -728,11 +736,7 @@ NOT_WORD = rf"[^\p{{L}}\p{{N}}_{WS}]"
 
 
 def _stopwords() -> str:
-    jars = next(Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars) as jar:
-        text = jar.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-    words = sorted(set(text.split()))
-    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS)
 
 
 def _strip(x: str) -> str:
@@ -1109,4 +1113,4 @@ UNION ALL SELECT DISTINCT folder, t.set_id, -1, chr(10) || '~~~~~~~~~~~~ QUERY S
     }
     sql["report_file"] = f"""WITH report AS ({sql['report']})
 SELECT line, 2 * count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM report) GROUP BY line"""
-    return sql
+    return sql | (llm.oracle_sql() if llm else {})

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mailweave.functions.stopwords import ENGLISH_STOP_WORDS
 from mailweave.functions.text import TOKEN, WHITESPACE, WORD, let, strip
 from mailweave.operators.joins import attach
 from mailweave.operators.ranking import rank_within
@@ -29,11 +29,6 @@ DATE_MENTION = (
 )
 
 
-def english_stopwords(spark) -> list[str]:
-    """The English stop words that ship with Spark."""
-    return sorted(set(StopWordsRemover.loadDefaultStopWords("english")))
-
-
 def _not_stop(word: Column, stopwords: list[str]) -> Column:
     return ~F.lower(word).isin(*stopwords) if stopwords else F.lit(True)
 
@@ -97,7 +92,7 @@ def parse_queries(
     stopwords: list[str] | None = None,
 ) -> DataFrame:
     """``(qid, query, sender, start_date, end_date, relevant_text)``: projections only."""
-    words = english_stopwords(queries.sparkSession) if stopwords is None else stopwords
+    words = ENGLISH_STOP_WORDS if stopwords is None else stopwords
     query = F.col("query")
     return queries.withColumn("_range", extract_date_range(query, as_of)).select(
         *queries.columns,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,10 +25,29 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers on other machines, or a driver started from another folder, cannot import it
+    otherwise. A no-op when the package came from such an archive itself.
+    """
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parent
+    if getattr(sc, "_mailweave_shipped", False) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="mailweave-code-")) / "mailweave.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._mailweave_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a temporary one.
+    Only a local session that names none gets a temporary one: on a cluster each executor
+    would write to its own disk, so there it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -35,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="mailweave-"))
     return sc.getCheckpointDir()
 
