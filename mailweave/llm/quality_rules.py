@@ -30,7 +30,7 @@ BLANKS = " \t\n\x0b\f\r"
 RULES = {
     "few_words": "n_words < 10",
     "repeat_words": "100 * n_repeat_words > 20 * n_words",
-    "symbol_words": "2 * n_symbols > n_words",
+    "symbol_words": "4 * n_symbols > n_words",
     "dup_lines": "2 * n_dup_lines > n_lines",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 20 * n_words",
