@@ -5,12 +5,17 @@ from __future__ import annotations
 from functools import wraps
 
 import corpus_pipeline
-from mailweave.llm import mix, quality_rules, shards
+from mailweave.llm import bpe, html_text, language_id, mil_quality, mix, quality_rules, shards, token_files
 from mailweave.session import ship
 
 QUERIES = {
+    "op1_token_files": token_files.op1_token_files,
+    "op2_language_id": language_id.op2_language_id,
+    "op3_quality": mil_quality.op3_quality,
+    "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
     "op6_mix_sources": mix.op6_mix_sources,
     "op8_shards": shards.op8_shards,
+    "op9_html_text": html_text.op9_html_text,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 SQL = {
