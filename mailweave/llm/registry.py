@@ -5,13 +5,14 @@ from __future__ import annotations
 from functools import wraps
 
 import corpus_pipeline
-from mailweave.llm import bpe, html_text, language_id, mil_quality, mix, quality_rules, shards, token_files
+from mailweave.llm import bpe, html_text, language_id, mil_quality, mix, ngram_join, quality_rules, shards, token_files
 from mailweave.session import ship
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op2_language_id": language_id.op2_language_id,
     "op3_quality": mil_quality.op3_quality,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
     "op6_mix_sources": mix.op6_mix_sources,
     "op8_shards": shards.op8_shards,
