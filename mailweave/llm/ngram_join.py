@@ -16,8 +16,9 @@ of both (n the size of a set, o = ceil(0.75 n)) have l in common. Three steps us
 
 Within a posting list of thousands of near copies, pairs are not listed. First each text is
 compared with one leader of its lists; links found merge texts into groups, and only pairs
-whose texts are in different groups stay open. When these are few, they are all verified; until
-then, further rounds compare with other leaders. Components come out the same as with all pairs.
+whose texts are in different groups stay open. Those of short lists are listed and verified; long
+lists are compared chunk against chunk within tasks, which return only links that still join
+groups. Components come out the same as with all pairs.
 
 Sets are compared by 64-bit hashes of the shingles.
 
@@ -29,7 +30,6 @@ table gives no rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,8 +50,9 @@ BLOCK = 1 << 20  # shingles of a block
 BLOCK_TEXTS = 30_000
 VERIFY_COST = 10  # a verification, in postings read
 MOST_MATCHES = 16
-OPEN_PAIRS = 8  # open pairs per posting up to which all are verified at once
-ROUNDS = 6
+ROUNDS = 2  # of comparisons with leaders
+LONG_LIST = 48  # texts of a list whose pairs are not listed
+CHUNK = 4096  # texts of a chunk of a long list
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
@@ -254,19 +255,22 @@ def postings(sets: DataFrame, buckets: int) -> DataFrame:
         known = np.empty(len(unique), dtype=np.int64)
         known[np.searchsorted(unique, ordered)] = df
         out: list[tuple] = []
+        first: list[np.ndarray] = []
         for doc, g in zip(left.column("doc_id").to_pylist(), grams):
             own = known[np.searchsorted(unique, g)]
             order = np.lexsort((g, own))
             n, own = len(g), own[order]
             matches = best_matches(own, n)
             chosen = order[: prefix(n, matches)]
-            chosen = g[chosen[own[: len(chosen)] >= 2]]
-            out.append((chosen, doc, n, matches))
+            shared = np.nonzero(own[: len(chosen)] >= 2)[0]
+            out.append((g[chosen[shared]], doc, n, matches))
+            first.append(shared < prefix(n, 1))
         times = [len(c) for c, *_ in out]
         spread = lambda k, kind: pa.array(np.repeat(np.array([o[k] for o in out], dtype=np.int64), times), kind)
         return pa.table({
             "gram": pa.array(np.concatenate([c for c, *_ in out]).view(np.int64)),
             "doc_id": spread(1, pa.int64()), "n": spread(2, pa.int64()), "matches": spread(3, pa.int64()),
+            "first": pa.array(np.concatenate(first)),
         })
 
     sent = sets.select("block", "grams").groupBy("block").applyInArrow(
@@ -275,7 +279,7 @@ def postings(sets: DataFrame, buckets: int) -> DataFrame:
     answers = frequencies(sent, "bigint")
     asked = sets.select("block", "doc_id", "grams")
     return asked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        choose, "gram bigint, doc_id bigint, n bigint, matches bigint"
+        choose, "gram bigint, doc_id bigint, n bigint, matches bigint, first boolean"
     )
 
 
@@ -284,7 +288,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     side = lambda name: sets.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("grams").alias(f"g_{name}"))
     ends = stored(pairs.select("a").distinct(), "pair_ends")
     leaders = stored(attach(side("a"), ends, ["a"], ["a"], how="left_semi", unique=True), "pair_sets")
-    with_b = attach(side("b"), stored(pairs.select("a", "b"), "pairs"), ["b"], ["a"], how="inner")
+    with_b = attach(side("b"), stored(pairs.select("a", "b"), "pairs"), ["b"], ["b"], how="inner", unique=True)
     both = with_b.join(leaders, "a")
     shared = F.size(F.array_intersect("g_a", "g_b"))
     return both.filter(100 * shared >= 75 * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
@@ -295,55 +299,116 @@ def _fit(a: str, b: str):
     return DEN * F.least(a, b) >= NUM * F.greatest(a, b)
 
 
-def links(lists: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links that connect exactly the groups which all links would connect."""
+def star_pairs(lists: DataFrame, turn: int) -> DataFrame:
+    """Each text with the leader that it shares most with, among the leaders of its lists.
+
+    The first leader of a list is its smallest id; later turns draw others by hash.
+    """
+    place = F.lit(0) if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
+    top = F.struct(place.alias("h"), F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("matches").alias("m_a"), F.col("component").alias("c_a"))
+    leader = stored(lists.groupBy("gram").agg(F.min(top).alias("top")).select("gram", "top.*"), "leaders")
+    met = lists.join(leader, "gram").filter("a != doc_id AND component != c_a").filter(_fit("n", "n_a"))
+    pairs = met.groupBy("a", F.col("doc_id").alias("b")).agg(
+        F.count(F.lit(1)).alias("shared"), F.min(F.least("matches", "m_a")).alias("least")
+    )
+    return pairs.filter("shared >= least").groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
+
+
+def short_list_pairs(lists: DataFrame) -> DataFrame:
+    """All pairs of different groups that share enough shingles of short lists."""
+    side = lambda end: lists.select("gram", *[F.col(c).alias(f"{c}_{end}") for c in ("doc_id", "n", "matches", "component")])
+    met = side("a").join(side("b"), "gram").filter("doc_id_a < doc_id_b AND component_a != component_b").filter(_fit("n_a", "n_b"))
+    pairs = met.groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).agg(
+        F.count(F.lit(1)).alias("shared"), F.min(F.least("matches_a", "matches_b")).alias("least")
+    )
+    return pairs.filter("shared >= least")
+
+
+def long_list_links(lists: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links within long lists that join different groups, enough of them to connect these.
+
+    A list is cut into chunks and a task compares two chunks, whole sets against an inverted
+    index of them, without a row per pair. A pair with any long list in common is settled here.
+    """
+    chunks = F.ceil(F.col("m") / F.lit(float(CHUNK))).cast("int")
+    rows = lists.select("gram", "doc_id", "component").join(sizes, "gram").withColumn("k", chunks)
+    rows = rows.withColumn("c", F.pmod(F.xxhash64("doc_id", F.lit("chunk")), F.col("k")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = rows.select("gram", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"), "c", "doc_id", "component")
+    rows = rows.join(sets.select("doc_id", "grams"), "doc_id")
+
+    def compare(whole: pa.Table) -> pa.Table:
+        docs = whole.column("doc_id").to_numpy()
+        groups = whole.column("component").to_numpy()
+        chunk = whole.column("c").to_numpy()
+        i, j = whole.column("i")[0].as_py(), whole.column("j")[0].as_py()
+        sets_ = [np.asarray(g.values) for g in whole.column("grams")]
+        n = np.array([len(g) for g in sets_])
+        grams, code, counts = np.unique(np.concatenate(sets_), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(docs)), n)
+        order = np.argsort(code, kind="stable")
+        inverted = owner[order]
+        starts = np.concatenate([[0], np.cumsum(counts)])
+        ends = np.cumsum(n)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                parent[x] = parent.get(parent[x], parent[x])
+                x = parent[x]
+            return x
+
+        a, b = [], []
+        for x in range(len(docs)):
+            if i != j and chunk[x] != i:
+                continue
+            own = code[ends[x] - n[x] : ends[x]]
+            own = own[counts[own] >= 2]
+            spans = counts[own]
+            at = np.repeat(starts[own] - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
+            shared = np.bincount(inverted[at], minlength=len(docs))
+            near = (100 * shared >= 75 * (n[x] + n - shared)) & (groups != groups[x])
+            near &= (chunk == j) if i != j else (np.arange(len(docs)) > x)
+            for y in np.nonzero(near)[0].tolist():
+                p, q = root(int(groups[x])), root(int(groups[y]))
+                if p != q:
+                    parent[max(p, q)] = min(p, q)
+                    a.append(int(docs[x]))
+                    b.append(int(docs[y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("gram", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+
+
+def links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """Links that connect exactly the groups which all links would connect; None without any."""
     size = lists.count()
-    found, open_lists = None, lists.withColumn("component", F.col("doc_id"))
-    for turn in range(ROUNDS + 1):
-        # How many pairs of different groups do the lists still hold?
-        cells = open_lists.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("c"))
-        per = cells.groupBy("gram").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
-        left = per.agg(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2)).first()[0] or 0
-        if left == 0:
-            return found
-        last = turn == ROUNDS or (turn > 0 and left <= OPEN_PAIRS * size)
-        if last:
-            one = open_lists.select("gram", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "matches", "component")])
-            two = open_lists.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "n", "matches", "component")])
-            met = one.join(two, "gram").filter("doc_id_a < doc_id_b AND component_a != component_b").filter(_fit("n_a", "n_b"))
-            pairs = met.groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).agg(
-                F.count(F.lit(1)).alias("shared"), F.min(F.least("matches_a", "matches_b")).alias("least")
-            )
-            pairs = pairs.filter("shared >= least")
-        else:
-            # The leader of a list changes with the turn; a text meets its most frequent one.
-            order = F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), F.col("doc_id").alias("d"))
-            if turn == 0:
-                order = F.struct(F.lit(0).alias("h"), F.col("doc_id").alias("d"))
-            leader = open_lists.groupBy("gram").agg(
-                F.min(F.struct(order.alias("o"), F.col("n").alias("n"), F.col("matches").alias("m"), F.col("component").alias("c"))).alias("top")
-            )
-            leader = stored(leader, "leaders")
-            met = open_lists.join(leader, "gram").select(
-                F.col("top.o.d").alias("a"), F.col("doc_id").alias("b"), "n", "matches",
-                F.col("top.n").alias("n_a"), F.col("top.m").alias("m_a"), "component", F.col("top.c").alias("c_a"),
-            )
-            met = met.filter("a != b AND component != c_a").filter(_fit("n", "n_a"))
-            pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("matches", "m_a")).alias("least"))
-            pairs = pairs.filter("shared >= least").groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-        new = stored(verified(pairs, sets), "new_links")
+    if size == 0:
+        return None
+    found, opened = None, lists.withColumn("component", F.col("doc_id"))
+    for turn in range(ROUNDS):
+        new = stored(verified(star_pairs(opened, turn), sets), "new_links")
         found = new if found is None else found.union(new)
-        if last:
-            return found
-        groups = components(found)
-        renamed = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("_c"))
+        groups = components(found).select(F.col("node").alias("doc_id"), F.col("component").alias("_c"))
         # Only lists with texts of several groups stay open.
         held = stored(
-            lists.join(renamed, "doc_id", "left").withColumn("component", F.coalesce("_c", "doc_id")).drop("_c"), "open_lists"
+            lists.join(groups, "doc_id", "left").withColumn("component", F.coalesce("_c", "doc_id")).drop("_c"), "open_lists"
         )
-        mixed = stored(held.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("gram"), "mixed")
-        open_lists = stored(held.join(mixed, "gram"), "open_lists")
-    return found
+        several = held.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("m"))
+        several = stored(several.filter("x != y").select("gram", "m"), "several")
+        opened = stored(held.join(several.select("gram"), "gram"), "open_lists")
+        if opened.count() <= size // 8:
+            break
+    # The first shingle that a linked pair has in common is in the shortest prefix of both, so long
+    # lists need only those texts whose shortest prefix has the shingle.
+    sizes = opened.filter("first").groupBy("gram").agg(F.count(F.lit(1)).alias("m"))
+    sizes = stored(sizes.filter(F.col("m") > LONG_LIST), "long_lists")
+    short = opened.join(sizes, "gram", "left_anti")
+    last = stored(verified(short_list_pairs(short), sets), "new_links")
+    found = found.union(last)
+    if sizes.isEmpty():
+        return found
+    return found.union(stored(long_list_links(opened.filter("first"), sizes, sets), "new_links"))
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
