@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import wraps
 
 import corpus_pipeline
-from mailweave.llm import bpe, html_text, language_id, mil_quality, mix, ngram_join, quality_rules, shards, token_files
+from mailweave.llm import bpe, html_text, language_id, mil_quality, mix, ngram_join, quality_rules, shards, token_files, vector_join
 from mailweave.session import ship
 
 QUERIES = {
@@ -15,6 +15,7 @@ QUERIES = {
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
     "op6_mix_sources": mix.op6_mix_sources,
+    "op7_vector_join": vector_join.op7_vector_join,
     "op8_shards": shards.op8_shards,
     "op9_html_text": html_text.op9_html_text,
     "op10_quality_rules": quality_rules.op10_quality_rules,
@@ -35,8 +36,7 @@ def _shipped(query):
 
 
 def queries() -> dict:
-    found = QUERIES | ({"pipeline": corpus_pipeline.run} if corpus_pipeline.STAGES else {})
-    return {name: _shipped(query) for name, query in found.items()}
+    return {name: _shipped(query) for name, query in (QUERIES | {"pipeline": corpus_pipeline.run}).items()}
 
 
 def oracle_sql() -> dict[str, str]:
