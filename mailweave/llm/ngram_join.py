@@ -434,7 +434,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         named = classes.join(groups, "first", "left").withColumn("component_id", F.coalesce("component", "first"))
     named = stored(named.select("key", "component_id"), "class_components")
     out = thin.join(named, "key", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def op4_ngram_join(spark, sf_dir) -> DataFrame:

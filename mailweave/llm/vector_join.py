@@ -18,7 +18,7 @@ Exact copies are one class throughout, weighted by its size.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components link with
 nothing. Vectors of different length do not link. Rows with the same id count as separate
-vectors, and a group is named by the smallest id. Extra columns are not read. An empty table gives
+vectors, and a group is named by the smallest id. A null id links with nothing. Extra columns are not read. An empty table gives
 no rows.
 """
 
@@ -274,9 +274,11 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
         "named",
     )
     out = units.select("vec_id", "class").join(named, "class", "left")
-    component = F.coalesce("component_id", "vec_id")
+    known = F.col("vec_id").isNotNull()
+    component = F.when(known, F.coalesce("component_id", "vec_id"))
+    n_links = F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint")
     return out.select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"),
+        "vec_id", n_links.alias("n_links"), component.alias("component_id"),
         (F.col("vec_id") == component).alias("kept"),
     )
 
