@@ -200,7 +200,11 @@ def cell_links(classes: DataFrame, cells: dict[int, Cells], cosine: float) -> Da
         seen = np.nonzero(whole.column("seen").to_numpy(zero_copy_only=False))[0]
         s = known.starts[block]
         x = (units @ known.turn)[:, s : s + BLOCK].astype(np.float32)
-        square = (x * x).sum(axis=1)
+        square = (x * x).sum(axis=1, keepdims=True)
+        one_column = np.ones_like(square)
+        # One product gives squared distances: |x|^2 - 2xy + |y|^2.
+        left = np.ascontiguousarray(np.concatenate([-2 * x, square, one_column], axis=1)[lookers])
+        right = np.ascontiguousarray(np.concatenate([x, one_column, square], axis=1)[seen].T)
         budget = np.float32(known.budget[block] + 1e-5)
         total: dict[int, int] = {}
         parent: dict[int, int] = {}
@@ -212,13 +216,13 @@ def cell_links(classes: DataFrame, cells: dict[int, Cells], cosine: float) -> Da
                 v = parent[v]
             return v
 
-        for p in range(0, len(lookers), 512):
-            one = lookers[p : p + 512]
-            for q in range(0, len(seen), 8192):
-                two = seen[q : q + 8192]
-                near = square[one][:, None] + square[two][None, :] - 2 * (x[one] @ x[two].T) <= budget
-                r, c = np.nonzero(near)
-                r, c = one[r], two[c]
+        # Tiles that stay in a core's cache.
+        for p in range(0, len(lookers), 256):
+            one = left[p : p + 256]
+            for q in range(0, len(seen), 2048):
+                two = right[:, q : q + 2048]
+                near = np.flatnonzero((one @ two) <= budget)
+                r, c = lookers[p + near // two.shape[1]], seen[q + near % two.shape[1]]
                 for start in range(0, len(r), 65_536):
                     u, v = r[start : start + 65_536], c[start : start + 65_536]
                     fine = np.einsum("ij,ij->i", units[u], units[v]) >= cosine
