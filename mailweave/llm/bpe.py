@@ -21,8 +21,8 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -36,6 +36,8 @@ from mailweave.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
 GAP = re.compile(r" (?=\S)(?<=\S )")
+# Letters of the Latin blocks, then signs; all else is left to the library's own splitting.
+WORD = re.compile(r"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 SLICE_CHARS = 1 << 21
 
 
@@ -61,38 +63,32 @@ class Bpe:
         self.bytes = [
             name.encode() if name in self.special else bytes(letters[c] for c in name) for name in self.names
         ]
-        # Pieces after a space that were met lately, and before that.
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.model = self.whole.model
+        self.letter_of = {b: ord(c) for c, b in letters.items()}
+        self.pieces = Pieces(self)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [GAP.split(t) for t in texts]
-        if len(self.young) > self.remembered:
-            self.old, self.young = self.young, {}
-        # Where a text begins, its first piece has no space before it.
-        first = self._learned([p.pop(0) for p in split], "")
-        wanted = set(chain.from_iterable(split)) - self.young.keys()
-        known = wanted & self.old.keys()
-        self.young.update((p, self.old[p]) for p in known)
-        new = list(wanted - known)
-        self.young.update(zip(new, self._learned(new, " ")))
-        get = self.young.__getitem__
-        out = [b"".join([head, *map(get, p)]) for head, p in zip(first, split)]
-        for p in new:
-            if len(p) > 64:  # rare and large
-                del self.young[p]
+        self.pieces.renew()
+        get = self.pieces.__getitem__
+        out = []
+        for text in texts:
+            first, *rest = GAP.split(text)
+            out.append(b"".join([self.piece(first), *map(get, rest)]))
         return out
 
-    def _learned(self, pieces: list[str], lead: str) -> list[bytes]:
-        short = [lead + p if len(p) <= self.long else "" for p in pieces]
-        ids = [e.ids for e in self.whole.encode_batch_fast(short, add_special_tokens=False)]
-        for k, p in enumerate(pieces):
-            if len(p) > self.long:
-                ids[k] = self._long(lead + p)
-        flat = np.array(list(chain.from_iterable(ids)), dtype="<u4").tobytes()
-        ends = list(accumulate(map(len, ids), initial=0))
-        return [flat[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
+    def piece(self, text: str) -> bytes:
+        """Ids of a piece with the space before it, if it has one."""
+        if len(text) > self.long:
+            ids = self._long(text)
+        else:
+            ids = self.whole.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def word(self, text: str) -> bytes:
+        """Ids of a space and letters, which the splitting pattern leaves whole: merges alone."""
+        spelled = f" {text}".encode().decode("latin-1").translate(self.letter_of)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _long(self, text: str) -> list[int]:
         """Ids of a long piece: the runs of the splitting pattern, each by its tree."""
@@ -140,6 +136,39 @@ class Bpe:
         return b"".join(map(self.bytes.__getitem__, numbers)).decode("utf-8", "replace")
 
 
+class Pieces(dict):
+    """Ids of pieces after a space, those met lately and, in ``old``, before that."""
+
+    def __init__(self, bpe: Bpe) -> None:
+        self.bpe, self.old = bpe, {}
+
+    def renew(self) -> None:
+        if len(self) > self.bpe.remembered:
+            self.old = dict(self)
+            self.clear()
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            m = WORD.fullmatch(piece)
+            if m is None or len(piece) > 64:
+                ids = self.bpe.piece(f" {piece}")
+            elif m[2]:
+                # The pattern parts letters from the signs that follow.
+                ids = self[m[1]] + self.signs(m[2])
+            else:
+                ids = self.bpe.word(piece)
+        if len(piece) <= 64:
+            self[piece] = ids
+        return ids
+
+    def signs(self, text: str) -> bytes:
+        found = self.get(f" {text}")  # no piece begins with a space
+        if found is None:
+            found = self[f" {text}"] = self.bpe.piece(text)
+        return found
+
+
 def _letter_bytes() -> dict[str, int]:
     """Byte-level vocabularies write a byte as a letter: itself where that can be printed, and
     the others, in order, as the letters from 256 on."""
