@@ -86,8 +86,8 @@ class Bpe:
         return array("I", ids).tobytes()
 
     def word(self, text: str) -> bytes:
-        """Ids of a space and letters, which the splitting pattern leaves whole: merges alone."""
-        spelled = f" {text}".encode().decode("latin-1").translate(self.letter_of)
+        """Ids of letters, with a space before or not, which the splitting pattern leaves whole."""
+        spelled = text.encode().decode("latin-1").translate(self.letter_of)
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _long(self, text: str) -> list[int]:
@@ -148,20 +148,34 @@ class Pieces(dict):
             self.clear()
 
     def __missing__(self, piece: str) -> bytes:
+        """``piece`` comes after a space, or begins with the line break that it comes after."""
         ids = self.old.get(piece)
         if ids is None:
-            m = WORD.fullmatch(piece)
-            if m is None or len(piece) > 64:
-                ids = self.bpe.piece(f" {piece}")
+            broken = piece[0] == "\n"
+            text = piece[1:] if broken else piece
+            if "\n" in text:
+                return self.lines(text, broken)
+            m = WORD.fullmatch(text)
+            if m is None or len(text) > 64:
+                ids = self.bpe.piece(piece if broken else f" {piece}")
             elif m[2]:
                 # The pattern parts letters from the signs that follow.
-                ids = self[m[1]] + self.signs(m[2])
+                ids = self[piece[: len(piece) - len(m[2])]] + self.signs(m[2])
+            elif broken:
+                ids = self.signs("\n") + self.bpe.word(text)
             else:
-                ids = self.bpe.word(piece)
+                ids = self.bpe.word(f" {text}")
         if len(piece) <= 64:
             self[piece] = ids
         return ids
 
+    def lines(self, text: str, broken: bool) -> bytes:
+        """A piece with line breaks: one between two characters is a token of its own."""
+        parts = text.split("\n")
+        if broken or any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
+            return self.bpe.piece(f"\n{text}" if broken else f" {text}")
+        return b"".join([self[parts[0]], *[self[f"\n{p}"] for p in parts[1:]]])
+
     def signs(self, text: str) -> bytes:
         found = self.get(f" {text}")  # no piece begins with a space
         if found is None:

@@ -38,6 +38,7 @@ from mailweave.session import scratch_path, stored
 LENGTH = 2048
 BATCH = 64
 END_ID = 2
+REMEMBERED = 500_000  # pieces a task keeps the ids of, some 100 MB
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -159,7 +160,7 @@ def write_token_files(
             if batch.num_rows == 0:
                 continue
             if writer is None:
-                bpe = Bpe(tokens)
+                bpe = Bpe(tokens, remembered=REMEMBERED)
                 kind = pa.uint16() if max(len(bpe.names) - 1, end_id) < 1 << 16 else pa.uint32()
                 writer = SequenceWriter(name, kind, length)
             row = 0
