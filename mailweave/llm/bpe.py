@@ -42,7 +42,7 @@ SLICE_CHARS = 1 << 21
 
 
 class Bpe:
-    """Encoder and decoder of one task."""
+    """Encoder and decoder."""
 
     def __init__(self, path: str, leaf: int = 256, long: int = 2048, remembered: int = 250_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -136,6 +136,17 @@ class Bpe:
         return b"".join(map(self.bytes.__getitem__, numbers)).decode("utf-8", "replace")
 
 
+_ready: dict[tuple, Bpe] = {}
+
+
+def ready(path: str, remembered: int = 250_000) -> Bpe:
+    """The worker's encoder: loaded once, and what it remembers serves its later tasks."""
+    if (path, remembered) not in _ready:
+        _ready.clear()
+        _ready[path, remembered] = Bpe(path, remembered=remembered)
+    return _ready[path, remembered]
+
+
 class Pieces(dict):
     """Ids of pieces after a space, those met lately and, in ``old``, before that."""
 
@@ -214,7 +225,7 @@ def encode_texts(df: DataFrame, text: str = "text", into: str = "ids", tokenizer
     kept = _replaced(df, into)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(path)
+        bpe = ready(path)
         for batch in batches:
             row = 0
             for group in slices([t or "" for t in batch.column(text).to_pylist()]):
@@ -233,7 +244,7 @@ def decode_ids(df: DataFrame, ids: str = "ids", into: str = "decoded", tokenizer
     kept = _replaced(df, into)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(path)
+        bpe = ready(path)
         for batch in batches:
             texts = pa.array([bpe.decode(i.as_buffer() if i.is_valid else b"") for i in batch.column(ids)], pa.string())
             columns = [batch.column(f.name) for f in kept]

@@ -33,7 +33,7 @@ PASSAGE = 600
 SAMPLE = 3_000
 BAG = 128
 PAIRS = 32
-SLICE = 1 << 20
+SLICE = 1 << 19
 REJECT = 0.3
 OUTPUT = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
 
@@ -163,7 +163,7 @@ class Attention:
 
 
 def groups(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts of about a million characters, with the place of the first."""
+    """Runs of texts of about half a million characters, with the place of the first."""
     start = size = 0
     for k, t in enumerate(texts):
         size += len(t)

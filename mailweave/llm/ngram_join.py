@@ -46,7 +46,7 @@ from mailweave.session import stored
 
 WORDS = 5
 NUM, DEN = 3, 4  # the threshold as a fraction
-BLOCK = 1 << 20  # shingles of a block
+BLOCK = 1 << 19  # shingles of a block
 BLOCK_TEXTS = 30_000
 VERIFY_COST = 10  # a verification, in postings read
 MOST_MATCHES = 16
@@ -190,7 +190,7 @@ def may_link(blocks: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """``(block, doc_id, n, grams)`` of texts; a block has about a million shingles."""
+    """``(block, doc_id, n, grams)`` of texts; a block has about half a million shingles."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = TaskContext.get().partitionId() << 32, 0

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailweave.llm.bpe import TOKENIZER, Bpe, slices
+from mailweave.llm.bpe import TOKENIZER, ready, slices
 from mailweave.llm.common import table
 from mailweave.operators.joins import attach
 from mailweave.session import scratch_path, stored
@@ -160,7 +160,7 @@ def write_token_files(
             if batch.num_rows == 0:
                 continue
             if writer is None:
-                bpe = Bpe(tokens, remembered=REMEMBERED)
+                bpe = ready(tokens, REMEMBERED)
                 kind = pa.uint16() if max(len(bpe.names) - 1, end_id) < 1 << 16 else pa.uint32()
                 writer = SequenceWriter(name, kind, length)
             row = 0
