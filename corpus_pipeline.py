@@ -10,22 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailweave.llm import bpe, language_id, mil_quality, mix, ngram_join
-from mailweave.llm.common import fresh, words
+from mailweave.llm.common import fresh, small_batches, words
 from mailweave.session import ship, stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned from the documents themselves."""
+    small_batches(spark)
     return language_id.stage(spark, docs, sf_dir)
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of fair quality."""
+    small_batches(spark)
     return mil_quality.stage(spark, docs, sf_dir)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    small_batches(spark)
     return ngram_join.stage(spark, docs, sf_dir)
 
 
@@ -38,6 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, source, lang, n_tokens, ids)``: ids as little-endian unsigned 32-bit integers."""
+    small_batches(spark)
     encoded = bpe.encode_texts(docs.select("doc_id", "source", "lang", "text"))
     return encoded.select(
         "doc_id", "source", "lang", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids"

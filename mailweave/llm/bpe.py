@@ -38,13 +38,14 @@ TOKENIZER = "byte_bpe_50k.json"
 GAP = re.compile(r" (?=\S)(?<=\S )")
 # Letters of the Latin blocks, then signs; all else is left to the library's own splitting.
 WORD = re.compile(r"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
-SLICE_CHARS = 1 << 21
+SLICE_CHARS = 1 << 20
+REMEMBERED = 100_000  # pieces a worker keeps the ids of, twice over, some 40 MB
 
 
 class Bpe:
     """Encoder and decoder."""
 
-    def __init__(self, path: str, leaf: int = 256, long: int = 2048, remembered: int = 250_000) -> None:
+    def __init__(self, path: str, leaf: int = 256, long: int = 2048, remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
@@ -139,7 +140,7 @@ class Bpe:
 _ready: dict[tuple, Bpe] = {}
 
 
-def ready(path: str, remembered: int = 250_000) -> Bpe:
+def ready(path: str, remembered: int = REMEMBERED) -> Bpe:
     """The worker's encoder: loaded once, and what it remembers serves its later tasks."""
     if (path, remembered) not in _ready:
         _ready.clear()

@@ -13,6 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python a few megabytes at a time: texts are long, and both sides hold a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; a null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")

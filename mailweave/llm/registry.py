@@ -6,6 +6,7 @@ from functools import wraps
 
 import corpus_pipeline
 from mailweave.llm import bpe, html_text, language_id, mil_quality, mix, ngram_join, quality_rules, shards, token_files, vector_join
+from mailweave.llm.common import small_batches
 from mailweave.session import ship
 
 QUERIES = {
@@ -30,6 +31,7 @@ def _shipped(query):
     @wraps(query)
     def run(spark, sf_dir):
         ship(spark)
+        small_batches(spark)
         return query(spark, sf_dir)
 
     return run
