@@ -88,7 +88,8 @@ def _best_scores(
 ) -> Iterator[pa.RecordBatch]:
     """Keep only the best rows per query while reading, so a task emits depth rows each."""
     kept: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-    for batch in batches:
+    step = max(1, PAIRS_PER_BATCH // max(1, len(qid)))
+    for batch in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
         folders = batch.column("folder").to_pandas().to_numpy()
         ids = batch.column("Id").to_numpy()
         vectors = _matrix(batch.column("embedding"))
