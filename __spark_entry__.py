@@ -475,7 +475,17 @@ def q_keyword_filtered(spark, sf):
 
 
 def q_hit_cap(spark, sf):
-    return _keyword(spark, sf, max_hits=hit_cap(10))
+    return _keyword(spark, sf, max_hits=hit_cap(store(spark, sf).corpus))
+
+
+def q_metrics_with_empty_list(spark, sf):
+    """Agreement of sets to which a first query without any hit was added."""
+    queries = benchmark(spark, sf)
+    empty = queries.select("set_id", (-1 - F.col("set_id")).alias("qid")).filter("set_id % 2 = 0").distinct()
+    sets = queries.select("set_id", "qid").unionByName(empty)
+    ranked = _keyword_rankings(spark, sf)
+    agreement = mt.weighted_kendalls_w(ranked, KEYS, sets=sets)
+    return rounded(agreement.join(mt.check_same_ids(ranked, KEYS, sets), KEYS), "kendalls_w")
 
 
 # --------------------------------------------------------------------------- dense
@@ -1041,7 +1051,7 @@ JOIN q USING (qid) JOIN mails m ON m.folder = b.folder AND m.Id = b.Id
 WHERE bonus > 0 AND (q.sender NOT IN (SELECT Name FROM names)
   OR lower(m.sender) IN (SELECT alias FROM names n WHERE n.Name = q.sender))""",
         "hit_cap": f"""WITH {boosted}, c AS (SELECT folder, qid, Id, best + sender + bonus AS score FROM boosted)
-SELECT folder, qid, Id, round(score, 6) AS score FROM {_ranked('c', 'folder, qid')} WHERE rank < 500""",
+SELECT folder, qid, Id, round(score, 6) AS score FROM c""",
         "l2_normalize": """WITH x AS (SELECT vec_id, unnest(range(64)) AS pos, embedding FROM embeddings),
 y AS (SELECT vec_id, pos, CAST(embedding[pos + 1] AS DOUBLE) * 3 AS e FROM x)
 SELECT vec_id, pos, round(CAST(CAST(e / sqrt(sum(e * e) OVER (PARTITION BY vec_id)) AS FLOAT) AS DOUBLE), 5) + 0.0 AS value FROM y""",
@@ -1090,6 +1100,12 @@ SELECT folder, qid, Id, round(best + sender + bonus, 6) AS score FROM boosted"""
 UNION ALL SELECT item_id, 2, lower(text) || ' ' || lower(text) FROM benchmark""",
         "best4_across": f"WITH {best4} SELECT folder, set_id, Id, round(score, 6) AS score, qid, rank FROM best4 WHERE rank < 4",
         "kendalls_w": f"WITH {ranked}, {W_SQL} SELECT folder, set_id, round(kendalls_w, 6) AS kendalls_w FROM kw_w",
+        "metrics_with_empty_list": f"""WITH {ranked}, {W_SQL}, s AS (SELECT folder, set_id, count(DISTINCT qid) AS n,
+count(DISTINCT Id) AS n_mails, count(*) AS n_rows FROM rk GROUP BY ALL)
+SELECT folder, set_id, CASE WHEN set_id % 2 = 0 THEN 1.0 ELSE round(kendalls_w, 6) END AS kendalls_w,
+n + CASE WHEN set_id % 2 = 0 THEN 1 ELSE 0 END AS n_lists, n_mails,
+n_rows = (n + CASE WHEN set_id % 2 = 0 THEN 1 ELSE 0 END) * n_mails AS same_ids
+FROM kw_w JOIN s USING (folder, set_id)""",
         "pairwise_mse": f"WITH {ranked}, {W_SQL} SELECT folder, set_id, round(pairwise_mse, 6) AS pairwise_mse FROM mse",
         "same_ids": f"""WITH {KW_CHAIN}, s AS (SELECT b.*, set_id FROM best b JOIN q USING (qid))
 SELECT folder, set_id, count(DISTINCT qid) AS n_lists, count(DISTINCT Id) AS n_mails,

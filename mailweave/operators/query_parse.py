@@ -59,13 +59,14 @@ def _start(mention: Column, as_of: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("y-M-d")).cast("date")
 
 
-def extract_date_range(col: Column, as_of: str | Column = "2024-01-01") -> Column:
+def extract_date_range(col: Column, as_of: str | Column | None = None) -> Column:
     """``struct<start_date, end_date>`` of the first date mention: one month from its start.
 
     A mention without a day starts at the first; a bare year at January 1; ``last <month>``
-    is the latest such month before the month of ``as_of``.
+    is the latest such month before the month of ``as_of``, the current date by default.
     """
-    today = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
+    today = F.current_date() if as_of is None else as_of
+    today = F.lit(today).cast("date") if isinstance(today, str) else today
     mention = F.regexp_extract(F.coalesce(col, F.lit("")), DATE_MENTION, 0)
     start = let(mention, lambda m: _start(m, today))
     return let(
@@ -88,7 +89,7 @@ def relevant_text(col: Column, stopwords: list[str]) -> Column:
 
 def parse_queries(
     queries: DataFrame,
-    as_of: str | Column = "2024-01-01",
+    as_of: str | Column | None = None,
     stopwords: list[str] | None = None,
 ) -> DataFrame:
     """``(qid, query, sender, start_date, end_date, relevant_text)``: projections only."""

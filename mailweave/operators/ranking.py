@@ -113,6 +113,8 @@ def number_docs(corpus: DataFrame, order_col: str = "Id") -> DataFrame:
     return ranked.withColumn("doc_no", F.col("doc_no") + 1)
 
 
-def hit_cap(n: int) -> int:
-    """Number of keyword hits to keep when ``n`` are asked for."""
-    return max(n, 500)
+def hit_cap(corpus: DataFrame) -> int:
+    """Number of keyword hits per folder and query that loses none: the mails of the largest
+    folder, 500 at least."""
+    sizes = corpus.groupBy("folder").agg(F.count(F.lit(1)).alias("n"))
+    return max(sizes.agg(F.max("n")).first()[0] or 0, 500)

@@ -14,7 +14,6 @@ from mailweave.operators.fusion import combine, rrf
 from mailweave.operators.joins import broadcast_limit, salted_join
 from mailweave.operators.keyword import keyword_search
 from mailweave.operators.query_parse import expand_queries, parse_queries
-from mailweave.operators.ranking import hit_cap
 from mailweave.plans.mailboxes import build_vectors
 from mailweave.session import stored
 from mailweave.sources.postings import Index, stored_index
@@ -85,12 +84,17 @@ def search_scores(
     generator: Callable[[str], list[str]] | None = None,
     boosts: bool = True,
     match: str = "exact",
-    as_of: str = "2024-01-01",
+    as_of: str | None = None,
     hits_only: bool = False,
     max_hits: int | None = None,
     dim: int = 64,
+    keyword_mode: str = "boost",
 ) -> DataFrame:
-    """``(folder, qid, Id, score, rank)`` for every query; both folders unless one is named."""
+    """``(folder, qid, Id, score, rank)`` for every query; both folders unless one is named.
+
+    ``max_hits`` keeps that many keyword hits per folder and query, all by default. With
+    ``keyword_mode="filter"`` sender and date restrict the keyword hits instead of raising them.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     check_folder(folder)
@@ -102,8 +106,9 @@ def search_scores(
         )
     if mode in ("hybrid", "keyword"):
         parsed = parse_queries(queries, as_of)
-        cap = None if max_hits is None else hit_cap(max_hits)
-        keyword = keyword_search(parsed, part.index, part.aliases, boosts, max_hits=cap, match=match)
+        keyword = keyword_search(
+            parsed, part.index, part.aliases, boosts, keyword_mode, part.corpus, max_hits, match
+        )
     return combine(semantic, keyword, queries, part.corpus, n, hits_only)
 
 

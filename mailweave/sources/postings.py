@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailweave.functions.text import term_counts
+from mailweave.functions.text import parse_date, term_counts
 from mailweave.session import scratch_path
 
 # Index field to mail column.
@@ -20,6 +20,7 @@ FIELDS = {
 }
 
 MAILS_PER_SHARD = 100_000
+MAX_SHARDS = 50_000  # Spark allows 100,000 buckets; beyond this many, buckets grow instead
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,12 @@ class Index:
 
 def _postings(corpus: DataFrame, fields: dict[str, str], key: str) -> DataFrame:
     """One row per term of a field of a mail. A narrow transformation: no shuffle."""
-    date = F.col("date_sent") if "date_sent" in corpus.columns else F.lit(None).cast("timestamp_ntz")
+    if "date_sent" in corpus.columns:
+        date = F.col("date_sent")
+    elif "ExtractedDateSent" in corpus.columns:
+        date = parse_date(F.col("ExtractedDateSent"))
+    else:
+        raise ValueError("a keyword index needs date_sent or ExtractedDateSent")
     texts = F.explode(
         F.array(*[F.struct(F.lit(f).alias("field"), F.col(c).alias("text")) for f, c in fields.items()])
     )
@@ -103,7 +109,7 @@ def write_index(
     spark = corpus.sparkSession
     if shards is None:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        shards = max(parts, math.ceil(corpus.count() / MAILS_PER_SHARD))
+        shards = min(max(parts, math.ceil(corpus.count() / MAILS_PER_SHARD)), MAX_SHARDS)
     table = _table_name()
     (
         _postings(corpus.repartition(shards, key), fields or FIELDS, key)
@@ -116,7 +122,9 @@ def write_index(
     )
     terms, stats = corpus_stats(spark.table(table))
     terms.write.mode("overwrite").parquet(f"{path}/terms")
-    stats.withColumn("shards", F.lit(shards)).write.mode("overwrite").parquet(f"{path}/fields")
+    stats.write.mode("overwrite").parquet(f"{path}/fields")
+    layout = spark.range(1).select(F.lit(shards).alias("shards"))
+    layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
     spark.sql(f"DROP TABLE {table}")
 
 
@@ -129,20 +137,20 @@ def load_index(spark: SparkSession, path: str) -> Index:
 
     The files are declared as an external bucketed table, so that Spark knows their layout.
     """
-    fields = spark.read.parquet(f"{path}/fields")
+    shards = spark.read.parquet(f"{path}/layout").first()["shards"]
     files = spark.read.parquet(f"{path}/postings")
-    shards = fields.first()["shards"]
     table = _table_name()
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
+    location = f"{path}/postings".replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet "
         f"CLUSTERED BY (Id) SORTED BY (folder, field, term) INTO {shards} BUCKETS "
-        f"LOCATION '{path}/postings'"
+        f"LOCATION '{location}'"
     )
     return Index(
         spark.table(table).drop("head"),
         spark.read.parquet(f"{path}/terms"),
-        fields.drop("shards"),
+        spark.read.parquet(f"{path}/fields"),
     )
 
 

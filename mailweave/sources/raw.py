@@ -22,7 +22,8 @@ SCHEMAS = {
 def read_raw_table(
     spark: SparkSession, directory: str, name: str, multiline: bool = True
 ) -> DataFrame:
-    """One raw table with its row order as ``ord``; a missing path is an error.
+    """One raw table with its row order as ``ord`` (file, place in the file, row); a missing
+    path is an error. Files follow each other by name.
 
     Columns are matched by header name. Bodies hold line breaks, so a file is read by one
     task; a table of many files is read in parallel. ``multiline=False`` splits files.
@@ -37,7 +38,13 @@ def read_raw_table(
     missing = [c for c, _ in wanted if c not in rows.columns]
     if missing:
         raise ValueError(f"{name} lacks columns {missing}")
-    return rows.select(*[c for c, _ in wanted]).withColumn("ord", F.monotonically_increasing_id())
+    # Spark reads large splits first, so ids alone do not follow the files.
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return rows.select(*[c for c, _ in wanted], place.alias("ord"))
 
 
 def read_raw(spark: SparkSession, directory: str) -> dict[str, DataFrame]:

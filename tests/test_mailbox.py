@@ -7,6 +7,7 @@ from mailweave.plans.mailboxes import build_mailboxes, build_vectors
 from mailweave.plans.search import fetch
 from mailweave.sources import raw as rw
 from mailweave.sources import store as st
+from mailweave.sources.raw import read_raw_table
 
 EMAILS = '''Id,DocNumber,ExtractedSubject,ExtractedTo,ExtractedFrom,ExtractedCc,ExtractedDateSent,ExtractedBodyText
 1,C1,Re: Plan,old,"Owner <O@x.gov>",,"Friday, March 11, 2011 01:36 PM","line one
@@ -103,3 +104,15 @@ def test_recipients_keep_row_order(spark):
         spark.createDataFrame([(1, "x"), (2, "y")], "Id bigint, ExtractedTo string"),
         mb.recipients(receivers, persons),
     ).filter(F.col("Id") == 2).first().ExtractedTo is None
+
+
+def test_row_order_follows_the_files(spark, tmp_path):
+    """The second part is the larger one, which Spark reads first."""
+    folder = tmp_path / "Aliases.csv"
+    folder.mkdir()
+    rows = [(f"a{i}", i) for i in range(402)]
+    for name, part in (("part-0.csv", rows[:2]), ("part-1.csv", rows[2:])):
+        (folder / name).write_text("Alias,PersonId\n" + "".join(f"{a},{p}\n" for a, p in part))
+    for multiline in (True, False):
+        read = read_raw_table(spark, str(tmp_path), "Aliases", multiline).orderBy("ord")
+        assert [r.PersonId for r in read.collect()] == list(range(402))

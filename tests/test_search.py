@@ -151,7 +151,31 @@ def test_sender_by_word_of_the_name(spark, store, aliases):
 def test_hit_cap(spark, store):
     parsed = parse_queries(asked(spark, "talk crisis"))
     assert keyword_search(parsed, store.index, max_hits=1).count() == 1
-    assert hit_cap(3) == 500 and hit_cap(900) == 900
+    assert search_scores(asked(spark, "talk crisis"), store, "inbox", "keyword", n=None, hits_only=True, max_hits=1).count() == 1
+    folder = spark.range(700).select(F.lit("inbox").alias("folder"), "id")
+    assert hit_cap(folder) == 700 and hit_cap(folder.limit(3)) == 500 and hit_cap(folder.limit(0)) == 500
+
+
+def test_filter_mode_of_a_search(spark, store):
+    queries = asked(spark, "praise from Alice in December 2012")
+    found = search_scores(queries, store, mode="keyword", keyword_mode="filter", hits_only=True)
+    assert [r.Id for r in found.collect()] == [1]
+
+
+def test_last_month_follows_the_current_date(spark):
+    row = parse_queries(asked(spark, "last March")).select(
+        (F.year("start_date") - F.year(F.current_date()) + F.when(F.month(F.current_date()) > 3, 0).otherwise(1)).alias("d")
+    )
+    assert row.first().d == 0
+
+
+def test_index_needs_dates_and_may_be_empty(spark, corpus):
+    derived = build_postings(corpus.drop("date_sent").withColumn("ExtractedDateSent", F.lit("2012-12-05 10:00:00")))
+    assert derived.postings.filter("date_sent is null").count() == 0
+    with pytest.raises(ValueError):
+        build_postings(corpus.drop("date_sent", "ExtractedDateSent"))
+    empty = stored_index(corpus.filter("Id < 0"))
+    assert bm25(asked(spark, QUERY), empty).count() == 0
 
 
 def test_expand_queries(spark):
@@ -251,6 +275,14 @@ def test_sets_without_hits_agree(spark, store):
     assert (row.kendalls_w, row.pairwise_mse) == (1.0, 0.0)
 
 
+def test_a_query_without_hits_beside_others_is_an_error(spark, store):
+    sets = spark.createDataFrame(
+        [("g", 1, 1, "zebra"), ("g", 1, 2, "talk")], "group string, set_id bigint, qid bigint, query string"
+    )
+    with pytest.raises(Exception, match="different mails"):
+        evaluate(sets, store, folder="inbox", mode="keyword").metrics.collect()
+
+
 def test_report_text(spark, store):
     queries = asked(spark, "talk crisis")
     report = reports.format_results(search(queries, store, n=1, mode="keyword"), queries)
