@@ -123,7 +123,9 @@ def write_index(
     terms, stats = corpus_stats(spark.table(table))
     terms.write.mode("overwrite").parquet(f"{path}/terms")
     stats.write.mode("overwrite").parquet(f"{path}/fields")
-    layout = spark.range(1).select(F.lit(shards).alias("shards"))
+    # An empty index has no files of postings to take the columns from.
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.table(table).schema)
+    layout = spark.range(1).select(F.lit(shards).alias("shards"), F.lit(columns).alias("columns"))
     layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
     spark.sql(f"DROP TABLE {table}")
 
@@ -137,14 +139,12 @@ def load_index(spark: SparkSession, path: str) -> Index:
 
     The files are declared as an external bucketed table, so that Spark knows their layout.
     """
-    shards = spark.read.parquet(f"{path}/layout").first()["shards"]
-    files = spark.read.parquet(f"{path}/postings")
+    layout = spark.read.parquet(f"{path}/layout").first()
     table = _table_name()
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
     location = f"{path}/postings".replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING parquet "
-        f"CLUSTERED BY (Id) SORTED BY (folder, field, term) INTO {shards} BUCKETS "
+        f"CREATE TABLE {table} ({layout['columns']}) USING parquet "
+        f"CLUSTERED BY (Id) SORTED BY (folder, field, term) INTO {layout['shards']} BUCKETS "
         f"LOCATION '{location}'"
     )
     return Index(
