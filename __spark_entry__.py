@@ -553,7 +553,9 @@ def q_combined_top10(spark, sf):
     queries = benchmark(spark, sf)
     known = given_vectors(spark, sf).join(s.corpus.select("folder", "Id"), ["folder", "Id"], "left_semi")
     # Products of vectors are signed, so mails without one rank in the middle.
-    wanted = vector_queries(spark, sf).join(queries.select("qid"), "qid", "left_semi")
+    # Every vector is a variant of some query.
+    variant = (F.col("vec_id") % queries.count()).alias("qid")
+    wanted = table(spark, sf, "embeddings").select(variant, F.col("vec_id").alias("variant_no"), "embedding")
     sem = dense_scores(wanted, known).groupBy("folder", "qid", "Id").agg(F.max("score").alias("score"))
     kw = match_best_field(queries, s.index).select("folder", "qid", "Id", F.col("best").alias("score"))
     return rounded(combine(sem, kw, queries, s.corpus, n=10), "score")
@@ -1070,7 +1072,8 @@ round(coalesce((score - min(score) OVER w) / nullif(max(score) OVER w - min(scor
 FROM best WINDOW w AS (PARTITION BY folder, qid)""",
         "combined_top10": f"""WITH {KW_CHAIN}, {given},
 es AS (SELECT v.folder, e.qid, v.Id, max(list_dot_product(e.v::DOUBLE[], v.v::DOUBLE[])) AS score
-  FROM eq e CROSS JOIN ev v WHERE v.Id IN (SELECT Id FROM mails) AND e.qid IN (SELECT qid FROM q) GROUP BY ALL),
+  FROM (SELECT vec_id % (SELECT count(*) FROM q) AS qid, embedding AS v FROM embeddings) e
+  CROSS JOIN ev v WHERE v.Id IN (SELECT Id FROM mails) GROUP BY ALL),
 {_combined('es', 'best')} {RESULT} WHERE rank < 10""",
         "full_ranking": f"""WITH {KW_CHAIN} SELECT folder, qid, Id, round(score, 6) AS score, rank FROM {_ranked('best', 'folder, qid')}""",
         "search_semantic": f"WITH {semantic} {RESULT} WHERE rank < 10",

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mailweave.session import stored
+
 BROADCAST_CONF = "spark.mailweave.broadcastBytes"
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 1000
-SALTS = 64
+HOT_ROWS = 500_000  # rows of a key in one task
+HOT_KEYS = 10_000  # bounds the list of hot keys: no more keys can each hold this share of the rows
+NULL_PARTS = 1000
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -43,22 +48,22 @@ def salted_join(
     spread: list[str],
     how: str = "inner",
 ) -> DataFrame:
-    """Shuffle join in which the most frequent keys of ``big`` are split.
+    """Shuffle join in which the frequent keys of ``big`` are split.
 
-    The hot-key list is bounded by its limit and ordered totally, so both uses agree.
-    Rows of a hot key are spread by a hash of the ``spread`` columns; the matching rows
-    of ``side`` are copied to every part. All other keys keep the single part 0.
+    A key is hot above ``HOT_ROWS`` rows, or above the ``HOT_KEYS``-th part of all rows where that
+    is more, so fewer than ``HOT_KEYS`` keys are hot. It gets as many parts as it holds that
+    number of rows. Its rows are spread by a hash of the ``spread`` columns; the matching rows of
+    ``side`` are copied to every part. All other keys keep the single part 0.
     ``how`` may be inner, left, left_semi or left_anti.
     """
-    hot = (
-        big.groupBy(*keys)
-        .count()
-        .orderBy(F.desc("count"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys, F.lit(SALTS).alias("_salts"))
+    counts = stored(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key_counts")
+    rows = counts.agg(F.sum("_rows")).first()[0] or 0
+    share = max(HOT_ROWS, math.ceil(rows / HOT_KEYS))
+    hot = counts.filter(F.col("_rows") > share).select(
+        *keys, F.ceil(F.col("_rows") / F.lit(float(share))).cast("int").alias("_salts")
     )
     # A null key never matches, so its rows may go anywhere.
-    unmatched = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(SALTS)) for k in keys])
+    unmatched = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(NULL_PARTS)) for k in keys])
     salts = F.coalesce(unmatched, F.col("_salts"), F.lit(1))
     part = F.pmod(F.xxhash64(*spread), salts).cast("int")
     parts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from mailweave.functions.text import extract_alias, is_owner
@@ -129,16 +129,20 @@ def drop_empty_body(df: DataFrame) -> DataFrame:
     return df.filter(F.col("ExtractedBodyText").isNotNull())
 
 
-def dedupe_corpus(df: DataFrame, order_col: str | None = None) -> DataFrame:
-    """One row per ``Id``, inbox before sent; copies are cut in each task before the shuffle.
-
-    A ``block`` depends on the id alone; naming it lets filters on it reach the files.
-    """
-    keys = [c for c in ("Id", "block") if c in df.columns]
+def _copies(df: DataFrame, order_col: str | None) -> WindowSpec:
     order = [F.when(F.col("folder") == FOLDERS[0], 0).otherwise(1)]
     order += [F.col(order_col)] if order_col else [F.xxhash64(*df.columns)]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    return Window.partitionBy("Id").orderBy(*order)
+
+
+def dedupe_corpus(df: DataFrame, order_col: str | None = None) -> DataFrame:
+    """One row per ``Id``, inbox before sent; copies are cut in each task before the shuffle."""
+    return df.withColumn("_n", F.row_number().over(_copies(df, order_col))).filter("_n = 1").drop("_n")
+
+
+def mark_leads(df: DataFrame, name: str, order_col: str | None = None) -> DataFrame:
+    """Add ``name``, true for the row of an ``Id`` that :func:`dedupe_corpus` keeps."""
+    return df.withColumn(name, F.row_number().over(_copies(df, order_col)) == 1)
 
 
 def mailbox_stats(mailboxes: DataFrame) -> DataFrame:

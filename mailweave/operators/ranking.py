@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mailweave.operators.joins import attach
 from mailweave.session import stored
 
 WINDOW_CONF = "spark.mailweave.windowRows"
@@ -49,15 +50,17 @@ def rank_within(
     ``group_rows`` is a known bound on the rows of a group. Small groups use one window.
     Larger or unknown ones are range-partitioned on keys and order, so that a group spans
     as many tasks as it needs; each row then adds the number of rows of its group in the
-    partitions before its own. The placed rows are stored first, because range bounds come
-    from a sample and must not change between the two uses.
+    partitions before its own. The number of partitions follows the rows of all groups. The
+    placed rows are stored first, because range bounds come from a sample and must not change
+    between the two uses.
     """
     if group_rows is not None and group_rows <= _window_rows(df):
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(parts, math.ceil((group_rows or 0) / WINDOW_ROWS))
+    df = stored(df, "unranked")
+    parts = max(parts, math.ceil(df.count() / WINDOW_ROWS))
     placed = stored(
         df.repartitionByRange(parts, *keys, *order)
         .sortWithinPartitions(*keys, *order)
@@ -65,17 +68,18 @@ def rank_within(
         "placed",
     ).withColumn("_part", F.shiftright("_pos", 33))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
+    shifts = stored(
         placed.groupBy(*keys, "_part")
         .agg(F.min("_pos").alias("_head"), F.count(F.lit(1)).alias("_n"))
         .select(
             *keys,
             "_part",
             (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_head")).alias("_shift"),
-        )
+        ),
+        "shifts",
     )
     return (
-        placed.join(shifts, [*keys, "_part"])
+        attach(placed, shifts, [*keys, "_part"], ["_pos"], "inner")
         .withColumn(name, F.col("_pos") + F.col("_shift"))
         .select(*df.columns, name)
     )

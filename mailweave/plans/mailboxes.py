@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailweave.functions.text import clean_body, clean_subject, compose_text, parse_date, repair_date_text
+from mailweave.functions.text import clean_body, clean_subject, compose_text, extract_alias, parse_date, repair_date_text
 from mailweave.operators import mailbox as mb
 from mailweave.operators.encode import Encoder, embed
 from mailweave.operators.joins import attach
@@ -23,7 +23,10 @@ def build_mailboxes(
     """
     emails, receivers = raw["Emails"], raw["EmailReceivers"]
     aliases, persons = raw["Aliases"], raw["Persons"]
-    mails = mb.with_senders(emails, mb.alias_names(aliases, persons))
+    # Names of the senders are only wanted beside the cleaned text.
+    mails = emails.withColumn("CleanedAlias", extract_alias(F.col("ExtractedFrom")))
+    if keep_clean:
+        mails = mb.with_senders(emails, mb.alias_names(aliases, persons))
     mails = mb.flag_sent(mails, mb.owner_aliases(aliases, persons, owner_pattern))
     mails = mb.fill_sender(mails)
     received = mb.received_ids(receivers, persons, owner_pattern).withColumn("_in", F.lit(True))

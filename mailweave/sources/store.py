@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailweave.functions.text import iso_date, parse_date
-from mailweave.operators.mailbox import FOLDERS, dedupe_corpus
+from mailweave.operators.mailbox import FOLDERS, mark_leads
 
 
 def check_folder(folder: str | None) -> None:
@@ -15,6 +15,7 @@ def check_folder(folder: str | None) -> None:
 
 
 BLOCKS = 16
+LEADS = "leads"  # marks the row of an Id that a corpus of both folders keeps
 
 
 def mail_block(mail_id: Column, blocks: int) -> Column:
@@ -22,31 +23,29 @@ def mail_block(mail_id: Column, blocks: int) -> Column:
     return F.concat_ws("-", F.lit(blocks), F.pmod(F.xxhash64(mail_id), F.lit(blocks)))
 
 
-def write_mailbox(df: DataFrame, path: str, blocks: int = BLOCKS) -> None:
+def write_mailbox(
+    df: DataFrame, path: str, blocks: int = BLOCKS, order_col: str | None = None
+) -> None:
     """Replace the mailbox table at ``path``.
 
     Mails are grouped into blocks by a hash of their id, so that fetching a few results
     reads few directories. The rebalance lets Spark split a block that is too big for a
-    task and join small ones. Use more blocks for larger tables.
+    task and join small ones. Use more blocks for larger tables. The row that stands for its
+    ``Id`` is marked here, once, so that loading is a plain scan.
     """
     blocked = df.withColumn("block", mail_block(F.col("Id"), blocks))
-    blocked.hint("rebalance", "folder", "block").write.mode("overwrite").partitionBy(
+    mark_leads(blocked, LEADS, order_col).hint("rebalance", "folder", "block").write.mode("overwrite").partitionBy(
         "folder", "block"
     ).parquet(path)
 
 
-def load_corpus(
-    spark: SparkSession, path: str, folder: str | None = None, order_col: str | None = None
-) -> DataFrame:
+def load_corpus(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
     """Mails of both folders, one row per ``Id``; a mail in both stays in the inbox.
 
-    The inbox alone needs only its own partition. The column ``block`` serves ``fetch``.
+    A folder needs only its own partition. The column ``block`` serves ``fetch``.
     """
     check_folder(folder)
-    mails = spark.read.parquet(path)
-    if folder == FOLDERS[0]:
-        return dedupe_corpus(mails.filter(F.col("folder") == folder), order_col)
-    unique = dedupe_corpus(mails, order_col)
+    unique = spark.read.parquet(path).filter(LEADS).drop(LEADS)
     return unique if folder is None else unique.filter(F.col("folder") == folder)
 
 

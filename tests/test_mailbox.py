@@ -88,6 +88,17 @@ def test_mailbox_round_trip(spark, raw, tmp_path):
     assert st.load_vectors(spark, vectors, "sent").count() == 1
 
 
+def test_loading_a_corpus_is_a_plain_scan(spark, raw, tmp_path):
+    path = str(tmp_path / "box")
+    boxes = build_mailboxes(raw, "owner")
+    st.write_mailbox(boxes.unionByName(boxes), path)
+    ids = st.load_corpus(spark, path).select("folder", "Id")
+    assert sorted((r.folder, r.Id) for r in ids.collect()) == [("inbox", 2), ("inbox", 3), ("sent", 1)]
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    assert "Extracted" not in plan.split("ReadSchema:")[1]
+
+
 def test_dedupe_cuts_copies_before_the_shuffle(spark):
     rows = [("sent", 1, "a")] * 50 + [("inbox", 1, "b"), ("sent", 2, "c")]
     df = spark.createDataFrame(rows, "folder string, Id bigint, x string")

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from mailweave.operators import joins, ranking
 from mailweave.operators.dense import dense_rank_all, dense_scores
 from mailweave.operators.fusion import combine, min_max, rrf
 from mailweave.operators.joins import attach, salted_join
@@ -40,6 +41,21 @@ def test_rank_within_both_forms(spark, group_rows):
     assert as_ranks(ranked) == expected_ranks(rows)
 
 
+def test_ranges_follow_the_rows_of_all_groups(spark, tiny_broadcast, monkeypatch):
+    monkeypatch.setattr(ranking, "WINDOW_ROWS", 9)
+    rows = random_scores()
+    ranked = rank_all(scores(spark, rows), ["folder", "qid"])
+    assert as_ranks(ranked) == expected_ranks(rows)
+
+
+def test_few_keys_are_hot_at_any_size(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 1)
+    monkeypatch.setattr(joins, "HOT_KEYS", 4)
+    big = spark.range(400).select(F.col("id").alias("Id"), (F.col("id") % 7).alias("k"))
+    joined = salted_join(big, big.select("k").distinct().withColumn("v", F.col("k")), ["k"], ["Id"])
+    assert joined.count() == 400 and joined.filter("k != v").count() == 0
+
+
 def test_rank_does_not_depend_on_partitions(spark):
     rows = random_scores(seed=2)
     spark.conf.set("spark.sql.shuffle.partitions", "7")
@@ -69,7 +85,8 @@ def test_number_docs(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_with_a_hot_key(spark, how):
+def test_salted_join_with_a_hot_key(spark, how, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 20)
     big = spark.range(500).select(
         F.col("id").alias("Id"),
         F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 20).alias("k"),
