@@ -28,7 +28,11 @@ def scaled(value: Column, low: Column, high: Column) -> Column:
 
 
 def min_max(df: DataFrame, key: str = "qid", score: str = "score") -> DataFrame:
-    """Add ``norm``, the score scaled to [0, 1] within each group."""
+    """Add ``norm``, the score scaled to [0, 1] within each group.
+
+    The scores are stored, as bounds, their size and the join each read them.
+    """
+    df = stored(df, "unscaled")
     bounds = df.groupBy(key).agg(F.min(score).alias("_low"), F.max(score).alias("_high"))
     spread = [c for c in df.columns if c != key]
     return attach(df, bounds, [key], spread).withColumn(
