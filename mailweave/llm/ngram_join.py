@@ -16,9 +16,11 @@ of both (n the size of a set, o = ceil(0.75 n)) have l in common. Three steps us
 
 Within a posting list of thousands of near copies, pairs are not listed. First each text is
 compared with one leader of its lists; links found merge texts into groups, and only pairs
-whose texts are in different groups stay open. Those of short lists are listed and verified; long
-lists are compared chunk against chunk within tasks, which return only links that still join
-groups. Components come out the same as with all pairs.
+whose texts are in different groups stay open. Of those, the first common shingle is in the prefix
+for l = 1 of both texts, so from here on only these postings count. Pairs that meet so in short
+lists are listed and verified, whatever else they share; long lists are compared chunk against
+chunk within tasks, which return only links that still join groups. Components come out the same
+as with all pairs.
 
 Sets are compared by 64-bit hashes of the shingles.
 
@@ -223,7 +225,8 @@ def best_matches(df: np.ndarray, n: int) -> int:
 
 
 def postings(sets: DataFrame, buckets: int) -> DataFrame:
-    """``(gram, doc_id, n, matches)`` of every prefix shingle that another text has too."""
+    """``(gram, doc_id, n, matches, place)`` of every prefix shingle that another text has too, with
+    its place in the order of the text's shingles; ``first`` if it is in the prefix for l = 1."""
 
     def by_bucket(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         bucket = ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
@@ -255,6 +258,7 @@ def postings(sets: DataFrame, buckets: int) -> DataFrame:
         known = np.empty(len(unique), dtype=np.int64)
         known[np.searchsorted(unique, ordered)] = df
         out: list[tuple] = []
+        places: list[np.ndarray] = []
         first: list[np.ndarray] = []
         for doc, g in zip(left.column("doc_id").to_pylist(), grams):
             own = known[np.searchsorted(unique, g)]
@@ -264,13 +268,14 @@ def postings(sets: DataFrame, buckets: int) -> DataFrame:
             chosen = order[: prefix(n, matches)]
             shared = np.nonzero(own[: len(chosen)] >= 2)[0]
             out.append((g[chosen[shared]], doc, n, matches))
+            places.append(shared)
             first.append(shared < prefix(n, 1))
         times = [len(c) for c, *_ in out]
         spread = lambda k, kind: pa.array(np.repeat(np.array([o[k] for o in out], dtype=np.int64), times), kind)
         return pa.table({
             "gram": pa.array(np.concatenate([c for c, *_ in out]).view(np.int64)),
             "doc_id": spread(1, pa.int64()), "n": spread(2, pa.int64()), "matches": spread(3, pa.int64()),
-            "first": pa.array(np.concatenate(first)),
+            "place": pa.array(np.concatenate(places).astype(np.int32)), "first": pa.array(np.concatenate(first)),
         })
 
     sent = sets.select("block", "grams").groupBy("block").applyInArrow(
@@ -279,7 +284,7 @@ def postings(sets: DataFrame, buckets: int) -> DataFrame:
     answers = frequencies(sent, "bigint")
     asked = sets.select("block", "doc_id", "grams")
     return asked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        choose, "gram bigint, doc_id bigint, n bigint, matches bigint, first boolean"
+        choose, "gram bigint, doc_id bigint, n bigint, matches bigint, place int, first boolean"
     )
 
 
@@ -315,20 +320,24 @@ def star_pairs(lists: DataFrame, turn: int) -> DataFrame:
 
 
 def short_list_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of different groups that share enough shingles of short lists."""
-    side = lambda end: lists.select("gram", *[F.col(c).alias(f"{c}_{end}") for c in ("doc_id", "n", "matches", "component")])
+    """Pairs of different groups that share a shingle of ``lists`` and can be similar enough.
+
+    After the first shingle that two texts have in common they share at most what is left of
+    either. Later ones give a lower bound, so a pair stays if any of its rows does.
+    """
+    side = lambda end: lists.select("gram", *[F.col(c).alias(f"{c}_{end}") for c in ("doc_id", "n", "place", "component")])
     met = side("a").join(side("b"), "gram").filter("doc_id_a < doc_id_b AND component_a != component_b").filter(_fit("n_a", "n_b"))
-    pairs = met.groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"), F.min(F.least("matches_a", "matches_b")).alias("least")
-    )
-    return pairs.filter("shared >= least")
+    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    met = met.filter(100 * most >= 75 * (F.col("n_a") + F.col("n_b") - most))
+    return met.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
 def long_list_links(lists: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links within long lists that join different groups, enough of them to connect these.
 
     A list is cut into chunks and a task compares two chunks, whole sets against an inverted
-    index of them, without a row per pair. A pair with any long list in common is settled here.
+    index of them, without a row per pair. A pair whose first common shingle is that of a long list
+    is settled here.
     """
     chunks = F.ceil(F.col("m") / F.lit(float(CHUNK))).cast("int")
     rows = lists.select("gram", "doc_id", "component").join(sizes, "gram").withColumn("k", chunks)
@@ -399,16 +408,18 @@ def links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
         opened = stored(held.join(several.select("gram"), "gram"), "open_lists")
         if opened.count() <= size // 8:
             break
-    # The first shingle that a linked pair has in common is in the shortest prefix of both, so long
-    # lists need only those texts whose shortest prefix has the shingle.
-    sizes = opened.filter("first").groupBy("gram").agg(F.count(F.lit(1)).alias("m"))
+    # The first shingle that a linked pair has in common is in the shortest prefix of both, so lists
+    # need only those texts whose shortest prefix has the shingle. Shingles in common cannot be
+    # counted over some of the lists only, so one of a short list is enough.
+    opened = opened.filter("first")
+    sizes = opened.groupBy("gram").agg(F.count(F.lit(1)).alias("m"))
     sizes = stored(sizes.filter(F.col("m") > LONG_LIST), "long_lists")
     short = opened.join(sizes, "gram", "left_anti")
     last = stored(verified(short_list_pairs(short), sets), "new_links")
     found = found.union(last)
     if sizes.isEmpty():
         return found
-    return found.union(stored(long_list_links(opened.filter("first"), sizes, sets), "new_links"))
+    return found.union(stored(long_list_links(opened, sizes, sets), "new_links"))
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

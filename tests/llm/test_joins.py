@@ -65,6 +65,32 @@ def test_ngram_join(spark, monkeypatch, long_list, chunk):
     assert found == brute(rows)
 
 
+def test_ngram_join_of_pair_between_short_and_long_lists(spark):
+    """The first shingle in common is in a short list, the others in long lists where only one of
+    the two texts has them in its shortest prefix."""
+    passage, single, body = range(1000, 1025), [1], range(100, 174)
+    apart, other, template = range(2000, 2100), range(3000, 3300), []
+    for k in range(60):
+        template.append([*body, *other, 10_000 + k])
+    for k in range(20):
+        template.append([*other, 20_000 + k])
+    for k in range(39):
+        template.append([*passage, *single, *apart, 30_000 + k])
+    texts = [*template, [*passage, *single, *body], [*single, *body]]
+    rows = [(k // 40, k, len(g), [v << 32 | v for v in sorted(g)]) for k, g in enumerate(texts)]
+    sets = spark.createDataFrame(rows, "block bigint, doc_id bigint, n bigint, grams array<bigint>")
+    lists = ngram_join.postings(sets, 8)
+    first = {r.gram >> 32: r["count"] for r in lists.filter("first").groupBy("gram").count().collect()}
+    assert first[1] <= ngram_join.LONG_LIST < min(first[k] for k in body)
+    found = {r.node: r.component for r in components(ngram_join.links(lists, sets)).collect()}
+    pairs = [
+        (i, j) for i, g in enumerate(texts) for j, h in enumerate(texts[:i])
+        if 100 * len({*g} & {*h}) >= 75 * len({*g, *h})
+    ]
+    want = groups(range(len(texts)), pairs)
+    assert {k: found.get(k, k) for k in want} == want and want[len(texts) - 1] == len(texts) - 2
+
+
 def test_ngram_join_of_odd_rows(odd, none):
     rows = [tuple(r) for r in odd.select("doc_id", "text").collect()]
     out = ngram_join.near_duplicates(odd).collect()
