@@ -31,6 +31,35 @@ def test_model_size_is_bounded(docs):
     assert sum(len(m.orders[0].keys) for m in model.models) <= 4000
 
 
+def test_calibration_of_a_rare_language(spark, docs, monkeypatch):
+    """Every language has its own sample, whatever the size of the others."""
+    monkeypatch.setattr(language_id, "FEWEST", 20)
+    known = docs.filter("lang IS NOT NULL AND length(text) > 200")
+    en = known.filter("lang = 'en'").limit(100)
+    de = known.filter("lang = 'de'").limit(30)
+    training = en.unionByName(de).select("doc_id", "text", "lang")
+    for k in range(4):
+        training = training.unionByName(en.select((F.col("doc_id") + 10**7 * (k + 1)).alias("doc_id"), "text", "lang"))
+    model = language_id.fit(training)
+    sizes = []
+    put = language_id.set_limits
+    monkeypatch.setattr(language_id, "set_limits", lambda m, seen: (sizes.append(seen["lang"].value_counts().to_dict()), put(m, seen)))
+    language_id.calibrate(model, training, "text", "lang", "doc_id", most=50)
+    assert sizes[0][model.langs.index("de")] == 30 and 25 <= sizes[0][model.langs.index("en")] <= 80
+
+
+def test_limits_of_a_language_with_few_texts():
+    rng = np.random.default_rng(5)
+    model = language_id.Model(pd.DataFrame({"lang": ["a", "b", "c"], "gram": [1, 2, 3], "n": [1, 1, 1]}))
+    seen = pd.DataFrame({"lang": [0] * 5000 + [1], "h": [*rng.normal(3, 0.2, 5000), 2.5], "n": 400})
+    language_id.set_limits(model, seen)
+    assert np.isfinite(model.limit).all()
+    # One text or none: rejected by the spread of all texts, neither never nor at the least distance.
+    for k in (1, 2):
+        assert model.limit[k] == pytest.approx(model.limit[0], rel=0.05) and model.limit[k] > 10
+        assert model.mean[k] == pytest.approx(3, abs=0.05)
+
+
 def test_language_of_odd_rows(odd, none):
     model = language_id.fit(language_id.training_rows(odd))
     rows = language_id.predict_language(odd, model).collect()
