@@ -9,8 +9,10 @@ labelled table below says which blocks are main text; the chosen ones are joined
 Each page is read once, within its row; nothing is shuffled. The tree is grown on the driver
 from the table, whatever the input.
 
-Edge cases: null, empty and tag-only pages give the empty text. Unclosed tags, comments and
-scripts end with the page. White space of any kind inside a block becomes one space. Repeated
+Edge cases: null, empty and tag-only pages give the empty text. Comments, scripts, styles,
+text areas and titles without an end go to the end of the page; of other parts that show no text
+(``UNSEEN``) only the tag is left out then, and an empty ``<svg ... />`` is over at once. Text in
+the head outside such parts starts the body, as in browsers. Formulas are text. White space of any kind inside a block becomes one space. Repeated
 pages are handled each; extra columns are kept, but an existing column ``text`` is replaced. An
 empty table gives no rows.
 """
@@ -30,10 +32,13 @@ from pyspark.sql import types as T
 from mailweave.llm.common import table
 
 # Kinds of tags.
-UNSEEN = "script style noscript template svg iframe object textarea select head title math canvas audio video".split()
+TO_THE_END = {"script", "style", "textarea", "title"}  # of the page, if not ended
+UNSEEN = TO_THE_END | set("noscript template svg iframe object select canvas audio video annotation annotation-xml".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr nobr".split()
+    "small span strike strong sub sup time tt u var wbr nobr "
+    "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle "
+    "merror mpadded mphantom mmultiscripts mprescripts mtable mtr mtd".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = {"article", "main"}
@@ -50,10 +55,11 @@ ROLE = re.compile(r"role\s*=\s*[\"']?(?:navigation|banner|contentinfo|complement
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 CLASS_OR_ID = re.compile(r"(?:^|\s)(?:class|id)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<unseen>" + "|".join(UNSEEN) + r")\b[^>]*>.*?(?:</(?P=unseen)\s*>|(?P<open>\Z))"
+    r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)>",
     re.I | re.S,
 )
+END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in UNSEEN}
 
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "article", "aside", "heading"]
 
@@ -174,7 +180,8 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
             linked.clear()
 
     at = 0
-    for m in MARKUP.finditer(page):
+    endless: set[str] = set()  # tags without a further end
+    while m := MARKUP.search(page, at):
         if m.start() > at:
             piece = page[at : m.start()]
             pieces.append(piece)
@@ -185,6 +192,17 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in UNSEEN and not m["end"]:
+            if tag == "svg" and m["rest"].endswith("/"):
+                continue
+            end = None if tag in endless else END[tag].search(page, at)
+            if end:
+                at = end.end()
+            elif tag in TO_THE_END:
+                at = len(page)
+            else:
+                endless.add(tag)
+            continue
         if tag in INLINE:
             if tag == "a":
                 in_link = not m["end"]
@@ -199,7 +217,7 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
                 if stack[k][0] == tag:
                     del stack[k:]
                     break
-        elif tag not in VOID and not m["rest"].endswith("/"):
+        elif tag not in VOID and tag != "head" and not m["rest"].endswith("/"):
             _, article, aside, _ = stack[-1] if stack else ("", False, False, False)
             rest = m["rest"]
             if rest:

@@ -130,6 +130,19 @@ def test_pages(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<head class=header><meta charset=x><title>x</title><body><article><p>Some kept words here.</p></article>", "Some kept words here."),
+    ("<head><script>'<p>'</script><link href=x><article><p>Some kept words here.</p></article>", "Some kept words here."),
+    ("<article><p>One two <svg width='1'/>three four.</p><p>More words are here.</p></article>", "One two three four.\nMore words are here."),
+    ("<article><p>One two three four.</p><svg><path d=x/>unseen</svg><p>More words are here.</p></article>", "One two three four.\nMore words are here."),
+    ("<article><p>One two three four.</p><iframe class=ad><p>More words are here.</p></article>", "One two three four.\nMore words are here."),
+    ("<article><p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math> holds, <math/>so it is.</p></article>", "Here x=2 holds, so it is."),
+    ("<article><p>One two three four.</p><textarea>to the end<p>More words are here.</p></article>", "One two three four."),
+])
+def test_unended_parts_of_a_page(page, want):
+    assert html_text.main_text(page, html_text.grow(*html_text.labelled())) == want
+
+
 def test_pages_of_the_given_table(spark):
     """The articles there are a heading and paragraphs, which the tree does not know."""
     import html as h
