@@ -34,7 +34,6 @@ SAMPLE = 3_000
 BAG = 128
 PAIRS = 32
 SLICE = 1 << 19
-REJECT = 0.3
 OUTPUT = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
 
 # Kinds of characters that are counted in a passage.
@@ -226,9 +225,9 @@ def op3_quality(spark, sf_dir) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of fair quality; those scored below ``REJECT`` go."""
+    """Documents of fair quality; those that :func:`score_quality` predicts as 0 go."""
     model = fit(docs, table(spark, sf_dir, "labels"))
     kept = docs.columns
     renamed = docs.toDF(*[f"c{k}" for k in range(len(kept))])
-    scored = score_quality(renamed, model, f"c{kept.index('text')}").filter(F.col("score") >= REJECT)
+    scored = score_quality(renamed, model, f"c{kept.index('text')}").filter("predicted = 1")
     return scored.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(kept)])

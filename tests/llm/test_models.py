@@ -110,6 +110,13 @@ def test_quality_of_odd_rows(spark, odd, none):
     assert {r.score for r in mil_quality.score_quality(odd, untaught).collect()} == {0.5}
 
 
+def test_quality_stage_keeps_what_is_predicted(docs, monkeypatch):
+    model = mil_quality.Attention()
+    monkeypatch.setattr(mil_quality, "fit", lambda *_: model)
+    for model.share, kept in ((0.4, 0), (0.5, docs.count())):
+        assert mil_quality.stage(docs.sparkSession, docs, "/root/testdata/sf0.01").count() == kept
+
+
 PAGES = [
     (None, ""),
     ("", ""),
