@@ -7,8 +7,8 @@ sum of the encodings. Encoder, attention and output are learned together, from d
 alone, by gradient descent on the log loss.
 
 Learning is done on the driver from a bounded sample: at most ``SAMPLE`` labelled documents,
-chosen by a hash of their ids, each of at most ``BAG`` passages. Only their passage features are
-gathered. Scoring reads every whole text in its task and shuffles nothing.
+chosen by a hash of their ids, each of at most ``BAG`` passages; those of a longer one are drawn
+by hash over its whole length. Only their passage features are gathered. Scoring reads every whole text in its task and shuffles nothing.
 
 Edge cases: a null or empty text is one passage without words and gets a score like others. If
 there is no label, or only one kind, every score is the share of label 1 (0.5 without any). A
@@ -18,6 +18,7 @@ kept; columns with the output's names are replaced. An empty table gives no rows
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,9 +68,19 @@ def passages(text: str) -> list[str]:
     return out
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all passages, and the number of passages of each text."""
+def drawn(bag: list[str], most: int) -> list[str]:
+    """At most ``most`` passages in their order, by a hash of passage and place."""
+    if len(bag) <= most:
+        return bag
+    order = sorted(range(len(bag)), key=lambda k: (zlib.crc32(f"{k} {bag[k]}".encode("utf-8", "surrogatepass")), k))
+    return [bag[k] for k in sorted(order[:most])]
+
+
+def features(texts: list[str], most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all passages, or of ``most`` drawn from each text, and their number in each text."""
     bags = [passages(t) for t in texts]
+    if most is not None:
+        bags = [drawn(b, most) for b in bags]
     sizes = np.array([len(b) for b in bags], dtype=np.int64)
     flat = [p for b in bags for p in b]
     n = len(flat)
@@ -183,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for first, some in groups(frame["text"].tolist()):
-                x, sizes = features(some)
+                x, sizes = features(some, BAG)
                 ends = np.cumsum(sizes)
                 part = frame.iloc[first : first + len(some)]
                 yield pd.DataFrame({
@@ -192,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
                 })
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).filter(F.length("text") <= PASSAGE * BAG)
+    rows = docs.select("doc_id", text.alias("text"))
     rows = rows.join(F.broadcast(chosen), "doc_id").mapInPandas(describe, "doc_id bigint, label int, n bigint, x binary")
     bags = rows.toPandas().sort_values(["doc_id", "n", "x"], ignore_index=True)
     x = np.frombuffer(b"".join(bags["x"]), dtype=np.float32).reshape(-1, N_FEATURES)

@@ -117,6 +117,15 @@ def test_quality_stage_keeps_what_is_predicted(docs, monkeypatch):
         assert mil_quality.stage(docs.sparkSession, docs, "/root/testdata/sf0.01").count() == kept
 
 
+def test_long_labelled_texts_are_learned_from(spark):
+    junk, prose = "#### $$$$ 1234 !!!! " * 6000, "some plain words that follow each other " * 3000
+    docs = spark.createDataFrame([(k, prose if k % 2 else junk) for k in range(12)], "doc_id bigint, text string")
+    model = mil_quality.fit(docs, docs.selectExpr("doc_id", "int(doc_id % 2) AS quality"))
+    assert model.share is None and model.scores([prose])[0] > 0.5 > model.scores([junk])[0]
+    bag = mil_quality.drawn([str(k) for k in range(1000)], mil_quality.BAG)
+    assert len(bag) == mil_quality.BAG and 0.3 < np.mean([int(p) >= 500 for p in bag]) < 0.7 and bag == sorted(bag, key=int)
+
+
 PAGES = [
     (None, ""),
     ("", ""),
