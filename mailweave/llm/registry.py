@@ -5,7 +5,10 @@ from __future__ import annotations
 from functools import wraps
 
 import corpus_pipeline
-from mailweave.llm import bpe, html_text, language_id, mil_quality, mix, ngram_join, quality_rules, shards, token_files, vector_join
+from mailweave.llm import (
+    bpe, fill_in_middle, filter_audit, html_text, language_id, mil_quality, mix, ngram_join, quality_rules, shards, token_files,
+    vector_join, warc,
+)
 from mailweave.llm.common import small_batches
 from mailweave.session import ship
 
@@ -20,10 +23,16 @@ QUERIES = {
     "op8_shards": shards.op8_shards,
     "op9_html_text": html_text.op9_html_text,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_warc": warc.op13_warc,
 }
 SQL = {
     "op6_mix_sources": mix.ORACLE_SQL,
     "op10_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_fill_in_middle": fill_in_middle.ORACLE_SQL,
+    "op12_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_warc": warc.ORACLE_SQL,
 }
 
 
