@@ -4,28 +4,38 @@ Unit vectors with cosine c lie at squared distance 2 - 2c. After a fixed random
 is split into blocks of eight dimensions, each with its share of the allowed squared distance: if
 two vectors are within the whole budget, they are within the share in at least one block. So a
 range join per block, in eight dimensions, finds every pair, and the union of what the blocks
-find is verified with the whole vectors.
-
-The range join of a block cuts its space into cells by medians of a bounded sample, one dimension
-after the other. A vector lives in one cell and visits every other cell that its ball reaches;
-a task compares those that live in a cell with all that are there. The number of cuts is chosen
-from the sample: each halves the comparisons at most and adds visitors. A pair found in several
-blocks counts in the first of them. Tasks return sums of links per vector and just enough links
-to connect the groups, never all pairs. Cells of more than ``CHUNK`` vectors are cut into chunks,
-compared two by two.
-
-Exact copies are one class throughout, weighted by its size.
+find is verified.
+
+The range join of a block cuts its space into cells of about ``CELL`` vectors by medians of a
+bounded sample, always along the widest dimension; the number of cuts follows the number of
+vectors. A vector lives in one cell and visits those cells of a higher number that its ball
+reaches, so a pair meets in one cell. What travels is the rotated vector in 16-bit steps, all
+visitors of a cell from one batch in one row. A task cuts on inside its cell: it halves those that
+live there again and again and keeps, for each part, only the visitors within reach of its box,
+until ``LEAF`` are left to be compared by one product. More than ``CHUNK`` vectors in a cell are
+dealt to several tasks.
+
+A pair that several blocks find counts in the first of them; this is decided in whole numbers, so
+all tasks agree. The steps leave the cosine uncertain by about 1e-4: pairs surely above the limit
+count at once, pairs surely below go, and the few between are joined with the whole vectors and
+decided in double precision. Tasks return sums of links per vector and just enough links to
+connect the groups, never all pairs. Exact copies are one class throughout, weighted by its size.
+
+The work of the range joins depends on the data: 0.9 cosine leaves balls in eight dimensions that
+reach a fair part of the neighbouring cells, so it grows faster than the input, but slower than
+its square. The links inside a group of near copies are all counted, and so cost its square.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components link with
 nothing. Vectors of different length do not link. Rows with the same id count as separate
-vectors, and a group is named by the smallest id. A null id links with nothing. Extra columns are not read. An empty table gives
-no rows.
+vectors, and a group is named by the smallest id. A null id links with nothing. Extra columns are
+not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +44,19 @@ from pyspark.sql import functions as F
 
 from mailweave.llm.common import table
 from mailweave.llm.components import components
+from mailweave.operators.joins import attach
 from mailweave.session import stored
 
 COSINE = 0.9
 BLOCK = 8
-CHUNK = 32_768
-SAMPLE = 4_000
-MOST_CUTS = 8
-ROW_COST, PAIR_COST = 6e-6, 1.2e-9  # seconds to move a visitor, and to compare a pair in a block
-SLACK = 1e-6
+CELL = 4096
+CHUNK = 65_536
+LEAF = 256
+SAMPLE_BYTES = 32 << 20  # of 64-bit vectors, over all lengths, that place the cuts
+SAMPLE_PER_CELL = 16
+PACK = 32_768  # vectors whose visits are packed together
+STEPS = 32_767  # of a component
+FUZZ = 1e-5  # beyond the rounding of 32-bit products
 
 
 def unit_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -72,212 +86,370 @@ def unit_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.mapInArrow(scale, "vec_id bigint, class binary, unit binary")
 
 
+@lru_cache(maxsize=32)
 def rotation(d: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(d).normal(size=(d, d)))
     return q * np.sign(np.diag(r))
 
 
-class Cells:
-    """Cuts of every block for vectors of one length, and the budget of every block."""
-
-    def __init__(self, sample: np.ndarray, total: int, cosine: float) -> None:
-        d = sample.shape[1]
-        self.turn = rotation(d)
-        self.starts = list(range(0, d, BLOCK))
-        self.whole = 2 - 2 * cosine
-        self.budget = [self.whole * (min(s + BLOCK, d) - s) / d * (1 + SLACK) + 1e-12 for s in self.starts]
-        self.trees = []
-        turned = sample @ self.turn
-        for b, s in enumerate(self.starts):
-            x = turned[:, s : s + BLOCK]
-            best = None
-            for cuts in range(0, min(MOST_CUTS, x.shape[1]) + 1):
-                tree = self._grow(x, 0, cuts)
-                visits = len(self.visit(tree, x, self.budget[b])[0]) / max(1, len(x))
-                cost = total * visits * ROW_COST + total * total * visits / 2**cuts * PAIR_COST
-                if best is None or cost < best[0]:
-                    best = (cost, tree)
-            self.trees.append(best[1])
-
-    def _grow(self, x: np.ndarray, dim: int, cuts: int):
-        if cuts == 0:
-            return None
-        cut = float(np.median(x[:, dim])) if len(x) else 0.0
-        low = x[:, dim] <= cut
-        return cut, self._grow(x[low], dim + 1, cuts - 1), self._grow(x[~low], dim + 1, cuts - 1)
-
-    @staticmethod
-    def visit(tree, x: np.ndarray, budget: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows, cells, and whether the row lives there, for every cell its ball reaches."""
-        found: list[tuple[np.ndarray, int, np.ndarray]] = []
-
-        def go(node, rows, spent, dim, cell):
-            if not len(rows):
-                return
-            if node is None:
-                found.append((rows, cell, spent == 0))
-                return
-            cut, low, high = node
-            side = x[rows, dim] - cut
-            for child, number, beyond in ((low, 2 * cell, side > 0), (high, 2 * cell + 1, side <= 0)):
-                now = spent + np.where(beyond, np.maximum(side**2, 1e-300), 0.0)
-                near = now <= budget
-                go(child, rows[near], now[near], dim + 1, number)
-
-        go(tree, np.arange(len(x)), np.zeros(len(x)), 0, 1)
-        rows = np.concatenate([f[0] for f in found]) if found else np.empty(0, np.int64)
-        cells = np.concatenate([np.full(len(f[0]), f[1]) for f in found]) if found else np.empty(0, np.int64)
-        home = np.concatenate([f[2] for f in found]) if found else np.empty(0, bool)
-        return rows, cells, home
-
-
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(len(column), -1)
-
-
-def cell_links(classes: DataFrame, cells: dict[int, Cells], cosine: float) -> DataFrame:
-    """``(first, n, a, b)``: partial numbers of linked vectors of classes, and links ``a, b``."""
-    spark = classes.sparkSession
-    shared = spark.sparkContext.broadcast(cells)
-
-    def visits(batches: Iterator[pa.RecordBatch], thin: bool, chunks: dict) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dims = np.array([len(u.as_buffer()) // 8 for u in batch.column("unit")])
-            for d in np.unique(dims):
-                at = np.nonzero(dims == d)[0]
-                part = batch.take(pa.array(at))
-                known = shared.value[int(d)]
-                turned = _matrix(part.column("unit")) @ known.turn
-                for b, s in enumerate(known.starts):
-                    rows, cell, home = known.visit(known.trees[b], turned[:, s : s + BLOCK], known.budget[b])
-                    if thin:
-                        where, counts = np.unique(cell, return_counts=True)
-                        zero = np.zeros(len(where), np.int32)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(zero + int(d)), pa.array(zero + b), pa.array(where), pa.array(counts)],
-                            names=["d", "block", "cell", "n"],
-                        )
-                        continue
-                    first = part.column("first").to_numpy()[rows]
-                    k = np.array([chunks.get((int(d), b, int(c)), 1) for c in cell]) if chunks else np.ones(len(cell), np.int64)
-                    mine = (first * 2654435761 >> 7) % k
-                    # A home row meets every chunk; the others come to it.
-                    for other in range(int(k.max()) if len(k) else 0):
-                        use = other < k
-                        pairs = [(mine, np.full(len(k), other), home)] + ([(np.full(len(k), other), mine, home)] if k.max() > 1 else [])
-                        for role, (i, j, lives) in enumerate(pairs):
-                            # role 0: as one who looks, role 1: as one who is looked at
-                            keep = use & (lives if k.max() > 1 and role == 0 else True)
-                            n = int(keep.sum())
-                            yield pa.RecordBatch.from_arrays(
-                                [
-                                    pa.array(np.full(n, d, np.int32)), pa.array(np.full(n, b, np.int32)), pa.array(cell[keep]),
-                                    pa.array(i[keep].astype(np.int32)), pa.array(j[keep].astype(np.int32)),
-                                    pa.array(lives[keep] if role == 0 else np.zeros(n, bool)),
-                                    pa.array(np.full(n, role == 1 or k.max() == 1)),
-                                    pa.array(first[keep]), part.column("size").take(pa.array(rows[keep])),
-                                    part.column("unit").take(pa.array(rows[keep])),
-                                ],
-                                names=["d", "block", "cell", "i", "j", "looks", "seen", "first", "size", "unit"],
-                            )
-
-    counted = classes.mapInArrow(lambda it: visits(it, True, {}), "d int, block int, cell bigint, n bigint")
-    # One row per cell: their number is bounded by blocks times 2 ** MOST_CUTS.
-    large = counted.groupBy("d", "block", "cell").agg(F.sum("n").alias("n")).filter(F.col("n") > CHUNK).collect()
-    chunks = {(r["d"], r["block"], r["cell"]): math.ceil(r["n"] / CHUNK) for r in large}
-    rows = classes.mapInArrow(
-        lambda it: visits(it, False, chunks),
-        "d int, block int, cell bigint, i int, j int, looks boolean, seen boolean, first bigint, size bigint, unit binary",
+def block_starts(d: int) -> list[int]:
+    return list(range(0, d, BLOCK))
+
+
+def in_steps(units: np.ndarray) -> np.ndarray:
+    """Rotated unit vectors in whole steps of 16 bits."""
+    return np.rint((units @ rotation(units.shape[1])) * STEPS).astype("<i2")
+
+
+def budgets(d: int, cosine: float) -> np.ndarray:
+    """Squared distance in steps that each block allows: a component is off by half a step."""
+    whole = (math.sqrt(2 - 2 * cosine) * STEPS + math.sqrt(d)) ** 2
+    sizes = np.array([min(s + BLOCK, d) - s for s in block_starts(d)])
+    return whole * sizes / d * (1 + 1e-9)
+
+
+def doubt(d: int) -> float:
+    """How far the cosine of vectors in steps may be from the true one."""
+    off = math.sqrt(d) / (2 * STEPS)
+    return off * (2 + off) + 1e-9
+
+
+def record(d: int) -> np.dtype:
+    return np.dtype([("node", "<i8"), ("size", "<i8"), ("q", "<i2", (d,))])
+
+
+def grow(x: np.ndarray, cuts: int) -> tuple | None:
+    """Cells by medians along the widest dimension: ``(dim, cut, low, high)``."""
+    if cuts == 0 or len(x) < SAMPLE_PER_CELL:
+        return None
+    dim = int(np.argmax(x.std(axis=0)))
+    cut = float(np.median(x[:, dim]))
+    low = x[:, dim] <= cut
+    if low.all():
+        return None
+    return dim, cut, grow(x[low], cuts - 1), grow(x[~low], cuts - 1)
+
+
+def visit(tree: tuple | None, x: np.ndarray, budget: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, cells, and whether the row lives there: its own cell, and those of a higher number
+    that its ball reaches. Distances to a cell are taken per dimension."""
+    found: list[tuple[np.ndarray, int, np.ndarray]] = []
+
+    def go(node, rows, off, spent, lives, cell):
+        if not len(rows):
+            return
+        if node is None:
+            found.append((rows, cell, lives))
+            return
+        dim, cut, low, high = node
+        side = x[rows, dim] - cut
+        for child, number, beyond in ((low, 2 * cell, side > 0), (high, 2 * cell + 1, side <= 0)):
+            gap = np.where(beyond, np.maximum(off[:, dim], np.abs(side)), off[:, dim])
+            now = spent - off[:, dim] ** 2 + gap**2
+            near = now <= budget
+            offs = off[near]
+            offs[:, dim] = gap[near]
+            go(child, rows[near], offs, now[near], lives[near] & ~beyond[near], number)
+
+    n = len(x)
+    go(tree, np.arange(n), np.zeros(x.shape), np.zeros(n), np.ones(n, bool), 1)
+    rows, cells, lives = (
+        np.concatenate([np.full(len(f[0]), f[1]) if k == 1 else f[k] for f in found] or [np.empty(0, np.int64)]) for k in range(3)
     )
+    lives = lives.astype(bool)
+    home = np.zeros(n, dtype=np.int64)
+    home[rows[lives]] = cells[lives]
+    keep = lives | (cells > home[rows])
+    return rows[keep], cells[keep], lives[keep]
+
+
+def close_pairs(
+    x: np.ndarray, homes: np.ndarray, others: np.ndarray, budget: float, inside: bool = True
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of ``homes`` with ``others``, and with each other if ``inside``, within ``budget``;
+    a few beyond it may be among them."""
+    square = (x * x).sum(axis=1, keepdims=True)
+    one = np.ones_like(square)
+    # One product gives squared distances: -2xy + |x|^2 + |y|^2.
+    left = np.concatenate([-2 * x, square, one], axis=1)
+    right = np.concatenate([x, one, square], axis=1)
+    limit = np.float32(budget + FUZZ)
+    stack = [(homes, others)]
+    while stack:
+        h, o = stack.pop()
+        low, high = x[h].min(axis=0), x[h].max(axis=0)
+        if len(o):
+            y = x[o]
+            gap = np.maximum(low - y, 0) + np.maximum(y - high, 0)
+            o = o[np.einsum("ij,ij->i", gap, gap) <= limit]
+        if len(h) > LEAF:
+            dim = int(np.argmax(high - low))
+            order = np.argpartition(x[h, dim], len(h) // 2)
+            a, b = h[order[: len(h) // 2]], h[order[len(h) // 2 :]]
+            stack.append((a, o))
+            stack.append((b, np.concatenate([o, a]) if inside else o))
+            continue
+        one_side = left[h]
+        if inside:
+            near = np.flatnonzero(np.triu(one_side @ right[h].T <= limit, 1))
+            yield h[near // len(h)], h[near % len(h)]
+        for q in range(0, len(o), 4096):
+            some = o[q : q + 4096]
+            near = np.flatnonzero(one_side @ right[some].T <= limit)
+            yield h[near // len(some)], some[near % len(some)]
+
+
+class Groups:
+    """Which of the rows of a task are connected, and the links that say so."""
+
+    def __init__(self, n: int) -> None:
+        self.label = np.arange(n)
+        self.a: list[int] = []
+        self.b: list[int] = []
+
+    def join(self, u: np.ndarray, v: np.ndarray) -> None:
+        apart = self.label[u] != self.label[v]
+        u, v = u[apart], v[apart]
+        while len(u):
+            # Each label takes on the smallest label it meets; one link shows for each.
+            p, q = self.label[u], self.label[v]
+            high, low = np.maximum(p, q), np.minimum(p, q)
+            order = np.lexsort((low, high))
+            first = order[np.unique(high[order], return_index=True)[1]]
+            self.a += u[first].tolist()
+            self.b += v[first].tolist()
+            self.label[high[first]] = low[first]
+            while True:
+                further = self.label[self.label]
+                if (further == self.label).all():
+                    break
+                self.label = further
+            apart = self.label[u] != self.label[v]
+            u, v = u[apart], v[apart]
+
+
+SUM, LINK, MAYBE = 0, 1, 2
+
+
+def compare(
+    homes: np.ndarray, others: np.ndarray, block: int, cosine: float, inside: bool = True
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(kind, a, b)``: sums of links (node, number), links, and pairs to be verified."""
+    rows = np.concatenate([homes, others])
+    q, node, size = rows["q"], rows["node"], rows["size"]
+    d = q.shape[1]
+    share, doubtful, starts = budgets(d, cosine), doubt(d), block_starts(d)
+    near = q.astype(np.float32) / np.float32(STEPS)
+    x = np.ascontiguousarray(near[:, starts[block] : starts[block] + BLOCK])
+    total = np.zeros(len(rows), dtype=np.int64)
+    groups, maybe = Groups(len(rows)), []
+
+    def settle(u: np.ndarray, v: np.ndarray) -> None:
+        for k in range(0, len(u), 32_768):
+            a, b = u[k : k + 32_768], v[k : k + 32_768]
+            able = np.einsum("ij,ij->i", near[a], near[b]) >= cosine - doubtful - FUZZ
+            a, b = a[able], b[able]
+            if not len(a):
+                continue
+            p, r = q[a].astype(np.float64), q[b].astype(np.float64)
+            # Whole numbers below 2 ** 53: the first block within its share owns the pair.
+            within = np.add.reduceat((p - r) ** 2, starts, axis=1) <= share
+            mine = within.argmax(axis=1) == block
+            a, b = a[mine], b[mine]
+            cos = np.einsum("ij,ij->i", p[mine], r[mine]) / STEPS**2
+            sure = cos >= cosine + doubtful
+            unsure = ~sure & (cos >= cosine - doubtful)
+            maybe.append((a[unsure], b[unsure]))
+            a, b = a[sure], b[sure]
+            np.add.at(total, a, size[b])
+            np.add.at(total, b, size[a])
+            groups.join(a, b)
+
+    held, waiting = 0, []
+    first, rest = np.arange(len(homes)), np.arange(len(homes), len(rows))
+    for u, v in close_pairs(x, first, rest, share[block] / STEPS**2, inside):
+        if len(u):
+            waiting.append((u, v))
+            held += len(u)
+        if held >= 32_768:
+            settle(*map(np.concatenate, zip(*waiting)))
+            held, waiting = 0, []
+    if waiting:
+        settle(*map(np.concatenate, zip(*waiting)))
+    summed = np.flatnonzero(total)
+    doubt_a, doubt_b = (np.concatenate([m[k] for m in maybe] or [np.empty(0, np.int64)]) for k in (0, 1))
+    kind = np.repeat(np.array([SUM, LINK, MAYBE], np.int8), [len(summed), len(groups.a), len(doubt_a)])
+    a = np.concatenate([node[summed], node[np.array(groups.a, np.int64)], node[doubt_a]])
+    b = np.concatenate([total[summed], node[np.array(groups.b, np.int64)], node[doubt_b]])
+    return kind, a, b
+
+
+def _units(column: pa.Array, d: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(-1, d)
+
+
+def plant(classes: DataFrame, cuts: dict[int, int]) -> dict[int, list]:
+    """The cells of every block, for those lengths that are cut at all, from one sample."""
+    if not cuts:
+        return {}
+    wanted = F.octet_length("unit").isin([8 * d for d in cuts])
+    bytes_all = classes.filter(wanted).agg(F.sum(F.octet_length("unit").cast("bigint"))).first()[0]
+    share = math.ceil(1_000_000 * min(1.0, SAMPLE_BYTES / bytes_all))
+    some = classes.filter(wanted & (F.pmod(F.xxhash64("class"), F.lit(1_000_000)) < share)).select("unit").toArrow()["unit"]
+    units = some.to_pylist()
+    trees = {}
+    for d, number in cuts.items():
+        own = [u for u in units if len(u) == 8 * d]
+        x = in_steps(np.frombuffer(b"".join(own), np.float64).reshape(-1, d)).astype(np.float64) / STEPS
+        trees[d] = [grow(x[:, s : s + BLOCK], number) for s in block_starts(d)]
+    return trees
+
+
+VISITS = "d int, block int, cell bigint, i int, j int, home boolean, records binary"
+
+
+def visits(batches: Iterator[pa.RecordBatch], trees: dict, parts: dict | None, cosine: float) -> Iterator[pa.RecordBatch]:
+    """Where the vectors go. Without ``parts`` only numbers: ``(d, block, cell, homes, visitors)``."""
+    for packed in _packs(batches):
+        lengths = np.array([len(u) // 8 for u in packed.column("unit").to_pylist()])
+        for d in np.unique(lengths).tolist():
+            own = packed.take(pa.array(np.flatnonzero(lengths == d)))
+            rows = np.empty(own.num_rows, dtype=record(d))
+            rows["node"], rows["size"] = own.column("node").to_numpy(), own.column("size").to_numpy()
+            rows["q"] = in_steps(_units(own.column("unit"), d))
+            x, share = rows["q"].astype(np.float64) / STEPS, budgets(d, cosine) / STEPS**2
+            out: list[tuple] = []
+            for block, s in enumerate(block_starts(d)):
+                tree = trees[d][block] if d in trees else None
+                at, cell, lives = visit(tree, x[:, s : s + BLOCK], share[block])
+                order = np.argsort(cell, kind="stable")
+                at, cell, lives = at[order], cell[order], lives[order]
+                bounds = np.flatnonzero(np.diff(cell, prepend=-1, append=-1))
+                for start, end in zip(bounds, bounds[1:]):
+                    c = int(cell[start])
+                    homes, others = at[start:end][lives[start:end]], at[start:end][~lives[start:end]]
+                    if parts is None:
+                        out.append((d, block, c, len(homes), len(others)))
+                    else:
+                        k, m = parts.get((d, block, c), (1, 0))
+                        out += _dealt((d, block, c), rows, homes, others, k, m)
+            if out:
+                names = ["d", "block", "cell", "homes", "visitors"] if parts is None else ["d", "block", "cell", "i", "j", "home", "records"]
+                kinds = [pa.int32(), pa.int32(), pa.int64(), *([pa.int64()] * 2 if parts is None else [pa.int32(), pa.int32(), pa.bool_(), pa.binary()])]
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*out), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to ``PACK`` rows or ``SAMPLE_BYTES``."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= PACK or size >= SAMPLE_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, rows, size = [], 0, 0
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _dealt(cell: tuple, rows: np.ndarray, homes: np.ndarray, others: np.ndarray, k: int, m: int) -> Iterator[tuple]:
+    """Rows of a cell for its tasks ``(i, j)``. In a cell of ``k`` home parts and ``m`` parts of
+    visitors, task (i, i) compares a part with itself, (i, j) two parts, (i, k + j) it with visitors."""
+    give = lambda i, j, home, chosen: (*cell, i, j, home, rows[chosen].tobytes())
+    if k == 1 and m == 0:
+        for home, chosen in ((True, homes), (False, others)):
+            if len(chosen):
+                yield give(0, 0, home, chosen)
+        return
+    for i in range(k):
+        part = homes[rows["node"][homes] % k == i]
+        if len(part):
+            for j in range(i, k + m):
+                yield give(i, j, True, part)
+            for j in range(i):
+                yield give(j, i, False, part)
+    for j in range(m):
+        part = others[rows["node"][others] % m == j]
+        if len(part):
+            for i in range(k):
+                yield give(i, k + j, False, part)
+
+
+def range_join(classes: DataFrame, trees: dict, most: int, cosine: float) -> DataFrame:
+    """``(kind, a, b)`` of all cells, see ``compare``; no cell holds more than ``most`` vectors."""
+    shared = classes.sparkSession.sparkContext.broadcast(trees)
+    slim = classes.select("node", "size", "unit")
+    counted = slim.mapInArrow(
+        lambda it: visits(it, shared.value, None, cosine), "d int, block int, cell bigint, homes bigint, visitors bigint"
+    )
+    counts = counted.groupBy("d", "block", "cell").agg(F.sum("homes").alias("homes"), F.sum("visitors").alias("visitors"))
+    # At most a row per cell, whose number the sample bounds.
+    large = counts.filter(F.col("homes") + F.col("visitors") > CHUNK).collect() if most > CHUNK else []
+    parts = {
+        (r["d"], r["block"], r["cell"]): (math.ceil(r["homes"] / CHUNK) or 1, math.ceil(r["visitors"] / CHUNK)) for r in large
+    }
+    dealt = slim.mapInArrow(lambda it: visits(it, shared.value, parts, cosine), VISITS)
+
+    def meet(key: tuple, whole: pa.Table) -> pa.Table:
+        d, block = key[0].as_py(), key[1].as_py()
+        home = whole.column("home").to_pylist()
+        packs = whole.column("records").to_pylist()
+        sides = [np.frombuffer(b"".join(p for p, h in zip(packs, home) if h == want), record(d)) for want in (True, False)]
+        inside = key[3].as_py() == key[4].as_py()
+        kind, a, b = compare(*sides, block, cosine, inside) if len(sides[0]) else (np.empty(0, np.int8), *[np.empty(0, np.int64)] * 2)
+        return pa.table({"kind": pa.array(kind), "a": pa.array(a), "b": pa.array(b)})
+
+    return dealt.groupBy("d", "block", "cell", "i", "j").applyInArrow(meet, "kind byte, a bigint, b bigint")
+
+
+def verified(found: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
+    """Of the doubtful pairs those with the cosine in double precision: ``(a, b, size_a, size_b)``."""
+    side = lambda name: classes.select(
+        F.col("node").alias(name), F.col("unit").alias(f"unit_{name}"), F.col("size").alias(f"size_{name}")
+    )
+    pairs = attach(found.filter(F.col("kind") == MAYBE).select("a", "b"), side("a"), ["a"], ["b"], "inner")
+    pairs = attach(pairs, side("b"), ["b"], ["a"], "inner")
 
-    def compare(whole: pa.Table) -> pa.Table:
-        d, block = whole.column("d")[0].as_py(), whole.column("block")[0].as_py()
-        known = shared.value[d]
-        whole = whole.combine_chunks()
-        units = _matrix(whole.column("unit").combine_chunks() if isinstance(whole.column("unit"), pa.ChunkedArray) else whole.column("unit"))
-        first, size = whole.column("first").to_numpy(), whole.column("size").to_numpy()
-        lookers = np.nonzero(whole.column("looks").to_numpy(zero_copy_only=False))[0]
-        seen = np.nonzero(whole.column("seen").to_numpy(zero_copy_only=False))[0]
-        s = known.starts[block]
-        x = (units @ known.turn)[:, s : s + BLOCK].astype(np.float32)
-        square = (x * x).sum(axis=1, keepdims=True)
-        one_column = np.ones_like(square)
-        # One product gives squared distances: |x|^2 - 2xy + |y|^2.
-        left = np.ascontiguousarray(np.concatenate([-2 * x, square, one_column], axis=1)[lookers])
-        right = np.ascontiguousarray(np.concatenate([x, one_column, square], axis=1)[seen].T)
-        budget = np.float32(known.budget[block] + 1e-5)
-        total: dict[int, int] = {}
-        parent: dict[int, int] = {}
-        a, b = [], []
-
-        def root(v: int) -> int:
-            while parent.get(v, v) != v:
-                parent[v] = parent.get(parent[v], parent[v])
-                v = parent[v]
-            return v
-
-        # Tiles that stay in a core's cache.
-        for p in range(0, len(lookers), 256):
-            one = left[p : p + 256]
-            for q in range(0, len(seen), 2048):
-                two = right[:, q : q + 2048]
-                near = np.flatnonzero((one @ two) <= budget)
-                r, c = lookers[p + near // two.shape[1]], seen[q + near % two.shape[1]]
-                for start in range(0, len(r), 65_536):
-                    u, v = r[start : start + 65_536], c[start : start + 65_536]
-                    fine = np.einsum("ij,ij->i", units[u], units[v]) >= cosine
-                    fine &= first[u] != first[v]
-                    u, v = u[fine], v[fine]
-                    if not len(u):
-                        continue
-                    # The first block within its budget owns the pair.
-                    apart = np.einsum("ij,jk->ik", units[u] - units[v], known.turn) ** 2
-                    shares = np.add.reduceat(apart, known.starts, axis=1) <= np.array(known.budget)
-                    mine = shares.argmax(axis=1) == block
-                    u, v = u[mine], v[mine]
-                    for f, n in zip(first[u].tolist(), size[v].tolist()):
-                        total[f] = total.get(f, 0) + n
-                    for f, g in zip(first[u].tolist(), first[v].tolist()):
-                        m, n = root(f), root(g)
-                        if m != n:
-                            parent[max(m, n)] = min(m, n)
-                            a.append(f)
-                            b.append(g)
-        none = [None] * len(a)
-        return pa.table({
-            "first": pa.array([*total.keys(), *none], pa.int64()), "n": pa.array([*total.values(), *none], pa.int64()),
-            "a": pa.array([None] * len(total) + a, pa.int64()), "b": pa.array([None] * len(total) + b, pa.int64()),
-        })
-
-    return rows.groupBy("d", "block", "cell", "i", "j").applyInArrow(compare, "first bigint, n bigint, a bigint, b bigint")
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = zip(batch.column("unit_a").to_pylist(), batch.column("unit_b").to_pylist())
+            fine = [float(np.dot(np.frombuffer(x), np.frombuffer(y))) >= cosine for x, y in units]
+            kept = batch.filter(pa.array(fine, pa.bool_()))
+            yield kept.select(["a", "b", "size_a", "size_b"])
+
+    return pairs.mapInArrow(keep, "a bigint, b bigint, size_a bigint, size_b bigint")
 
 
 def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, a row for each row of ``df``."""
     units = stored(unit_vectors(df, key, vector), "units")
     able = units.filter("class IS NOT NULL AND vec_id IS NOT NULL")
-    classes = stored(
-        able.groupBy("class").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("size"), F.first("unit").alias("unit")), "classes"
-    )
-    # Two classes may share a smallest id only if an id stands in several rows.
-    lengths = classes.groupBy(F.octet_length("unit").alias("bytes")).count().collect()
-    cells = {}
-    for r in lengths:
-        own = classes.filter(F.octet_length("unit") == r["bytes"])
-        some = own.filter(F.pmod(F.xxhash64("class"), F.lit(1_000_000)) < math.ceil(1_000_000 * min(1.0, SAMPLE / r["count"])))
-        sample = np.frombuffer(b"".join(x["unit"] for x in some.select("unit").collect()), dtype=np.float64)
-        cells[r["bytes"] // 8] = Cells(sample.reshape(-1, r["bytes"] // 8), r["count"], cosine)
-    found = stored(cell_links(classes.select("first", "size", "unit"), cells, cosine), "cell_links")
-    sums = found.filter("first IS NOT NULL").groupBy("first").agg(F.sum("n").alias("n"))
-    groups = components(found.filter("a IS NOT NULL").select("a", "b")).select(F.col("node").alias("first"), "component")
-    named = classes.select("class", "first", "size").join(sums, "first", "left").join(groups, "first", "left")
+    distinct = able.groupBy("class").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("size"), F.first("unit").alias("unit"))
+    classes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "classes")
+    # A row per length that needs cuts: no more of them than vectors by cells.
+    lengths = classes.groupBy((F.octet_length("unit") / 8).cast("int").alias("d")).count().filter(F.col("count") > CELL).collect()
+    cuts = {r["d"]: math.ceil(math.log2(r["count"] / CELL)) for r in lengths}
+    most = max([r["count"] for r in lengths], default=0)
+    found = stored(range_join(classes, plant(classes, cuts), most, cosine), "cell_links")
+    decided = stored(verified(found, classes, cosine), "verified")
+    sums = found.filter(F.col("kind") == SUM).select("a", "b").union(
+        decided.select("a", "size_b")).union(decided.select("b", "size_a"))
+    sums = sums.groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("n"))
+    links = found.filter(F.col("kind") == LINK).select("a", "b").union(decided.select("a", "b"))
+    groups = components(links).join(classes.select("node", "first"), "node")
+    groups = stored(groups, "groups")
+    least = groups.groupBy("component").agg(F.min("first").alias("least"))
+    groups = attach(groups, least, ["component"], ["node"], "inner").select("node", "least")
+    named = classes.select("class", "node", "first", "size").join(sums, "node", "left").join(groups, "node", "left")
     named = stored(
         named.select(
-            "class", (F.col("size") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "first").alias("component_id")
+            "class", (F.col("size") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("least", "first").alias("component_id")
         ),
         "named",
     )
-    out = units.select("vec_id", "class").join(named, "class", "left")
+    # Rows of a large class are spread.
+    out = attach(units.select("vec_id", "class"), named, ["class"], ["vec_id"])
     known = F.col("vec_id").isNotNull()
     component = F.when(known, F.coalesce("component_id", "vec_id"))
     n_links = F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint")

@@ -145,13 +145,14 @@ def brute_vectors(rows):
     return links, groups({k for k, _ in rows if k is not None}, pairs)
 
 
-@pytest.mark.parametrize("chunk, cost", [(32_768, 6e-6), (40, 6e-6), (32_768, 0.0)])
-def test_vector_join(spark, monkeypatch, chunk, cost):
+@pytest.mark.parametrize("cell, chunk", [(4096, 65_536), (20, 65_536), (20, 30), (4096, 30)])
+def test_vector_join(spark, monkeypatch, cell, chunk):
+    monkeypatch.setattr(vector_join, "CELL", cell)
     monkeypatch.setattr(vector_join, "CHUNK", chunk)
-    monkeypatch.setattr(vector_join, "ROW_COST", cost)
+    monkeypatch.setattr(vector_join, "SAMPLE_PER_CELL", 4)
     rows = vectors()
-    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
     links, least = brute_vectors(rows)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
     out = vector_join.near_vectors(df).collect()
     assert len(out) == len(rows)
     for r in out:
@@ -161,3 +162,85 @@ def test_vector_join(spark, monkeypatch, chunk, cost):
 
 def test_vector_join_of_an_empty_table(spark):
     assert vector_join.near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
+
+
+def test_vector_join_in_shuffled_form(spark, tiny_broadcast):
+    rows = vectors(5)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
+    links, components_of = brute_vectors(rows)
+    found = {(r.vec_id, r.n_links, r.component_id) for r in vector_join.near_vectors(df).collect() if r.vec_id is not None}
+    assert {(k, n) for k, n, _ in found} == {*links.items()} | {(k, 0) for k, _ in rows if k is not None and k not in links}
+    assert all(c == components_of[k] for k, _, c in found)
+
+
+def near_blocks(n, d=64):
+    """Vectors with partners at every cosine from 0.85 to 1."""
+    rng = np.random.default_rng(n)
+    base = rng.normal(size=(n // 4, d))
+    out = [b / np.linalg.norm(b) for b in base]
+    while len(out) < n:
+        v = out[rng.integers(len(base))]
+        w = rng.normal(size=d)
+        w -= (w @ v) * v
+        c = rng.uniform(0.85, 1)
+        out.append(c * v + np.sqrt(1 - c * c) * w / np.linalg.norm(w))
+    return np.array(out)
+
+
+def test_cells_and_doubt_lose_no_pair(monkeypatch):
+    """All blocks and cells together find each pair once: sure links, and doubtful ones near the limit."""
+    monkeypatch.setattr(vector_join, "LEAF", 16)
+    units = near_blocks(3000)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    rows = np.empty(len(units), vector_join.record(64))
+    rows["node"], rows["size"], rows["q"] = np.arange(len(units)), 1, vector_join.in_steps(units)
+    x = rows["q"].astype(np.float64) / vector_join.STEPS
+    share = vector_join.budgets(64, 0.9) / vector_join.STEPS**2
+    cos = units @ units.T
+    sure, maybe, met = np.zeros(len(units), int), [], 0
+    for block, s in enumerate(vector_join.block_starts(64)):
+        tree = vector_join.grow(x[:, s : s + 8], 5)
+        at, cell, lives = vector_join.visit(tree, x[:, s : s + 8], share[block])
+        assert sorted(at[lives]) == list(range(len(units)))
+        for c in np.unique(cell):
+            homes, others = at[(cell == c) & lives], at[(cell == c) & ~lives]
+            met += len(homes) * (len(homes) // 2 + len(others))
+            if len(homes):
+                kind, a, b = vector_join.compare(rows[homes], rows[others], block, 0.9)
+                np.add.at(sure, a[kind == vector_join.SUM], b[kind == vector_join.SUM])
+                maybe += list(zip(a[kind == vector_join.MAYBE], b[kind == vector_join.MAYBE]))
+                assert (cos[a[kind == vector_join.LINK], b[kind == vector_join.LINK]] >= 0.9).all()
+    pairs = {tuple(sorted(p)) for p in maybe}
+    assert len(pairs) == len(maybe) and all(abs(cos[p] - 0.9) < 3e-3 for p in pairs)
+    for a, b in pairs:
+        if cos[a, b] >= 0.9:
+            sure[a] += 1
+            sure[b] += 1
+    np.fill_diagonal(cos, 0)
+    assert (sure == (cos >= 0.9).sum(axis=1)).all() and sure.sum() > 1000
+    assert met < 0.75 * 8 * len(units) ** 2 / 2
+
+
+def test_local_cuts_compare_fewer_pairs(monkeypatch):
+    """Inside a cell the boxes leave out most comparisons, and no pair within reach."""
+    rng = np.random.default_rng(8)
+    x = (rng.normal(size=(4000, 8)) / 8).astype(np.float32)
+    first, rest = np.arange(3000), np.arange(3000, 4000)
+    u, v = map(np.concatenate, zip(*vector_join.close_pairs(x, first, rest, 0.025)))
+    far = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2, dtype=np.float64)
+    want = {(i, j) for i, j in zip(*np.nonzero(far <= 0.025)) if i < j and i < 3000}
+    assert want <= {(min(p), max(p)) for p in zip(u.tolist(), v.tolist())} and len(u) < 1.1 * len(want)
+    u, v = map(np.concatenate, zip(*vector_join.close_pairs(x, first, rest, 0.025, inside=False)))
+    assert {(int(a), int(b)) for a, b in zip(u, v)} >= {p for p in want if p[1] >= 3000} and (v >= 3000).all()
+
+
+def test_components_within_a_task():
+    rng = np.random.default_rng(6)
+    u, v = rng.integers(0, 500, 300), rng.integers(0, 500, 300)
+    found = vector_join.Groups(500)
+    found.join(u[:100], v[:100])
+    found.join(u[100:], v[100:])
+    want = groups(set(range(500)), [*zip(u.tolist(), v.tolist())])
+    assert [want[k] for k in range(500)] == found.label.tolist()
+    assert groups(set(range(500)), [*zip(found.a, found.b)]) == want
+    assert len(found.a) == 500 - len(set(want.values()))

@@ -170,3 +170,68 @@ def test_pages_of_the_given_table(spark):
         parts = re.split(r"</?p>|</?h1>", article)
         parts = [" ".join(h.unescape(re.sub(r"</?b>", "", p).replace("<br>", " ")).split()) for p in parts]
         assert r.text == "\n".join(p for p in parts if p)
+
+
+LONG_PARAGRAPH = "some long text of words " * 10
+KEPT = ["The title of it", LONG_PARAGRAPH.strip(), "More words are here and there."]
+INNER = f"<h1>{KEPT[0]}</h1><p>{KEPT[1]}</p><p>{KEPT[2]}</p>"
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<body class='post has-sidebar'>", "</body>"), ("<body class='sidebar'><article>", "</article>"),
+    ("<div class='no-ads'>", "</div>"), ("<article class='post comments-open'>", "</article>"),
+    ("<form id='aspnetForm'><article>", "</article></form>"), ("<main id='search'>", "</main>"),
+    ("<div class='sidebar'><article>", "</article></div>"), ("<article><div class='entry-header'>", "</div></article>"),
+    ("<div id='page-menu-open'>", "</div>"),
+])
+def test_names_do_not_empty_a_page(before, after):
+    assert html_text.main_text(before + INNER + after, html_text.grow(*html_text.labelled())) == "\n".join(KEPT)
+
+
+@pytest.mark.parametrize("page, want", [
+    # A paragraph that is one link stays between texts, and goes beside other links.
+    ("<article><p>Some words come first here.</p><p><a href=x>One link alone</a></p><p>Some words follow here.</p></article>",
+     "Some words come first here.\nOne link alone\nSome words follow here."),
+    ("<article><p>Some words come first here.</p><p><a href=x>One link alone</a></p><p><a href=y>Another link</a></p></article>",
+     "Some words come first here."),
+    # The same short line between long texts, and between links.
+    (f"<div><p>{LONG_PARAGRAPH}</p><p>A short line.</p><p>{LONG_PARAGRAPH}</p></div>",
+     "\n".join([LONG_PARAGRAPH.strip(), "A short line.", LONG_PARAGRAPH.strip()])),
+    ("<div><p><a href=x>Menu</a></p><p>A short line.</p><p><a href=y>Menu</a></p></div>", ""),
+    # Readers and others around an article.
+    (f"<nav><a href=x>Home</a></nav><div class=notice>{LONG_PARAGRAPH}</div><article>{INNER}<div class='post-comments comments'><p>{LONG_PARAGRAPH}</p></div>"
+     f"</article><section id=comments><article><p>{LONG_PARAGRAPH}</p></article></section><footer>{LONG_PARAGRAPH}</footer>", "\n".join(KEPT)),
+    (f"<div class='siteHeader'>{LONG_PARAGRAPH}</div>{INNER}<div id='commentList'><p>{LONG_PARAGRAPH}</p></div>", "\n".join(KEPT)),
+    ("<article><p class=\"a>b\" title='x>y' data-x=a>b>Kept are these words.</p></article>", "b>Kept are these words."),
+    ("<article><p>Kept are these words.</p><p title=\"no end>More words are kept.</p></article>", "Kept are these words.\nMore words are kept."),
+    ("<article><p>a < b and 3<4 hold.</p></article>", "a < b and 3<4 hold."),
+])
+def test_neighbours_and_places(page, want):
+    assert html_text.main_text(page, html_text.grow(*html_text.labelled())) == want
+
+
+def features_of(tree):
+    return {tree[0]} | features_of(tree[2]) | features_of(tree[3]) if isinstance(tree, tuple) else set()
+
+
+def test_the_tree_reads_the_neighbours_and_knows_its_table():
+    x, y = html_text.labelled()
+    tree = html_text.grow(x, y)
+    assert features_of(tree) == set(range(len(html_text.FEATURES)))
+    assert all(html_text.judge(tree, list(row)) == bool(label) for row, label in zip(x[::7], y[::7]))
+    # No combination of values stands there with two labels.
+    assert len(np.unique(x, axis=0)) == len(np.unique(np.column_stack([x, y]), axis=0))
+
+
+@pytest.mark.parametrize("piece", [
+    "<a", '<a"', "<", '<a x="', '<a x=">" ', "<!--", "<script>", "<svg>", "</script   ", "<style></style ", "<div></x>", "<p><x></p>", "&#",
+    "<a x='>' y=\">", "<div><i></div><div>",
+])
+def test_broken_markup_takes_linear_time(piece):
+    import time
+
+    tree = html_text.grow(*html_text.labelled())
+    start = time.process_time()
+    html_text.main_text((piece * 200_000)[:200_000], tree)
+    html_text.main_text("<div>" * 30_000 + (piece * 100_000)[:100_000] + "</div>" * 20_000, tree)
+    assert time.process_time() - start < 4
