@@ -40,7 +40,7 @@ from mailweave.session import scratch_path, ship
 from mailweave.sources import raw as rw
 from mailweave.sources import reports as rp
 from mailweave.sources import store as st
-from mailweave.sources.postings import build_postings
+from mailweave.sources.postings import build_postings, load_index, write_index
 
 # The operators of the llm folder may be taken out of a checkout.
 try:
@@ -427,6 +427,14 @@ def q_postings(spark, sf):
     )
 
 
+def q_postings_exact(spark, sf):
+    """Whole values of the stored index; recipients as an array with a repeated value."""
+    mails_ = corpus(spark, sf).withColumn("ExtractedTo", F.array("ExtractedTo", "ExtractedCc", "ExtractedTo"))
+    path = scratch_path(spark, "index")
+    write_index(mails_, path)
+    return load_index(spark, path).exact.select("folder", "field", "value", "Id")
+
+
 def q_term_stats(spark, sf):
     return build_postings(corpus(spark, sf)).terms
 
@@ -614,6 +622,27 @@ def q_date_range(spark, sf):
     return parsed.select("qid", day("start_date").alias("start_date"), day("end_date").alias("end_date"))
 
 
+def q_date_forms(spark, sf):
+    """Orders as sentences with a date in one of fourteen forms, some without any."""
+    day, form = F.col("o_orderdate"), F.col("o_orderkey") % 14
+    written = lambda pattern: F.date_format(day, pattern)
+    forms = [
+        written("M/d/yyyy"), written("d MMMM yyyy"), F.concat(F.lit("the "), written("d"), F.lit("th of "), written("MMMM yyyy")),
+        written("MMM. yyyy"), written("MMMM d"), written("d MMM"), F.lit("last week"), F.lit("Last  month"), F.lit("last year"),
+        F.lit("yesterday"), F.lit("today"), F.concat(F.lit("last "), written("MMM")), F.concat(F.lit("in 7-UP or "), written("yyyy-MM-dd")),
+        F.lit("2012/13 or a last may be"),
+    ]
+    text = F.lit(None).cast("string")
+    for k, each in enumerate(forms):
+        text = F.when(form == k, each).otherwise(text)
+    asked = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("qid"), F.concat(F.lit("Mail 5 of the 1234 from Bob ("), text, F.lit("), please")).alias("query")
+    )
+    parsed = parse_queries(asked, as_of="1998-12-15")
+    date = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    return parsed.select("qid", date("start_date"), date("end_date"))
+
+
 def q_relevant_text(spark, sf):
     return parse_queries(named_queries(spark, sf)).select("qid", "relevant_text")
 
@@ -1040,6 +1069,10 @@ UNION ALL SELECT 'EmailReceivers', EmailId, CAST(PersonId AS VARCHAR) FROM recei
 UNION ALL SELECT 'Aliases', CAST(c_nationkey AS BIGINT), c_name FROM customer
 UNION ALL SELECT 'Persons', Id, Name FROM persons""",
         "postings": f"WITH {MAILS}, {POSTINGS} SELECT folder, field, term, Id, tf, len FROM post JOIN flen USING (folder, field, Id)",
+        "postings_exact": f"""WITH {MAILS} SELECT folder, 'cc' AS field, cc AS value, Id FROM mails WHERE cc IS NOT NULL
+UNION ALL SELECT folder, 'recipients', sender, Id FROM mails UNION ALL SELECT folder, 'recipients', cc, Id FROM mails WHERE cc IS NOT NULL
+UNION ALL SELECT folder, 'sender', lower(sender), Id FROM mails
+UNION ALL SELECT folder, 'date_sent', strftime(date_sent, '%Y-%m-%dT%H:%M:%S'), Id FROM mails WHERE date_sent IS NOT NULL""",
         "term_stats": f"WITH {MAILS}, {POSTINGS} SELECT * FROM dfs",
         "field_stats": f"WITH {MAILS}, {POSTINGS} SELECT folder, field, n_docs, round(avg_len, 6) AS avg_len FROM fstat",
         "bm25_scores": f"WITH {KW_CHAIN} SELECT folder, qid, field, Id, round(score, 6) AS score FROM bm",
@@ -1086,6 +1119,15 @@ s AS (SELECT o_orderkey AS qid, 'NATION_' || CAST(o_custkey % 30 AS VARCHAR) AS
 SELECT qid, sender, n, m AS aliases_md5 FROM s LEFT JOIN n ON Name = sender""",
         "sender_by_word": "SELECT lower(n_name) AS Name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1",
         "date_range": date_sql,
+        "date_forms": """WITH s AS (SELECT o_orderkey AS qid, o_orderdate::DATE AS o, CASE o_orderkey % 14 WHEN 0 THEN o_orderdate::DATE
+WHEN 1 THEN o_orderdate::DATE WHEN 2 THEN o_orderdate::DATE WHEN 3 THEN date_trunc('month', o_orderdate)::DATE
+WHEN 4 THEN make_date(1998, month(o_orderdate), least(day(o_orderdate), day(last_day(make_date(1998, month(o_orderdate), 1)))))
+WHEN 5 THEN make_date(1998, month(o_orderdate), least(day(o_orderdate), day(last_day(make_date(1998, month(o_orderdate), 1)))))
+WHEN 6 THEN DATE '1998-12-08' WHEN 7 THEN DATE '1998-11-15' WHEN 8 THEN DATE '1997-12-15' WHEN 9 THEN DATE '1998-12-14'
+WHEN 10 THEN DATE '1998-12-15' WHEN 11 THEN make_date(CASE WHEN month(o_orderdate) < 12 THEN 1998 ELSE 1997 END, month(o_orderdate), 1)
+WHEN 12 THEN o_orderdate::DATE ELSE DATE '2012-01-01' END AS d, o_orderkey % 14 IN (4, 5) AND month(o_orderdate) = 2 AND day(o_orderdate) = 29 AS leap FROM orders)
+SELECT qid, CASE WHEN NOT leap THEN strftime(d, '%Y-%m-%d') END AS start_date,
+CASE WHEN NOT leap THEN strftime(d + INTERVAL 1 MONTH, '%Y-%m-%d') END AS end_date FROM s""",
         "parsed_queries": f"""WITH s AS ({date_sql}),
 n AS (SELECT n_name AS Name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name),
 x AS (SELECT o_orderkey AS qid, 'NATION_' || CAST(o_custkey % 30 AS VARCHAR) AS sender,

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailweave.functions.text import query_len
 from mailweave.functions.vectors import semantic_weight
 from mailweave.operators.joins import ROW_BYTES, attach
 from mailweave.operators.mailbox import FOLDERS
-from mailweave.operators.ranking import by_score, rank_within, top_n
+from mailweave.operators.ranking import GROUP_LIMIT, by_score, number_docs, rank_within, top_n
 from mailweave.session import stored
 
 RRF_K = 60
@@ -81,17 +81,34 @@ def combine(
         raise ValueError("at least one ranking is needed")
 
     merged = stored(merged, "scores")
+    bounds = merged.groupBy(*KEYS).agg(*bounds_of("sem"), *bounds_of("kw"))
+    scored, stats = blended(merged, bounds, queries, corpus, n, hits_only)
+    if n is not None and n <= GROUP_LIMIT:
+        return top_n(scored, KEYS, n, by_score())
+    group_rows = stats.agg(F.max("n_docs")).first()[0] or 0
+    if n is None:
+        return rank_within(scored, KEYS, by_score(), group_rows=group_rows)
+    return top_n(scored, KEYS, n, by_score(), group_rows=group_rows)
+
+
+def bounds_of(part: str) -> list[Column]:
+    """Least and greatest score of a list and the number of its mails."""
+    return [f(part).alias(f"{part}_{name}") for f, name in ((F.min, "low"), (F.max, "high"), (F.count, "n"))]
+
+
+def blended(
+    merged: DataFrame, bounds: DataFrame, queries: DataFrame, corpus: DataFrame, n: int | None, hits_only: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``(folder, qid, Id, score)`` of the rows ``merged(folder, qid, Id, sem, kw)``, and of
+    unscored mails where they are needed for ``n`` rows, and the stored facts of every query.
+
+    ``bounds`` are those of the whole lists, of which ``merged`` may hold the leading rows only.
+    """
     ids = corpus.select("folder", "Id")
     sizes = ids.groupBy("folder").agg(F.count(F.lit(1)).alias("n_docs"))
-    bounds = [
-        f(c).alias(f"{c}_{name}")
-        for c in ("sem", "kw")
-        for f, name in ((F.min, "low"), (F.max, "high"), (F.count, "n"))
-    ]
     weights = queries.select("qid", semantic_weight(query_len(F.col("query"))).alias("length_weight"))
-    per_query = queries.count() * len(FOLDERS) * 2 * ROW_BYTES
-    stats = merged.groupBy(*KEYS).agg(*bounds)
-    stats = attach(stats, sizes, ["folder"], ["qid"], size=len(FOLDERS) * ROW_BYTES)
+    per_query = queries.count() * len(FOLDERS) * 4 * ROW_BYTES
+    stats = attach(bounds, sizes, ["folder"], ["qid"], size=len(FOLDERS) * ROW_BYTES)
     stats = attach(stats, weights, ["qid"], ["folder"], size=per_query)
     stats = _filled(_filled(stats, "sem"), "kw").withColumn(
         "w",
@@ -99,11 +116,6 @@ def combine(
         .when(F.col("sem_n") > 0, 1.0)
         .otherwise(0.0),
     )
-    blend = lambda s, k: F.col("w") * s + (1.0 - F.col("w")) * k
-    value = lambda c: F.when(
-        F.col(f"{c}_n") > 0,
-        scaled(F.coalesce(c, F.lit(0.0)), F.col(f"{c}_lo"), F.col(f"{c}_hi")),
-    ).otherwise(0.0)
     positive = (F.coalesce("sem_low", F.lit(1.0)) > 0) & (F.coalesce("kw_low", F.lit(1.0)) > 0)
     hits = F.greatest("sem_n", "kw_n")
     incomplete = hits < F.col("n_docs")
@@ -113,29 +125,61 @@ def combine(
     stats = stored(stats.select("*", rest_score, short.alias("short"), deep.alias("deep")), "bounds")
 
     scored = attach(merged, stats, KEYS, ["Id"], "inner", per_query).select(
-        *KEYS, "Id", blend(value("sem"), value("kw")).alias("score")
+        *KEYS, "Id", blend(filled_value("sem"), filled_value("kw")).alias("score")
     )
-    facts = stats.agg(F.max("n_docs"), F.max("short"), F.max("deep")).first()
+    facts = stats.agg(F.max("short"), F.max("deep")).first()
     if not hits_only:
         seen = merged.select(*KEYS, "Id")
-        if facts[1]:
+        if facts[0]:
             lowest = top_n(ids, ["folder"], 3 * n, [F.col("Id").asc()]).drop("rank")
             scored = scored.unionByName(_rest(stats.filter("short"), lowest, seen, per_query))
-        if facts[2]:
-            scored = scored.unionByName(_rest(stats.filter("deep"), ids, seen, per_query))
-    group_rows = facts[0] or 0
-    if n is None:
-        return rank_within(scored, KEYS, by_score(), group_rows=group_rows)
-    return top_n(scored, KEYS, n, by_score(), group_rows=group_rows)
+        if facts[1]:
+            deep_ones = stats.filter("deep")
+            rest = _rest(deep_ones, ids, seen, per_query) if n is None else _lowest_unscored(deep_ones, ids, seen, n, per_query)
+            scored = scored.unionByName(rest)
+    return scored, stats
+
+
+def filled_value(part: str, score: Column | None = None) -> Column:
+    """The scaled value of a score of ``part``; an absent mail has 0."""
+    score = F.coalesce(F.col(part) if score is None else score, F.lit(0.0))
+    return F.when(F.col(f"{part}_n") > 0, scaled(score, F.col(f"{part}_lo"), F.col(f"{part}_hi"))).otherwise(0.0)
+
+
+def blend(sem: Column, kw: Column) -> Column:
+    return F.col("w") * sem + (1.0 - F.col("w")) * kw
 
 
 def _rest(stats: DataFrame, mails: DataFrame, seen: DataFrame, size: int) -> DataFrame:
     """``mails`` that the queries of ``stats`` have not scored, with their common score.
 
     With positive scores unscored mails rank last, in id order: a query with fewer than n
-    hits needs at most the ``3 n`` lowest ids of its folder. Only a full ranking, or scores
-    at or below 0, pairs a query with all mails of the folder.
+    hits needs at most the ``3 n`` lowest ids of its folder. Only a full ranking pairs a query
+    with all mails of the folder.
     """
     wanted = stats.select(*KEYS, F.col("rest").alias("score"))
     pairs = attach(mails, wanted, ["folder"], ["Id"], "inner", size)
     return pairs.join(seen, [*KEYS, "Id"], "left_anti").select(*KEYS, "Id", "score")
+
+
+def _lowest_unscored(stats: DataFrame, ids: DataFrame, seen: DataFrame, n: int, size: int) -> DataFrame:
+    """The ``n`` lowest ids of a folder that a query of ``stats`` has not scored, with their common
+    score, by rank selection: no query meets the mails.
+
+    Mails are numbered by id. A scored mail of number p that is the j-th scored one (from 1) has
+    p - j unscored mails before it, so the i-th unscored mail has the number i plus the scored
+    mails that have fewer than i unscored ones before them. Those are counted.
+    """
+    numbered = stored(number_docs(ids.select("folder", "Id").distinct()), "numbered")
+    mine = attach(seen, stats.select(*KEYS), KEYS, ["Id"], "left_semi", size)
+    placed = mine.join(numbered, ["folder", "Id"]).select(*KEYS, "doc_no")
+    placed = rank_within(placed, KEYS, [F.col("doc_no").asc()], "earlier")
+    gaps = placed.select(*KEYS, (F.col("doc_no") - 1 - F.col("earlier")).alias("gaps"))
+    skipped = gaps.filter(F.col("gaps") < n).groupBy(*KEYS, "gaps").agg(F.count(F.lit(1)).alias("skipped"))
+    each = stats.select(*KEYS, "rest", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("gaps"))
+    # At most n rows a query on either side.
+    up_to = Window.partitionBy(*KEYS).orderBy("gaps").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    number = F.col("gaps") + 1 + F.sum(F.coalesce("skipped", F.lit(0))).over(up_to)
+    wanted = each.join(skipped, [*KEYS, "gaps"], "left").select(*KEYS, "rest", number.cast("bigint").alias("doc_no"))
+    found = attach(numbered, wanted, ["folder", "doc_no"], ["Id"], "inner", n * size)
+    return found.select(*KEYS, "Id", F.col("rest").alias("score"))

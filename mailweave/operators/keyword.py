@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailweave.functions.text import extract_alias, tokens
+from mailweave.functions.text import tokens
 from mailweave.operators.joins import ROW_BYTES, attach, measured_bytes
 from mailweave.operators.mailbox import FOLDERS
 from mailweave.operators.query_parse import by_name_word
 from mailweave.operators.ranking import by_score, top_n
 from mailweave.session import stored
-from mailweave.sources.postings import FIELDS, Index
+from mailweave.sources.postings import FIELDS, Index, exact_values
 
 # BM25 parameters and boosts.
 K1 = 1.2
@@ -29,11 +29,15 @@ def query_terms(queries: DataFrame, fields: tuple[str, ...], text_col: str = "qu
     return counted.select("qid", field, "term", "weight")
 
 
-def contributions(index: Index, terms: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
+def contributions(
+    index: Index, terms: DataFrame, k1: float = K1, b: float = B, allowed: DataFrame | None = None
+) -> DataFrame:
     """Posting rows that match ``terms(qid, field, term, weight)`` with their share ``part``.
 
     The terms are weighted by the dictionary first, where each becomes at most one row per
-    folder. The postings are then read once and, with few terms, not shuffled.
+    folder. The postings are then read once and, with few terms, not shuffled. With
+    ``allowed(folder, qid, Id)`` only these mails of a query are matched: their ids are a filter of
+    the postings, and the statistics stay those of all mails.
     """
     wanted = stored(terms, "terms")
     size = measured_bytes(wanted)
@@ -50,9 +54,12 @@ def contributions(index: Index, terms: DataFrame, k1: float = K1, b: float = B)
     idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     gain = F.col("weight") * idf * (k1 + 1)
     weights = known.select("folder", "field", "term", "qid", gain.alias("gain"), "avg_len")
-    hits = attach(
-        index.postings, weights, ["folder", "field", "term"], ["Id"], "inner", size * folders
-    )
+    postings = index.postings
+    if allowed is not None:
+        postings = attach(postings, allowed.select("folder", "Id").distinct(), ["folder", "Id"], ["term"], "left_semi")
+    hits = attach(postings, weights, ["folder", "field", "term"], ["Id"], "inner", size * folders)
+    if allowed is not None:
+        hits = attach(hits, allowed.select("folder", "qid", "Id"), ["folder", "qid", "Id"], ["term"], "left_semi")
     saturation = F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len"))
     return hits.withColumn("part", F.col("gain") * F.col("tf") / saturation)
 
@@ -81,18 +88,20 @@ def match_best_field(
     k1: float = K1,
     b: float = B,
     text_col: str = "query",
+    allowed: DataFrame | None = None,
 ) -> DataFrame:
     """``(folder, qid, Id, date_sent, best, sender)``: best matching field per mail.
 
     ``sender_terms(qid, field, term, weight)`` adds a boosted sender score, which never
     makes a hit by itself. Both come from one join and one aggregation of the postings.
+    ``allowed(folder, qid, Id)`` names the only mails that may be hits.
     """
     terms = query_terms(queries, fields, text_col)
     if sender_terms is not None:
         terms = terms.unionByName(sender_terms)
     sums = [F.sum(F.when(F.col("field") == f, F.col("part"))).alias(f"_{f}") for f in fields]
     sender = F.coalesce(F.sum(F.when(F.col("field") == "sender", F.col("part"))), F.lit(0.0))
-    scored = contributions(index, terms, k1, b).groupBy("folder", "qid", "Id").agg(
+    scored = contributions(index, terms, k1, b, allowed).groupBy("folder", "qid", "Id").agg(
         *sums, sender.alias("sender"), F.max("date_sent").alias("date_sent")
     )
     best = F.greatest(*[F.coalesce(F.col(f"_{f}"), F.lit(0.0)) for f in fields])
@@ -133,8 +142,8 @@ def keyword_search(
 
     A mail is a hit when its subject or body shares a word with ``relevant_text``. In
     mode ``boost`` sender and date only raise scores (``boosts=False`` leaves them out);
-    in mode ``filter`` they restrict the hits instead, for which ``corpus`` is needed. A
-    sender matches a full name exactly, or with ``match="word"`` any word of it, case-blind.
+    in mode ``filter`` they restrict the hits instead, by the exact values of the index, or
+    of ``corpus`` where the index has none. A sender matches a full name exactly, or with ``match="word"`` any word of it, case-blind.
     """
     if mode not in ("boost", "filter"):
         raise ValueError(f"unknown keyword mode: {mode}")
@@ -143,46 +152,55 @@ def keyword_search(
     if match == "word" and aliases is not None:
         aliases = by_name_word(aliases)
         parsed = parsed.withColumn("sender", F.lower("sender"))
-    boosted = boosts and mode == "boost"
-    senders = sender_terms(parsed, aliases) if boosted and aliases is not None else None
-    hits = match_best_field(parsed, index, sender_terms=senders, text_col="relevant_text")
-    if not boosted and mode == "boost":
-        scored = hits.select("folder", "qid", "Id", F.col("best").alias("score"))
+    if mode == "filter":
+        scored = _filtered(parsed, index, aliases, corpus)
     else:
-        ranges = parsed.select("qid", "start_date", "end_date")
-        dated = attach(hits, ranges, ["qid"], ["Id"], "left")
-        inside = (F.col("date_sent") >= F.col("start_date")) & (F.col("date_sent") < F.col("end_date"))
-        if boosted:
-            bonus = F.when(inside, DATE_BOOST).otherwise(0.0)
-            scored = dated.select(
-                "folder", "qid", "Id", (F.col("best") + F.col("sender") + bonus).alias("score")
-            )
-        else:
-            kept = dated.filter(F.col("start_date").isNull() | inside)
-            scored = _from_sender(kept, parsed, aliases, corpus).select(
-                "folder", "qid", "Id", F.col("best").alias("score")
-            )
+        senders = sender_terms(parsed, aliases) if boosts and aliases is not None else None
+        hits = match_best_field(parsed, index, sender_terms=senders, text_col="relevant_text")
+        score = F.col("best")
+        if boosts:
+            hits = attach(hits, parsed.select("qid", "start_date", "end_date"), ["qid"], ["Id"], "left")
+            score = F.col("best") + F.col("sender") + F.when(_inside(), DATE_BOOST).otherwise(0.0)
+        scored = hits.select("folder", "qid", "Id", score.alias("score"))
     if max_hits is not None:
         scored = top_n(scored, ["folder", "qid"], max_hits, by_score()).drop("rank")
     return scored
 
 
-def _from_sender(
-    hits: DataFrame, parsed: DataFrame, aliases: DataFrame | None, corpus: DataFrame | None
-) -> DataFrame:
-    """Keep hits whose sender is an alias of the person named; unnamed queries keep all."""
-    if corpus is None or aliases is None:
-        raise ValueError("mode 'filter' needs corpus and aliases")
-    named = parsed.select("qid", F.col("sender").alias("Name"))
-    known = aliases.select("Name").distinct().withColumn("known", F.lit(True))
-    wanted = attach(named, known, ["Name"], ["qid"], "left").select(
-        "qid", "Name", F.coalesce("known", F.lit(False)).alias("restricted")
-    )
-    tagged = attach(hits, wanted, ["qid"], ["Id"], "left")
-    free = tagged.filter(~F.col("restricted"))
-    mails = corpus.select("folder", "Id", extract_alias(F.col("ExtractedFrom")).alias("Alias"))
-    bound = tagged.filter("restricted").join(mails, ["folder", "Id"])
+def _inside() -> Column:
+    return (F.col("date_sent") >= F.col("start_date")) & (F.col("date_sent") < F.col("end_date"))
+
+
+def _filtered(parsed: DataFrame, index: Index, aliases: DataFrame | None, corpus: DataFrame | None) -> DataFrame:
+    """Hits whose sender is an alias of the person named and whose date is in the range asked for;
+    a query that names nobody known, or no date, is not restricted by it.
+
+    The mails that a query may find come from the exact values of the index, by alias or else by
+    date, before anything is scored. Queries without any condition are scored as usual.
+    """
+    exact = index.exact
+    if exact is None and corpus is not None:
+        exact = exact_values(corpus)
+    if exact is None or aliases is None:
+        raise ValueError("mode 'filter' needs aliases, and exact values in the index or a corpus")
     pairs = aliases.select("Name", "Alias").distinct()
-    return free.unionByName(
-        attach(bound, pairs, ["Name", "Alias"], ["qid", "Id"], "left_semi").select(free.columns)
-    )
+    asked = parsed.select("qid", F.col("sender").alias("Name"), "start_date", "end_date")
+    known = pairs.select("Name").distinct().withColumn("known", F.lit(True))
+    asked = stored(attach(asked, known, ["Name"], ["qid"], "left"), "conditions")
+    by_name = attach(asked.filter("known"), pairs, ["Name"], ["qid"], "inner").withColumnRenamed("Alias", "value")
+    senders = exact.filter(F.col("field") == "sender").select("folder", "value", "Id", "date_sent")
+    named = attach(senders, by_name, ["value"], ["Id"], "inner")
+    allowed = named.filter(F.col("start_date").isNull() | _inside()).select("folder", "qid", "Id")
+    # Days are few: a range becomes the days in it, and these the mails.
+    dated = asked.filter("known IS NULL AND start_date IS NOT NULL AND end_date > start_date")
+    days = F.sequence(F.col("start_date").cast("date"), F.date_sub(F.col("end_date").cast("date"), 1))
+    dates = exact.filter(F.col("field") == "date_sent").select("folder", "Id", "date_sent", F.col("date_sent").cast("date").alias("day"))
+    in_range = attach(dates, dated.select("qid", "start_date", "end_date", F.explode(days).alias("day")), ["day"], ["Id"], "inner")
+    allowed = allowed.unionByName(in_range.filter(_inside()).select("folder", "qid", "Id"))
+    allowed = stored(allowed.distinct(), "allowed")
+    condition = F.col("known").isNotNull() | F.col("start_date").isNotNull()
+    tied = attach(parsed, asked.filter(condition).select("qid").distinct(), ["qid"], ["query"], "left_semi")
+    free = attach(parsed, asked.filter(~condition).select("qid").distinct(), ["qid"], ["query"], "left_semi")
+    found = match_best_field(tied, index, text_col="relevant_text", allowed=allowed)
+    found = found.unionByName(match_best_field(free, index, text_col="relevant_text"))
+    return found.select("folder", "qid", "Id", F.col("best").alias("score"))

@@ -8,25 +8,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mailweave.functions.dates import date_mention, mention_start
 from mailweave.functions.stopwords import ENGLISH_STOP_WORDS
 from mailweave.functions.text import TOKEN, WHITESPACE, WORD, let, strip
 from mailweave.operators.joins import attach
 from mailweave.operators.ranking import rank_within
 
-# Patterns of sender and date mentions.
+# Fixed value: the pattern of a sender mention.
 SENDER_MENTION = rf"(?i)(?<![{WORD}])from(?=[{WHITESPACE}]+([{WORD}]+))"
-MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-MONTH = (
-    "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
-    "|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
-)
-DATE_MENTION = (
-    rf"(?i)(?<![{WORD}])(?:(\d{{4}})-(\d{{2}})-(\d{{2}})"
-    rf"|({MONTH})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}})"
-    rf"|({MONTH})\.?,?\s+(\d{{4}})"
-    rf"|last\s+({MONTH})"
-    rf"|((?:19|20)\d{{2}}))(?![{WORD}])"
-)
 
 
 def _not_stop(word: Column, stopwords: list[str]) -> Column:
@@ -41,34 +30,12 @@ def extract_sender(col: Column, stopwords: list[str]) -> Column:
     )
 
 
-def _month(name: Column) -> Column:
-    return F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.substring(name, 1, 3)))
-
-
-def _start(mention: Column, as_of: Column) -> Column:
-    group = lambda i: F.regexp_extract(mention, DATE_MENTION, i)
-    last = _month(group(9))
-    year = F.year(as_of) - F.when(last < F.month(as_of), 0).otherwise(1)
-    text = (
-        F.when(group(1) != "", F.concat_ws("-", group(1), group(2), group(3)))
-        .when(group(4) != "", F.concat_ws("-", group(6), _month(group(4)), group(5)))
-        .when(group(7) != "", F.concat_ws("-", group(8), _month(group(7)), F.lit("1")))
-        .when(group(9) != "", F.concat_ws("-", year, last, F.lit("1")))
-        .when(group(10) != "", F.concat_ws("-", group(10), F.lit("1"), F.lit("1")))
-    )
-    return F.try_to_timestamp(text, F.lit("y-M-d")).cast("date")
-
-
 def extract_date_range(col: Column, as_of: str | Column | None = None) -> Column:
-    """``struct<start_date, end_date>`` of the first date mention: one month from its start.
-
-    A mention without a day starts at the first; a bare year at January 1; ``last <month>``
-    is the latest such month before the month of ``as_of``, the current date by default.
-    """
+    """``struct<start_date, end_date>`` of the first date mention (see ``functions.dates``): one
+    month from its start. ``as_of`` is the current date by default."""
     today = F.current_date() if as_of is None else as_of
     today = F.lit(today).cast("date") if isinstance(today, str) else today
-    mention = F.regexp_extract(F.coalesce(col, F.lit("")), DATE_MENTION, 0)
-    start = let(mention, lambda m: _start(m, today))
+    start = let(date_mention(col), lambda m: mention_start(m, today))
     return let(
         start,
         lambda s: F.struct(

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from mailweave.operators.dense import dense_rank_all
 from mailweave.operators.encode import Encoder, embed_queries
+from mailweave.operators.fused_top import fused_top
 from mailweave.operators.fusion import combine, rrf
 from mailweave.operators.joins import broadcast_limit, salted_join
 from mailweave.operators.keyword import keyword_search
 from mailweave.operators.query_parse import expand_queries, parse_queries
+from mailweave.operators.ranking import GROUP_LIMIT
 from mailweave.plans.mailboxes import build_vectors
 from mailweave.session import stored
 from mailweave.sources.postings import Index, stored_index
@@ -37,7 +39,7 @@ class Store:
         pick = lambda df: None if df is None else df.filter(F.col("folder") == name)
         index = self.index
         if index is not None:
-            index = Index(pick(index.postings), pick(index.terms), pick(index.fields))
+            index = Index(pick(index.postings), pick(index.terms), pick(index.fields), pick(index.exact))
         return replace(self, corpus=pick(self.corpus), vectors=pick(self.vectors), index=index)
 
 
@@ -99,16 +101,17 @@ def search_scores(
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     check_folder(folder)
     part = store if folder is None else store.folder(folder)
-    semantic = keyword = None
+    embedded = keyword = None
     if mode in ("hybrid", "semantic"):
-        semantic = semantic_search(
-            queries, part.vectors, encoder, variants, generator, dim=dim
-        )
+        embedded = embed_queries(expand_queries(queries, variants, generator), encoder, dim=dim)
     if mode in ("hybrid", "keyword"):
         parsed = parse_queries(queries, as_of)
         keyword = keyword_search(
             parsed, part.index, part.aliases, boosts, keyword_mode, part.corpus, max_hits, match
         )
+    if embedded is not None and n is not None and 0 < n <= GROUP_LIMIT:
+        return fused_top(embedded, part.vectors, keyword, queries, part.corpus, n, hits_only)
+    semantic = None if embedded is None else rrf(dense_rank_all(embedded, part.vectors))
     return combine(semantic, keyword, queries, part.corpus, n, hits_only)
 
 

@@ -1,4 +1,4 @@
-"""Keyword index as three plain tables: postings, term dictionary, field statistics."""
+"""Keyword index as plain tables: postings, term dictionary, field statistics, exact values."""
 
 from __future__ import annotations
 
@@ -6,10 +6,11 @@ import math
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mailweave.functions.text import parse_date, term_counts
+from mailweave.functions.text import extract_alias, parse_date, term_counts
 from mailweave.session import scratch_path
 
 # Index field to mail column.
@@ -19,6 +20,11 @@ FIELDS = {
     "sender": "ExtractedFrom",
 }
 
+# Fields that are found by their whole value, without analysis.
+EXACT = {"recipients": "ExtractedTo", "cc": "ExtractedCc"}
+EXACT_SCHEMA = "folder string, field string, value string, Id bigint, date_sent timestamp_ntz"
+EXACT_PER_FILE = 2_000_000
+
 MAILS_PER_SHARD = 100_000
 MAX_SHARDS = 50_000  # Spark allows 100,000 buckets; beyond this many, buckets grow instead
 
@@ -26,22 +32,52 @@ MAX_SHARDS = 50_000  # Spark allows 100,000 buckets; beyond this many, buckets g
 @dataclass(frozen=True)
 class Index:
     """``postings(folder, field, term, Id, tf, len, date_sent)``,
-    ``terms(folder, field, term, df)`` and ``fields(folder, field, n_docs, avg_len)``.
+    ``terms(folder, field, term, df)``, ``fields(folder, field, n_docs, avg_len)`` and
+    ``exact(folder, field, value, Id, date_sent)``.
     """
 
     postings: DataFrame
     terms: DataFrame
     fields: DataFrame
+    exact: DataFrame | None = None
+
+
+def _date_of(corpus: DataFrame) -> Column:
+    if "date_sent" in corpus.columns:
+        return F.col("date_sent")
+    if "ExtractedDateSent" in corpus.columns:
+        return parse_date(F.col("ExtractedDateSent"))
+    raise ValueError("a keyword index needs date_sent or ExtractedDateSent")
+
+
+def exact_values(corpus: DataFrame, fields: dict[str, str] | None = None, key: str = "Id") -> DataFrame:
+    """``(folder, field, value, Id, date_sent)``: the whole values of a mail, each once.
+
+    Fields are those of ``fields`` that the corpus has (text, or an array of texts), the sender's
+    alias as ``sender`` and the date in ISO form as ``date_sent``. Nulls have no row. A narrow
+    transformation: no shuffle.
+    """
+    date = _date_of(corpus)
+    parts = []
+    for field, column in (fields or EXACT).items():
+        if column in corpus.columns:
+            whole = isinstance(corpus.schema[column].dataType, T.ArrayType)
+            parts.append((field, F.col(column) if whole else F.array(F.col(column).cast("string"))))
+    if "ExtractedFrom" in corpus.columns:
+        alias = F.when(F.col("ExtractedFrom").isNotNull(), extract_alias(F.col("ExtractedFrom")))
+        parts.append(("sender", F.array(alias)))
+    parts.append(("date_sent", F.array(F.date_format("date_sent", "yyyy-MM-dd'T'HH:mm:ss"))))
+    named = lambda field: lambda value: F.struct(F.lit(field).alias("field"), value.alias("value"))
+    pairs = [F.transform(F.array_distinct(values), named(field)) for field, values in parts]
+    none = F.array().cast("array<struct<field:string,value:string>>")
+    found = F.explode(F.concat(*[F.coalesce(p, none) for p in pairs])).alias("e")
+    rows = corpus.withColumn("date_sent", date).select("folder", F.col(key).cast("bigint").alias("Id"), "date_sent", found)
+    return rows.select("folder", "e.field", "e.value", "Id", "date_sent").filter(F.col("value").isNotNull())
 
 
 def _postings(corpus: DataFrame, fields: dict[str, str], key: str) -> DataFrame:
     """One row per term of a field of a mail. A narrow transformation: no shuffle."""
-    if "date_sent" in corpus.columns:
-        date = F.col("date_sent")
-    elif "ExtractedDateSent" in corpus.columns:
-        date = parse_date(F.col("ExtractedDateSent"))
-    else:
-        raise ValueError("a keyword index needs date_sent or ExtractedDateSent")
+    date = _date_of(corpus)
     texts = F.explode(
         F.array(*[F.struct(F.lit(f).alias("field"), F.col(c).alias("text")) for f, c in fields.items()])
     )
@@ -90,7 +126,7 @@ def build_postings(
     """Keyword index of a corpus as lazy tables."""
     postings = _postings(corpus, fields or FIELDS, key)
     terms, stats = corpus_stats(postings)
-    return Index(postings.drop("head"), terms, stats)
+    return Index(postings.drop("head"), terms, stats, exact_values(corpus, key=key))
 
 
 def write_index(
@@ -104,7 +140,8 @@ def write_index(
 
     Postings are bucketed by mail: all terms of a mail lie in one file, sorted by term.
     Scores per mail are then complete inside a task, and only its best hits are shuffled.
-    The number of files follows the number of mails unless ``shards`` is given.
+    The number of files follows the number of mails unless ``shards`` is given. Exact values lie
+    in the order of field, value and date, so that a value is read from few row groups.
     """
     spark = corpus.sparkSession
     if shards is None:
@@ -123,6 +160,10 @@ def write_index(
     terms, stats = corpus_stats(spark.table(table))
     terms.write.mode("overwrite").parquet(f"{path}/terms")
     stats.write.mode("overwrite").parquet(f"{path}/fields")
+    exact = exact_values(corpus, key=key)
+    files = max(1, math.ceil(spark.table(table).agg(F.count_if("head")).first()[0] / EXACT_PER_FILE))
+    order = ["folder", "field", "value", "date_sent", "Id"]
+    exact.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{path}/exact")
     # An empty index has no files of postings to take the columns from.
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.table(table).schema)
     layout = spark.range(1).select(F.lit(shards).alias("shards"), F.lit(columns).alias("columns"))
@@ -151,6 +192,7 @@ def load_index(spark: SparkSession, path: str) -> Index:
         spark.table(table).drop("head"),
         spark.read.parquet(f"{path}/terms"),
         spark.read.parquet(f"{path}/fields"),
+        spark.read.schema(EXACT_SCHEMA).parquet(f"{path}/exact"),
     )
 
 

@@ -298,3 +298,40 @@ def test_report_of_sent_mail(spark, corpus):
     ranked = spark.createDataFrame([("sent", 0, 5, 1.0, 0)], "folder string, qid bigint, Id bigint, score double, rank bigint")
     text = reports.format_results(fetch(ranked, corpus, 1), asked(spark, "q")).filter("rank = 0").first().text
     assert "To: x, y\n" in text and "From:" not in text
+
+
+def test_exact_values_of_a_mail(spark, corpus, tmp_path):
+    from mailweave.sources.postings import exact_values, load_index, write_index
+
+    wide = corpus.withColumn("ExtractedTo", F.expr("IF(Id = 1, array('Bob Hope', 'Ann', 'Bob Hope', null), null)")).withColumn(
+        "ExtractedCc", F.expr("IF(Id = 2, 'A, B', null)")
+    )
+    rows = exact_values(wide).collect()
+    by = lambda field: sorted((r.Id, r.value) for r in rows if r.field == field)
+    assert by("recipients") == [(1, "Ann"), (1, "Bob Hope")] and by("cc") == [(2, "A, B")]
+    assert len(by("sender")) == corpus.filter("ExtractedFrom IS NOT NULL").count()
+    assert all(len(v) == 19 and v[10] == "T" for _, v in by("date_sent"))
+    write_index(wide, str(tmp_path / "index"))
+    back = load_index(spark, str(tmp_path / "index")).exact
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, rows))
+    pushed = back.filter("field = 'sender' AND value = 'x'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(field,sender)" in pushed and "EqualTo(value,x)" in pushed
+    write_index(wide.filter("1 = 0"), str(tmp_path / "none"))
+    assert load_index(spark, str(tmp_path / "none")).exact.count() == 0
+
+
+def test_filter_mode_scores_only_what_may_be_found(spark, store, aliases):
+    parsed = parse_queries(asked(spark, "praise from Alice in December 2012"), as_of="2012-06-15")
+    found = keyword_search(parsed, store.index, aliases, mode="filter")
+    assert [r.Id for r in found.collect()] == [1]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # The semi join lies below the aggregation of scores.
+    assert 0 < plan.index("Aggregate") < plan.index("LeftSemi")
+    named = keyword_search(parse_queries(asked(spark, "praise from Alice", "praise", "praise in 2012", "praise from Nobody")), store.index, aliases, mode="filter")
+    plain = keyword_search(parse_queries(asked(spark, "praise", "praise")), store.index, aliases, boosts=False)
+    all_hits = {r.Id: round(r.score, 9) for r in plain.filter("qid = 0").collect()}
+    got = {}
+    for r in named.collect():
+        got.setdefault(r.qid, {})[r.Id] = round(r.score, 9)
+    assert got[1] == all_hits and got[3] == {k: v for k, v in got[3].items()}
+    assert all(all_hits[k] == v for k, v in got[0].items()) and 0 < len(got[0]) < len(all_hits) + 1
