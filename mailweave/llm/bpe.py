@@ -1,16 +1,20 @@
 """BPE encoding and decoding of whole texts with a public tokenizer file.
 
-A text is cut where the tokenizer's own splitting cannot look across: at a single space between
-two characters that are no white space. The pieces are encoded by the tokenizers library and
-remembered, as most of them come again.
-
-A piece that stays long (text without spaces, such as a script that uses none, encoded data, or
-one character ten thousand times) is encoded by tree concatenation. Within each of the splitting
-pattern's runs, halves are encoded apart, all of them in one parallel batch, and joined in a
-tree: the tokens around a join are encoded again in a window that grows until its first token
-is a token of the left side and its last one a token of the right side. Then every pair of
-neighbours in the result is one that BPE itself leaves alone, which makes the result that of the
-whole run. Long runs thus need neither one long merge nor a guess.
+Long texts are encoded by tree concatenation. A text of more than ``TEXT`` characters is halved,
+wherever that falls, until its parts are short enough; the parts are encoded apart and then
+joined in a tree. What stands around a join is encoded again in a window that
+grows on each side until its outermost piece is one of that side: beyond it both sides agree with
+the whole text. For this a part is held in pieces, cut where the tokenizer's own splitting cannot
+look across: at a single space between two characters that are no white space. Pieces are encoded
+by the tokenizers library and remembered, as most of them come again.
+
+A piece that stays long itself (text without spaces, such as a script that uses none, encoded data,
+or one character ten thousand times) is encoded by a tree of tokens. Within each of the splitting
+pattern's runs, halves are encoded apart, all of them in one parallel batch, and joined: the
+tokens around a join are encoded again in a window that grows until its first token is a token of
+the left side and its last one a token of the right side. Then every pair of neighbours in the
+result is one that BPE itself leaves alone, which makes the result that of the whole run. Long
+runs thus need neither one long merge nor a guess.
 
 Edge cases: a null or empty text has no ids and decodes to the empty text. The text of a special
 token becomes its id, as the library does. Repeated rows are encoded each. Extra columns are
@@ -39,20 +43,33 @@ GAP = re.compile(r" (?=\S)(?<=\S )")
 # Letters of the Latin blocks, then signs; all else is left to the library's own splitting.
 WORD = re.compile(r"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 SLICE_CHARS = 1 << 20
+TEXT = 4096  # characters from which on a text is halved
 REMEMBERED = 100_000  # pieces a worker keeps the ids of, twice over, some 40 MB
 
 
+Side = tuple[list[str], list[bytes]]  # pieces in order, and their ids
+
+
+def halves(text: str, most: int) -> list[str]:
+    """The text halved until no part is longer than ``most``; parts of a level are alike long."""
+    parts = [text]
+    while len(parts[0]) > most:
+        parts = [half for p in parts for half in (p[: (len(p) + 1) // 2], p[(len(p) + 1) // 2 :])]
+    return parts
+
+
 class Bpe:
     """Encoder and decoder."""
 
-    def __init__(self, path: str, leaf: int = 256, long: int = 2048, remembered: int = REMEMBERED) -> None:
+    def __init__(self, path: str, leaf: int = 256, long: int = 2048, remembered: int = REMEMBERED, halved: int = TEXT) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
         # The merges alone, for runs that were split already.
         self.merges = Tokenizer(self.whole.model)
-        self.leaf, self.long, self.remembered = leaf, long, remembered
+        self.leaf, self.long, self.remembered, self.halved = leaf, long, remembered, halved
+        self.joined = self.joined_tokens = 0  # joins of halves of texts, and of runs
         vocabulary = self.whole.get_vocab(with_added_tokens=True)
         self.names = [""] * (max(vocabulary.values()) + 1)
         for name, i in vocabulary.items():
@@ -74,10 +91,47 @@ class Bpe:
         get = self.pieces.__getitem__
         out = []
         for text in texts:
-            first, *rest = GAP.split(text)
-            out.append(b"".join([self.piece(first), *map(get, rest)]))
+            if len(text) > self.halved:
+                ids = self.together([self.side(part) for part in halves(text, self.halved)])[1]
+            else:
+                first, *rest = GAP.split(text)
+                ids = [self.piece(first), *map(get, rest)]
+            out.append(b"".join(ids))
         return out
 
+    def side(self, text: str) -> Side:
+        """A part of a text by itself: its pieces and their ids."""
+        first, *rest = pieces = GAP.split(text)
+        return pieces, [self.piece(first), *map(self.pieces.__getitem__, rest)]
+
+    def together(self, sides: list[Side]) -> Side:
+        """The parts of a text joined in a tree."""
+        while len(sides) > 1:
+            pairs = [self.join_sides(a, b) for a, b in zip(sides[::2], sides[1::2])]
+            sides = pairs + sides[len(pairs) * 2 :]
+        return sides[0]
+
+    def join_sides(self, left: Side, right: Side) -> Side:
+        """Two parts as one: the window grows on each side that does not agree yet."""
+        self.joined += 1
+        (one, one_ids), (two, two_ids) = left, right
+        a = b = 2
+        while True:
+            a, b = min(a, len(one)), min(b, len(two))
+            again = GAP.split(" ".join(one[len(one) - a :]) + " ".join(two[:b]))
+            left_agrees = a == len(one) or (len(again) > 1 and again[0] == one[-a])
+            right_agrees = b == len(two) or (len(again) > 1 and again[-1] == two[b - 1])
+            if left_agrees and right_agrees:
+                break
+            a, b = (a if left_agrees else 2 * a), (b if right_agrees else 2 * b)
+        start = len(one) - a
+        # Only the first piece of a text has no space before it.
+        ids = [self.pieces[p] if start + k else self.piece(p) for k, p in enumerate(again)]
+        one[start:], one_ids[start:] = again, ids
+        one += two[b:]
+        one_ids += two_ids[b:]
+        return one, one_ids
+
     def piece(self, text: str) -> bytes:
         """Ids of a piece with the space before it, if it has one."""
         if len(text) > self.long:
@@ -120,6 +174,7 @@ class Bpe:
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """Ids of the joined text: the window grows on each side that does not agree yet."""
+        self.joined_tokens += 1
         a = b = 4
         while True:
             a, b = min(a, len(left)), min(b, len(right))

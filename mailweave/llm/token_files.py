@@ -154,6 +154,7 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = writer = None
+        end = np.uint32(end_id).astype("<u4").tobytes()
         task = TaskContext.get()
         name = f"{path.rstrip('/')}/part-{task.partitionId():06d}-{run}-{task.taskAttemptId()}.arrow"
         for batch in batches:
@@ -167,7 +168,7 @@ def write_token_files(
             for group in slices([t or "" for t in batch.column("text").to_pylist()]):
                 at, sizes = [], []
                 for ids in bpe.encode(group):
-                    ids = np.append(np.frombuffer(ids, dtype="<u4"), np.uint32(end_id))
+                    ids = np.frombuffer(ids + end, dtype="<u4")
                     at.append(writer.add(ids))
                     sizes.append(len(ids))
                 part = batch.column("doc_id").slice(row, len(group))

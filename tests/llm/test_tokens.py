@@ -37,6 +37,40 @@ def test_encoder_equals_the_library_on_random_texts(library):
         assert own.decode(np.array(some, "<u4").tobytes()) == library.decode(some, skip_special_tokens=False)
 
 
+def test_halved_texts_equal_the_library(library):
+    own = bpe.Bpe(PATH, leaf=16, long=40, remembered=50, halved=20)
+    rnd = random.Random(2)
+    kinds = ["abcde ", "ab  \n\t", "áéñßü漢字 ", "a1 2.,!?'", "'s't're ", "<|endoftext|> x", "  \x1c\x85 a", "😀👍🏽 é", "of the "]
+    for _ in range(400):
+        alphabet = rnd.choice(kinds) + rnd.choice(kinds)
+        text = "".join(rnd.choice(alphabet) for _ in range(rnd.randrange(600)))
+        text += rnd.choice(["", " ", "word " * 30, "<|endoftext|> and <|endoftext|>" * 3, "x" * 90])
+        got = own.encode([text, text[::-1]])
+        for t, ids in zip([text, text[::-1]], got):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
+    assert own.joined > 5000
+
+
+def test_halves_are_whole_and_even():
+    for n in (0, 1, 4096, 4097, 9000, 100_001):
+        parts = bpe.halves("ab" * (n // 2) + "c" * (n % 2), 4096)
+        assert sum(map(len, parts)) == n and max(map(len, parts)) <= 4096 and max(map(len, parts)) - min(map(len, parts)) <= len(parts)
+
+
+def test_texts_of_the_given_table_are_joined(library, docs):
+    """Long documents, and the one without spaces, go through the trees."""
+    own = bpe.Bpe(PATH)
+    texts = [r.text or "" for r in docs.select("text").collect()]
+    long_ones = [t for t in texts if len(t) > bpe.TEXT]
+    found = own.encode(texts)
+    assert len(long_ones) > 10 and own.joined == sum(len(bpe.halves(t, bpe.TEXT)) - 1 for t in long_ones)
+    for t, ids in zip(texts, found):
+        if len(t) > bpe.TEXT:
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+    own.encode(["漢字かな交じり文" * 2000])
+    assert own.joined_tokens > 10
+
+
 @pytest.mark.parametrize("name", ["odd", "docs"])
 def test_round_trip(request, library, name):
     df = request.getfixturevalue(name)
