@@ -12,8 +12,10 @@ of rows in the parts before it. Parts hold about the square root of the number o
 the source's share. Only counts per cell and part are gathered.
 
 Edge cases: a null source is a source of its own, the last one. A null size counts 0. Sources
-without words get target 0 and no copies. Repeated rows are rows of their own. Extra columns are
-kept. An empty table gives an empty result.
+without words get target 0 and no copies. Repeated rows are rows of their own; those with one id
+stand in the order of their size and content. Extra columns are kept, whatever their names: an
+added column whose name is taken has underscores before it, and the added ones are the last three.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mailweave.llm.common import fresh, table, words
 from mailweave.operators.joins import attach
@@ -69,14 +72,15 @@ def systematic_mix(
     cap: float = CAP,
     seed: str = SEED,
 ) -> DataFrame:
-    """All columns of ``rows`` and ``source_size, target, copies``; reruns agree.
+    """All columns of ``rows`` and, last, ``source_size, target, copies``; reruns agree.
 
     ``key`` orders rows of like size at random, by its hash; ``rows`` is read three times, so a
     caller with costly sizes stores them first.
     """
-    s, z, k, cell, salts, part, h, start, place = fresh(
-        rows, "_s", "_z", "_k", "_cell", "_salts", "_part", "_h", "_start", "_place"
+    whole, aim, taken, s, z, cell, salts, part, h, start, place, content = fresh(
+        rows, "source_size", "target", "copies", "_s", "_z", "_cell", "_salts", "_part", "_h", "_start", "_place", "_content"
     )
+    simple = [f"`{f.name}`" for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     name = F.col(f"`{source}`")
     n = F.coalesce(F.col(f"`{size}`"), F.lit(0)).cast("bigint")
     own = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
@@ -87,6 +91,7 @@ def systematic_mix(
         n.alias(z),
         F.floor(F.sqrt(n.cast("double"))).cast("bigint").alias(cell),
         F.md5(F.concat(F.lit(f"{seed}/"), own).cast("binary")).alias(h),
+        F.xxhash64(*simple).alias(content),
     )
     cells = stored(
         laid.groupBy(s, cell).agg(F.count(F.lit(1)).alias("_n"), F.sum(z).alias("_size")), "mix_cells"
@@ -110,19 +115,20 @@ def systematic_mix(
     real = F.when(F.col(s) != "n", F.expr(f"substring(`{s}`, 2)"))
     targets = source_targets(sizes.select(real.alias("source"), "source_size"), weights, share, cap)
     again = F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), F.col("source")))
-    targets = targets.select(again.alias(s), "source_size", "target")
+    targets = targets.select(again.alias(s), F.col("source_size").alias(whole), F.col("target").alias(aim))
     starts = attach(starts, targets, [s], [cell, part], how="inner")
 
-    order = Window.partitionBy(s, cell, part).orderBy(h, F.col(f"`{key}`"))
+    order = Window.partitionBy(s, cell, part).orderBy(h, F.col(f"`{key}`"), z, content)
     placed = (
         attach(parted, starts, [s, cell, part], [h], how="inner")
         .withColumn(place, F.col(start) + F.row_number().over(order) - 1)
     )
     offset = _fraction(F.md5(F.concat(F.lit(f"{seed}/source/"), F.col(s)).cast("binary")))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    rate = F.when(F.col(whole) > 0, F.col(aim) / F.col(whole)).otherwise(0.0)
     up_to = lambda i: F.floor(i.cast("double") * rate + offset)
     copies = (up_to(F.col(place) + 1) - up_to(F.col(place))).cast("bigint")
-    return placed.withColumn("copies", copies).drop(s, z, cell, h, part, start, place)
+    columns = [F.col(f"`{c}`") for c in [*rows.columns, whole, aim]]
+    return placed.select(*columns, copies.alias(taken))
 
 
 def _fraction(digest: Column) -> Column:
@@ -131,10 +137,12 @@ def _fraction(digest: Column) -> Column:
 
 
 def emit_copies(mixed: DataFrame) -> DataFrame:
-    """Each row as often as it was taken; ``copies`` and the targets go."""
-    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    out = mixed.filter(F.col("copies") > 0).withColumn("_copy", times)
-    return out.drop("_copy", "copies", "source_size", "target")
+    """Each row of ``systematic_mix`` as often as it was taken, without the three added columns."""
+    *own, _, _, taken = mixed.columns
+    (each,) = fresh(mixed, "_copy")
+    times = F.explode(F.sequence(F.lit(1), F.col(f"`{taken}`").cast("int")))
+    out = mixed.filter(F.col(f"`{taken}`") > 0).withColumn(each, times)
+    return out.select(*[F.col(f"`{c}`") for c in own])
 
 
 def op6_mix_sources(spark, sf_dir) -> DataFrame:

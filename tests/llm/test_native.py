@@ -98,6 +98,28 @@ def test_mix_agrees_with_itself_and_emits_copies(docs):
     assert out.count() == sum(c for _, c in once) and out.columns == [*docs.columns, "size"]
 
 
+def test_mix_keeps_columns_of_any_name(odd):
+    """Columns named as those the operator adds or works with."""
+    names = ["target", "source_size", "copies", "_copy", "_s", "_n", "_size", "_place", "_w", "_most", "_full", "_level"]
+    wide = odd.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    sized = wide.withColumn("size", F.size(words(F.col("text"))).cast("bigint"))
+    out = mix.systematic_mix(sized)
+    assert out.columns == [*sized.columns, "_source_size", "_target", "_copies"]
+    plain_ones = {(r.doc_id, r.text): r.copies for r in mixed(odd).collect()}
+    found = out.collect()
+    assert {(r.doc_id, r.text): r._copies for r in found} == plain_ones
+    assert all(tuple(r[n] for n in names) == tuple(range(len(names))) for r in found)
+    emitted = mix.emit_copies(out)
+    assert emitted.columns == sized.columns and emitted.count() == sum(r._copies for r in found)
+
+
+def test_mix_of_repeated_ids_agrees_with_itself(spark):
+    rows = [(k % 5, "abc"[k % 3], "word " * (100 + k % 7), k) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string, k int")
+    once = sorted((r.k, r.copies) for r in mixed(df).collect())
+    assert once == sorted((r.k, r.copies) for r in mixed(df.repartition(5).sort("k")).collect())
+
+
 def test_mix_of_an_empty_table(none):
     assert mixed(none).count() == 0
 
