@@ -32,6 +32,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailweave.llm.common import table
+from mailweave.llm.common import fresh, table
 from mailweave.llm.components import components
 from mailweave.operators.joins import attach
 from mailweave.session import stored
@@ -54,7 +55,9 @@ VERIFY_COST = 10  # a verification, in postings read
 MOST_MATCHES = 16
 ROUNDS = 2  # of comparisons with leaders
 LONG_LIST = 48  # texts of a list whose pairs are not listed
-CHUNK = 4096  # texts of a chunk of a long list
+CHUNK = 4096  # texts of a chunk of a long list, and
+CHUNK_SHINGLES = 4 << 20  # their shingles
+BUCKET_BYTES = 64 << 20  # of input whose shingles are counted in one group
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
@@ -339,7 +342,7 @@ def long_list_links(lists: DataFrame, sizes: DataFrame, sets: DataFrame) -> Data
     index of them, without a row per pair. A pair whose first common shingle is that of a long list
     is settled here.
     """
-    chunks = F.ceil(F.col("m") / F.lit(float(CHUNK))).cast("int")
+    chunks = F.greatest(F.ceil(F.col("m") / F.lit(float(CHUNK))), F.ceil(F.col("total") / F.lit(float(CHUNK_SHINGLES)))).cast("int")
     rows = lists.select("gram", "doc_id", "component").join(sizes, "gram").withColumn("k", chunks)
     rows = rows.withColumn("c", F.pmod(F.xxhash64("doc_id", F.lit("chunk")), F.col("k")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
@@ -412,7 +415,7 @@ def links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
     # need only those texts whose shortest prefix has the shingle. Shingles in common cannot be
     # counted over some of the lists only, so one of a short list is enough.
     opened = opened.filter("first")
-    sizes = opened.groupBy("gram").agg(F.count(F.lit(1)).alias("m"))
+    sizes = opened.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
     sizes = stored(sizes.filter(F.col("m") > LONG_LIST), "long_lists")
     short = opened.join(sizes, "gram", "left_anti")
     last = stored(verified(short_list_pairs(short), sets), "new_links")
@@ -425,8 +428,10 @@ def links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, a row for each row of ``df``."""
     spark = df.sparkSession
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = df.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = size if size < 1 << 60 else 0  # unknown
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / BUCKET_BYTES))
     blocks = stored(first_pass(docs, buckets), "blocks")
     zipped = blocks.filter("bucket = -1").select(F.explode(F.arrays_zip("ids", "sizes", "keys")).alias("d"))
     thin = stored(zipped.select(F.col("d.ids").alias("doc_id"), F.col("d.sizes").alias("n_shingles"), F.col("d.keys").alias("key")), "thin")
@@ -454,13 +459,24 @@ def op4_ngram_join(spark, sf_dir) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id."""
-    found = stored(near_duplicates(docs), "near_duplicates")
-    gone = stored(found.filter("doc_id != component_id").select("doc_id").distinct(), "copies")
-    kept = attach(docs, gone, ["doc_id"], ["doc_id"], how="left_anti", unique=True)
-    counts = found.filter("doc_id IS NOT NULL").agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    """One document of each group stays, the one with the smallest id. Documents without an id stay.
+
+    Where an id stands in several rows, groups are those of rows: of rows with one id only those go
+    that are near duplicates of another, and of these the row with the smallest hash of its text stays.
+    """
+    counts = docs.filter("doc_id IS NOT NULL").agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if counts[0] == counts[1]:
+        found = stored(near_duplicates(docs), "near_duplicates")
+        gone = stored(found.filter("doc_id != component_id").select("doc_id").distinct(), "copies")
+        kept = attach(docs, gone, ["doc_id"], ["doc_id"], how="left_anti", unique=True)
         return kept.select(*docs.columns)
-    # Some id stands in several rows: keep one row of each.
-    named = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.filter("doc_id IS NULL")).select(*docs.columns)
+    (row,) = fresh(docs, "_row")
+    number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+    rows = stored(docs.withColumn(row, number), "rows")
+    found = near_duplicates(rows, doc_id=row).filter("doc_id IS NOT NULL")
+    found = stored(found.select(F.col("doc_id").alias(row), "component_id"), "near_duplicates")
+    named = rows.select("doc_id", F.xxhash64("text").alias("_hash"), row).join(found, row)
+    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "_hash", row)).alias("first"))
+    stays = stored(first.select(F.col(f"first.{row}").alias(row)), "kept_rows")
+    kept = attach(rows.filter(F.col(row).isNotNull()), stays, [row], [row], how="left_semi", unique=True)
+    return kept.unionByName(rows.filter(F.col(row).isNull())).select(*docs.columns)

@@ -100,9 +100,16 @@ def test_ngram_join_of_odd_rows(odd, none):
         assert r.component_id == (None if r.doc_id is None else want[r.doc_id])
     assert sorted(r.n_shingles for r in out) == sorted(len(shingle_set(t)) for _, t in rows)
     assert ngram_join.near_duplicates(none).count() == 0
+    # The stage judges rows: a text is not lost because its id stands on another one, too.
     kept = ngram_join.stage(odd.sparkSession, odd, "")
-    ids = [r.doc_id for r in kept.collect()]
-    assert kept.columns == odd.columns and len(ids) == len(set(ids)) and set(ids) == {*want.values(), None}
+    own = [(k, t) for k, (i, t) in enumerate(rows) if i is not None]
+    group = brute(own)
+    least = {}
+    for k, _ in own:
+        least[group[k]] = min(rows[k][0], least.get(group[k], rows[k][0]))
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(least.values())
+    assert kept.filter("doc_id IS NULL").count() == len(rows) - len(own)
 
 
 def test_ngram_join_of_the_given_table(docs):
@@ -110,6 +117,45 @@ def test_ngram_join_of_the_given_table(docs):
     assert {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()} == brute(rows)
 
 
+def test_stage_keeps_what_is_no_copy(spark):
+    """One id on three texts of which two are near copies, ids once, no id, and extra columns."""
+    words = lambda seed, n=80: " ".join(f"w{seed}x{k}" for k in range(n))
+    rows = [
+        (7, words(1), "a", 1), (7, words(2), "b", 2), (7, words(2) + " more", "c", 3), (3, words(1) + " end", "d", 4), (9, words(4), "e", 5),
+        (None, words(1), "f", 6), (9, words(4), "e", 5), (11, "", "g", 7), (12, None, "h", 8), (11, "", "i", 9),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _row int").repartition(4)
+    kept = ngram_join.stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.source) for r in kept.collect()), key=str)
+    assert [f for f in found if f[1] not in "bc"] == sorted(
+        [(3, "d"), (9, "e"), (None, "f"), (11, "g"), (12, "h"), (11, "i")], key=str
+    )
+    assert len([f for f in found if f[1] in "bc"]) == 1
+    again = sorted(((r.doc_id, r.source) for r in ngram_join.stage(spark, docs.repartition(2), "").collect()), key=str)
+    assert again == found
+    once = docs.filter("source IN ('a', 'd', 'e', 'f')").dropDuplicates(["doc_id"])
+    assert {r.source for r in ngram_join.stage(spark, once, "").collect()} == {"d", "e", "f"}
+
+
+def test_long_near_copies_in_chunks_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 3)
+    monkeypatch.setattr(ngram_join, "CHUNK_SHINGLES", 3000)
+    monkeypatch.setattr(ngram_join, "BUCKET_BYTES", 1 << 10)
+    rnd = random.Random(3)
+    base = [f"w{k}" for k in range(1500)]
+    texts = []
+    for k in range(24):
+        own = list(base)
+        for _ in range(rnd.choice([3, 20, 45, 60, 90])):
+            own[rnd.randrange(len(own))] = f"x{rnd.randrange(10**6)}"
+        texts.append(" ".join(own))
+    found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")).collect()}
+    grams = [{*map(int, ngram_join.shingles(t))} for t in texts]
+    pairs = [(a, b) for a in range(24) for b in range(a) if 100 * len(grams[a] & grams[b]) >= 75 * len(grams[a] | grams[b])]
+    assert pairs and found == groups(set(range(24)), pairs)
+
+
 def test_components(spark):
     rnd = random.Random(1)
     pairs = [(k, k + 1) for k in range(100, 160)] + [(rnd.randrange(90), rnd.randrange(90)) for _ in range(60)] + [(200, 300 + k) for k in range(80)]
