@@ -35,7 +35,7 @@ from mailweave.operators.query_parse import (
 from mailweave.operators.ranking import by_score, hit_cap, number_docs, rank_all, top_n
 from mailweave.plans.evaluation import evaluate
 from mailweave.plans.mailboxes import build_mailboxes, build_vectors
-from mailweave.plans.search import Store, fetch, open_store, search, search_scores
+from mailweave.plans.search import Store, fetch, load_store, open_store, save_store, search, search_scores
 from mailweave.session import scratch_path, ship
 from mailweave.sources import raw as rw
 from mailweave.sources import reports as rp
@@ -737,13 +737,22 @@ def q_set_report(spark, sf):
 
 
 def q_report_file(spark, sf):
-    """The report written twice, once as a new session and once appended."""
+    """The lines of a report in order: an older one, replaced by a new session, and an append."""
     report = q_report(spark, sf)
     path = scratch_path(spark, "report")
+    rp.write_report(report.filter("rank >= 0"), path, mode="append")
     rp.write_report(report, path, mode="overwrite")
-    rp.write_report(report, path, mode="append")
-    lines = spark.read.text(path)
-    return lines.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+    rp.write_report(report.filter("rank < 0"), path, mode="append")
+    return rp.read_report(spark, path)
+
+
+def q_search_numbered(spark, sf):
+    """Keyword results with their position in the folder, from a store that was saved and opened again."""
+    s, path = store(spark, sf), scratch_path(spark, "store")
+    save_store(s.corpus, path, s.aliases)
+    opened = load_store(s.corpus, path)
+    found = search(benchmark(spark, sf), opened, n=5, mode="keyword", numbered=True)
+    return found.select("folder", "qid", "rank", "Id", "doc_no")
 
 
 def _shipped(query: Query) -> Query:
@@ -1166,6 +1175,9 @@ round(pairwise_mse, 6) AS pairwise_mse FROM kw_w JOIN mse USING (folder, set_id)
 SELECT t.folder, qid, rank, '' {EMAIL_TEXT} AS text FROM top t JOIN mails m ON m.folder = t.folder AND m.Id = t.Id
 UNION ALL SELECT DISTINCT folder, t.qid, -1, chr(10) || '~~~~~~~~~~~~ QUERY #' || CAST(t.qid AS VARCHAR) || ' ~~~~~~~~~~~~' || chr(10)
 || 'Folder: ' || folder || chr(10) || 'Query: ' || q.raw || chr(10) || chr(10) FROM top t JOIN q USING (qid)""",
+        "search_numbered": f"""WITH {kw_search},
+d AS (SELECT folder, Id, row_number() OVER (PARTITION BY folder ORDER BY Id) AS doc_no FROM mails)
+SELECT r.folder, qid, rank, r.Id, doc_no FROM result r JOIN d ON d.folder = r.folder AND d.Id = r.Id WHERE rank < 5""",
         "set_report": f"""WITH {best4}, top AS (SELECT * FROM best4 WHERE rank < 4),
 lines AS (SELECT set_id, string_agg('Query ' || CAST(qid % 4 + 1 AS VARCHAR) || ': ' || raw || chr(10), '' ORDER BY qid) AS l FROM q GROUP BY set_id)
 SELECT t.folder, set_id, rank, '' {EMAIL_TEXT} AS text FROM top t JOIN mails m ON m.folder = t.folder AND m.Id = t.Id
@@ -1173,5 +1185,8 @@ UNION ALL SELECT DISTINCT folder, t.set_id, -1, chr(10) || '~~~~~~~~~~~~ QUERY S
 || 'Folder: ' || folder || chr(10) || l || 'Top 4 distinct results across queries: ' || chr(10) FROM top t JOIN lines USING (set_id)""",
     }
     sql["report_file"] = f"""WITH report AS ({sql['report']})
-SELECT line, 2 * count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM report) GROUP BY line"""
+, parts AS (SELECT 1 AS part, * FROM report UNION ALL SELECT 2, * FROM report WHERE rank < 0),
+cut AS (SELECT part, folder, qid, rank, string_split(text, chr(10)) AS l FROM parts),
+lines AS (SELECT part, folder, qid, rank, l, unnest(range(len(l))) AS i FROM cut)
+SELECT row_number() OVER (ORDER BY part, folder, qid, rank, i) - 1 AS line_no, l[i + 1] AS line FROM lines"""
     return sql | (llm.oracle_sql() if llm else {})

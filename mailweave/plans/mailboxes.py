@@ -11,6 +11,7 @@ from mailweave.functions.text import clean_body, clean_subject, compose_text, ex
 from mailweave.operators import mailbox as mb
 from mailweave.operators.encode import Encoder, embed
 from mailweave.operators.joins import attach
+from mailweave.session import stored
 
 
 def build_mailboxes(
@@ -29,10 +30,15 @@ def build_mailboxes(
         mails = mb.with_senders(emails, mb.alias_names(aliases, persons))
     mails = mb.flag_sent(mails, mb.owner_aliases(aliases, persons, owner_pattern))
     mails = mb.fill_sender(mails)
-    received = mb.received_ids(receivers, persons, owner_pattern).withColumn("_in", F.lit(True))
-    mails = attach(mails, received, ["Id"], ["Id"], unique=True)
+    # Both sides are stored, as their size is measured before they are joined.
+    received = stored(mb.received_ids(receivers, persons, owner_pattern), "received")
+    sent = mails.filter("IsOwnerSender").select("Id")
+    kept = stored(received.union(sent).distinct().withColumnRenamed("Id", "EmailId"), "kept_ids")
+    mails = attach(mails, received.withColumn("_in", F.lit(True)), ["Id"], ["Id"], unique=True)
     mails = mb.drop_empty_body(mails.filter(F.col("_in") | F.col("IsOwnerSender")))
-    mails = mb.with_recipients(mails, mb.recipients(receivers, persons))
+    # Lists are built for the owner's mails only.
+    mine = attach(receivers, kept, ["EmailId"], ["PersonId"], "left_semi")
+    mails = mb.with_recipients(mails, stored(mb.recipients(mine, persons), "recipients"))
     folders = F.array_compact(
         F.array(F.when(F.col("_in"), mb.FOLDERS[0]), F.when(F.col("IsOwnerSender"), mb.FOLDERS[1]))
     )

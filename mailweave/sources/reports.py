@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailweave.operators.ranking import rank_within
+
 # Wording and lengths of the report.
 QUERY_TITLE = "\n~~~~~~~~~~~~ QUERY #%d ~~~~~~~~~~~~\n"
 SET_TITLE = "\n~~~~~~~~~~~~ QUERY SET #%d ~~~~~~~~~~~~\n"
@@ -14,6 +17,7 @@ NO_SUBJECT = "No Subject"
 NO_BODY = "[No Body Content]"
 SUBJECT_CHARS = 80
 BODY_CHARS = 1000
+PART = "part"  # names the directories of a report
 
 
 def _text(col: Column) -> Column:
@@ -86,7 +90,60 @@ def format_set_results(best: DataFrame, queries: DataFrame) -> DataFrame:
     )
 
 
-def write_report(report: DataFrame, path: str, mode: str = "append") -> None:
-    """Write report blocks as text in reading order; ``overwrite`` starts a new report."""
+def write_report(report: DataFrame, path: str, mode: str = "append") -> int:
+    """Write report blocks as text in reading order; returns the number of this part of the report.
+
+    A report is a sequence of parts, each a directory of its own that carries its number. A part is
+    there as a whole or not at all: Spark moves its files into place when all tasks are done, and a
+    number that another writer took first is left to it. ``overwrite`` starts a new report: the
+    older parts go when the new one is complete.
+    """
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"mode must be append or overwrite, not {mode!r}")
     group = "set_id" if "set_id" in report.columns else "qid"
-    report.orderBy("folder", group, "rank").select("text").write.mode(mode).text(path)
+    blocks = report.orderBy("folder", group, "rank").select("text")
+    before = _parts(report.sparkSession, path)
+    number = max(before, default=0) + 1
+    while True:
+        try:
+            blocks.write.mode("errorifexists").text(f"{path}/{PART}={number:09d}")
+            break
+        except AnalysisException as taken:
+            if taken.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            number += 1
+    if mode == "overwrite":
+        for old in before:
+            _file_system(report.sparkSession, path).delete(_hadoop_path(report.sparkSession, f"{path}/{PART}={old:09d}"), True)
+    return number
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """``(line_no, line)``: the lines of all parts in the order in which they were written."""
+    lines = spark.read.text(path).select(
+        F.col(PART).cast("bigint").alias("part"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").alias("line"),
+    )
+    order = [F.col(c).asc() for c in ("part", "file", "start", "row")]
+    ranked = rank_within(lines.withColumn("report", F.lit(0)), ["report"], order, "line_no")
+    return ranked.select("line_no", "line")
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _parts(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the parts at ``path``, complete or not."""
+    files, place = _file_system(spark, path), _hadoop_path(spark, path)
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{PART}="))

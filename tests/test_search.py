@@ -335,3 +335,52 @@ def test_filter_mode_scores_only_what_may_be_found(spark, store, aliases):
         got.setdefault(r.qid, {})[r.Id] = round(r.score, 9)
     assert got[1] == all_hits and got[3] == {k: v for k, v in got[3].items()}
     assert all(all_hits[k] == v for k, v in got[0].items()) and 0 < len(got[0]) < len(all_hits) + 1
+
+
+def test_positions_of_found_mails(spark, tiny_windows):
+    from mailweave.operators.ranking import number_docs
+    from mailweave.plans.search import positions
+
+    corpus = spark.createDataFrame(
+        [("inbox" if k % 3 else "sent", 7 * k % 101) for k in range(101)], "folder string, Id bigint"
+    ).repartition(4)
+    found = corpus.filter("Id % 9 < 2").withColumn("qid", F.lit(1)).union(corpus.limit(3).withColumn("qid", F.lit(2)))
+    want = {(r.folder, r.Id): r.doc_no for r in number_docs(corpus).collect()}
+    for rows in (100, 1 << 40):
+        got = {(r.folder, r.Id): r.doc_no for r in positions(found, corpus, rows).collect()}
+        assert got == {k: want[k] for k in got} and set(got) == {(r.folder, r.Id) for r in found.collect()}
+    assert positions(found.filter("1 = 0"), corpus, 0).count() == 0
+
+
+def test_report_parts_keep_their_order(spark, tmp_path):
+    path = str(tmp_path / "report")
+    rows = [("inbox", q, r, f"block {q}.{r}\nmore\n") for q in range(30) for r in (-1, 0, 1)]
+    df = spark.createDataFrame(rows, "folder string, qid bigint, rank bigint, text string").repartition(7)
+    lines = lambda part: [x for _, _, _, t in sorted(part, key=lambda r: r[1:3]) for x in t.split("\n")]
+    read = lambda: [r.line for r in reports.read_report(spark, path).orderBy("line_no").collect()]
+    assert reports.write_report(df, path, "append") == 1
+    assert reports.write_report(df.filter("qid < 3"), path) == 2
+    assert read() == lines(rows) + lines([r for r in rows if r[1] < 3])
+    # A writer that fails leaves nothing, one that came first keeps its number.
+    broken = df.withColumn("text", F.raise_error(F.lit("stop")))
+    with pytest.raises(Exception, match="stop"):
+        reports.write_report(broken, path)
+    assert read() == lines(rows) + lines([r for r in rows if r[1] < 3])
+    assert reports.write_report(df.filter("qid = 9"), path) > 2
+    assert read()[-9:] == lines([r for r in rows if r[1] == 9])
+    reports.write_report(df.filter("qid = 5"), path, "overwrite")
+    assert read() == lines([r for r in rows if r[1] == 5])
+    with pytest.raises(ValueError):
+        reports.write_report(df, path, "ignore")
+
+
+def test_saved_store(spark, corpus, aliases, tmp_path):
+    from mailweave.plans.search import load_store, save_store
+
+    path = str(tmp_path / "store")
+    save_store(corpus, path, aliases)
+    queries = asked(spark, "talk about crisis", "praise from Alice")
+    rows = lambda s: [(r.folder, r.qid, r["rank"], r.Id, round(r.score, 6)) for r in search(queries, s, n=3).collect()]
+    assert rows(load_store(corpus, path)) == rows(open_store(corpus, aliases))
+    with pytest.raises(Exception):
+        load_store(corpus, str(tmp_path / "none"))
