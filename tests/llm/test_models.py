@@ -26,9 +26,35 @@ def test_kneser_ney_sums_to_one_over_known_next_characters():
     assert model.probability(nexts).sum() == pytest.approx(1.0, abs=1e-6)
 
 
-def test_model_size_is_bounded(docs):
-    model = language_id.fit(language_id.training_rows(docs), max_grams=4000)
-    assert sum(len(m.orders[0].keys) for m in model.models) <= 4000
+def test_a_model_in_tables_is_the_same(docs, odd, tiny_broadcast):
+    """No gram is left out beyond the broadcast size, and nothing changes but the way."""
+    training = language_id.training_rows(docs)
+    small, large = language_id.fit(training), language_id.fit(training, most=0)
+    assert isinstance(small, language_id.Model) and isinstance(large, language_id.Tables)
+    assert large.langs == small.langs
+    assert np.allclose(large.mean, small.mean, atol=1e-5) and np.allclose(large.limit, small.limit, rtol=1e-4)
+    for df in (docs.filter("doc_id % 3 = 1").withColumn("_row", F.lit("kept")), odd):
+        rows = lambda model: sorted(
+            [(r.doc_id is None, r.doc_id or 0, r.text or "", r.lang_pred, round(r.score, 4), round(r.entropy or 0, 4), r.n_letters, r.accepted)
+             for r in language_id.predict_language(df, model).collect()], key=repr
+        )
+        assert rows(large) == rows(small)
+    assert language_id.predict_language(df.limit(0), large).count() == 0
+    assert language_id.predict_language(df, large).columns == language_id.predict_language(df, small).columns
+
+
+def test_probabilities_in_tables(spark):
+    texts = {"a": ["abc abd", "aab", "zebra"], "b": ["xyz", "abc xyz " * 3]}
+    rows = [(name, int(g), n) for name, own in texts.items() for g, n in zip(*map(list, np.unique(language_id.grams(own)[0].view(np.int64), return_counts=True)))]
+    counted = spark.createDataFrame([(a, b, int(n)) for a, b, n in rows], "lang string, gram bigint, n bigint")
+    model = language_id.Tables(counted, ["a", "b"])
+    wanted = np.unique(language_id.grams(["abc", "zzz", "xyz abq", "öä"])[0])
+    found = {r.gram: r.bits for r in model.bits(spark.createDataFrame([(int(g),) for g in wanted.view(np.int64)], "gram bigint")).collect()}
+    for k, name in enumerate("ab"):
+        keys = np.array([g for lang, g, _ in rows if lang == name], dtype=np.int64).view(np.uint64)
+        one = language_id.KneserNey(keys, np.array([n for lang, _, n in rows if lang == name]))
+        for g, p in zip(wanted.view(np.int64).tolist(), one.probability(wanted)):
+            assert found[g][k] == pytest.approx(-np.log2(p), abs=1e-4)
 
 
 def test_calibration_of_a_rare_language(spark, docs, monkeypatch):
