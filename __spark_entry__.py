@@ -46,7 +46,7 @@ from mailweave.sources.postings import build_postings, load_index, write_index
 try:
     from mailweave.llm import registry as llm
 except ImportError as missing:
-    if not (missing.name or "").startswith(("mailweave.llm", "corpus_pipeline")):
+    if not (missing.name or "").startswith("mailweave.llm"):
         raise
     llm = None
 
