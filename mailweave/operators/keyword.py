@@ -19,6 +19,7 @@ B = 0.75
 SENDER_BOOST = 2.0
 DATE_BOOST = 1.5
 MATCH_FIELDS = ("subject", "body")
+LITERAL_TERMS = 100  # words whose postings are asked for by name
 
 
 def query_terms(queries: DataFrame, fields: tuple[str, ...], text_col: str = "query") -> DataFrame:
@@ -54,7 +55,7 @@ def contributions(
     idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     gain = F.col("weight") * idf * (k1 + 1)
     weights = known.select("folder", "field", "term", "qid", gain.alias("gain"), "avg_len")
-    postings = index.postings
+    postings = _of_terms(index.postings, wanted, size)
     if allowed is not None:
         postings = attach(postings, allowed.select("folder", "Id").distinct(), ["folder", "Id"], ["term"], "left_semi")
     hits = attach(postings, weights, ["folder", "field", "term"], ["Id"], "inner", size * folders)
@@ -64,6 +65,18 @@ def contributions(
     return hits.withColumn("part", F.col("gain") * F.col("tf") / saturation)
 
 
+def _of_terms(postings: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Postings of few words are read through literal filters, which skip the pages of other words:
+    within a file, postings are sorted by field and term."""
+    if size > LITERAL_TERMS * 4 * ROW_BYTES:
+        return postings
+    found = wanted.select("field", "term").distinct().limit(LITERAL_TERMS + 1).collect()
+    if len(found) > LITERAL_TERMS:
+        return postings
+    fields, words = ({r[c] for r in found} for c in ("field", "term"))
+    return postings.filter(F.col("field").isin(*sorted(fields)) & F.col("term").isin(*sorted(words)))
+
+
 def bm25(
     queries: DataFrame,
     index: Index,

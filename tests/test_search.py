@@ -384,3 +384,16 @@ def test_saved_store(spark, corpus, aliases, tmp_path):
     assert rows(load_store(corpus, path)) == rows(open_store(corpus, aliases))
     with pytest.raises(Exception):
         load_store(corpus, str(tmp_path / "none"))
+
+
+def test_postings_of_few_words_are_read_by_literal_filters(spark, store, monkeypatch):
+    from mailweave.operators import keyword
+
+    queries = asked(spark, "crisis talk", "praise")
+    found = lambda: sorted((r.folder, r.qid, r.field, r.Id, round(r.score, 9)) for r in bm25(queries, store.index).collect())
+    plan = bm25(queries, store.index)._jdf.queryExecution().executedPlan().toString()
+    assert "In(term, [crisis,praise,talk])" in plan
+    few = found()
+    monkeypatch.setattr(keyword, "LITERAL_TERMS", 2)
+    assert "In(term" not in bm25(queries, store.index)._jdf.queryExecution().executedPlan().toString()
+    assert found() == few and few
