@@ -321,9 +321,12 @@ def fused_top(
         mine = embedded if left is None else embedded.join(left, "qid", "left_semi")
         rounds = []
         for block in _blocks(mine, facts, depth):
+            variants = Variants(block.toArrow())
+            if not len(variants.qid):
+                continue
             own = asked.join(block.select("qid").distinct(), "qid", "left_semi")
             hits = None if keyword is None else _of(keyword, own)
-            rounds.append(_round(block, per_query.select("qid", "v"), vectors, sizes, hits, own, corpus, n, depth, hits_only, k))
+            rounds.append(_round(variants, block, per_query.select("qid", "v"), vectors, sizes, hits, own, corpus, n, depth, hits_only, k))
         results, closed = (_union([r[i] for r in rounds]) for i in (0, 1))
         done.append(attach(results, closed, ["qid"], ["Id"], "left_semi"))
         left = (asked.select("qid") if left is None else left).join(closed, "qid", "left_anti")
@@ -357,12 +360,11 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _round(
-    block: DataFrame, per_query: DataFrame, vectors: DataFrame, sizes: dict[str, int], keyword: DataFrame | None, queries: DataFrame,
+    variants: Variants, block: DataFrame, per_query: DataFrame, vectors: DataFrame, sizes: dict[str, int], keyword: DataFrame | None, queries: DataFrame,
     corpus: DataFrame, n: int, depth: int, hits_only: bool, k: int,
 ) -> tuple[DataFrame, DataFrame]:
     """The first ``n`` mails of every query by the candidates of one depth, and the queries
     ``(qid)`` whose result is settled."""
-    variants = Variants(block.toArrow())
     tasks = math.ceil(sum(sizes.values()) / 1000)  # no more tasks than this hold a list's parts in full
     wanted = edge_mails(edge_lists(variants, vectors, depth), depth, tasks)
     most_rows = len(variants.qid) * depth * 3 * len(sizes)
@@ -406,7 +408,7 @@ def _round(
         floor = F.coalesce("floor", F.lit(0.0))
     most = blend(filled_value("sem", F.col("v") / F.lit(float(k + 1 + depth))), filled_value("kw", floor))
     # The least fused score is settled, or an absent mail has less.
-    least = F.col("v") / (k + F.col("sem_n") - depth)
+    least = F.col("v") / (k + F.greatest(F.col("sem_n") - depth, F.lit(0)))
     settled = (F.col("sem_n") < F.col("n_docs")) | (F.col("sem_low") <= least)
     listed = F.col("sem_n") <= depth
     enough = (F.col("rows") >= n) & (F.col("nth") > tie_key(most)) & settled

@@ -73,6 +73,18 @@ def test_queries_and_folders_without_vectors(spark, monkeypatch):
     assert nothing.count() == 0
 
 
+def test_small_folders_and_empty_blocks(spark, monkeypatch, tiny_broadcast):
+    """A folder as small as the depth less k, and one query in three blocks."""
+    monkeypatch.setattr(ft, "FULL_SHARE", 0)
+    corpus, vectors, embedded, queries, hits = world(spark, 4, mails=360, queries=3)
+    depth = 3 * (ft.RRF_K + 4) - ft.RRF_K
+    assert vectors.filter("folder = 'sent'").count() == depth - ft.RRF_K
+    queries, embedded, hits = (df.filter("qid = 2") for df in (queries, embedded, hits))
+    monkeypatch.setattr(ft, "_blocks", lambda mine, facts, depth: [mine.filter(f"qid % 3 = {k}") for k in range(3)])
+    want = combine(rrf(dense_rank_all(embedded, vectors)), hits, queries, corpus, 4)
+    assert in_order(ft.fused_top(embedded, vectors, hits, queries, corpus, 4)) == in_order(want)
+
+
 @pytest.mark.parametrize("tasks", [5, 10_000])
 def test_edges_are_bounded_and_exact(spark, tasks):
     corpus, vectors, embedded, queries, _ = world(spark, 5)
