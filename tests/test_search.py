@@ -233,17 +233,12 @@ def test_search_in_shuffled_form(spark, store, tiny_broadcast, tiny_windows):
 
 
 SETS = {
-    1: ["Expressing gratitude or praise", "Offering thanks or compliments",
-        "Conveying gratefulness or approval", "Demonstrating approval or gratitude"],
-    2: ["Reports of bombings and other crises", "News about bombings and other emergencies",
-        "Accounts of explosions and related disasters", "Reports concerning explosive attacks and other calamities"],
-    3: ["Will you be able to talk soon?", "Do you have time to chat?", "Can we have a call?", "Can we touch base?"],
-    4: ["Reports of bombings and other crises", "Expressing gratitude or praise",
-        "Will you be able to talk soon?", "Making plans for future improvements"],
-    5: ["Asking for updates on a situation", "Providing someone else’s opinion",
-        "Major developments or crises", "Can we have a call?"],
-    6: ["Regarding Syria or Ukraine", "Expressing gratitude or praise", "Making plans to talk",
-        "Sharing a memo or an article"],
+    1: ["thanks for the kind words", "a note of praise", "words of thanks", "kind praise for the staff"],
+    2: ["crisis in the city", "trouble downtown", "the city in trouble", "talk of a crisis"],
+    3: ["shall we talk", "a talk on Monday", "time for a talk", "talk later"],
+    4: ["crisis in the city", "a note of praise", "shall we talk", "budget of next year"],
+    5: ["what is new", "he thinks otherwise", "large events", "talk later"],
+    6: ["about the harbour", "a note of praise", "when to meet", "an attached paper"],
 }
 
 
@@ -264,7 +259,7 @@ def test_evaluate_query_sets(spark, store, tmp_path):
     assert report.count() == 6 * (4 + 1)
     reports.write_report(report, str(tmp_path / "sets"), mode="overwrite")
     text = "\n".join(r.value for r in spark.read.text(str(tmp_path / "sets")).collect())
-    assert "~~~~~~~~~~~~ QUERY SET #1 ~~~~~~~~~~~~" in text and "Query 4: Demonstrating" in text
+    assert "~~~~~~~~~~~~ QUERY SET #1 ~~~~~~~~~~~~" in text and "Query 4: kind praise" in text
 
 
 def test_sets_without_hits_agree(spark, store):
