@@ -141,6 +141,49 @@ def test_dense_ranking_in_blocks(spark, tiny_broadcast, monkeypatch, depth):
     assert as_dense(dense_rank_all(queries, mails, depth)) == want
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_greatest_score_of_a_query(spark, request, monkeypatch, large):
+    """One row per mail and query leaves a task, not one per variant."""
+    monkeypatch.setattr("mailweave.operators.dense.TILE", 2)
+    if large:
+        request.getfixturevalue("tiny_broadcast")
+    mails, queries, values = vectors(spark)
+    want = {}
+    for (folder, qid, _, j), (_, score) in expected_dense(values).items():
+        want[(folder, qid, j)] = max(score, want.get((folder, qid, j), -9.0))
+    rows = dense_scores(queries, mails, per_query=True)
+    assert rows.count() == len(want)
+    assert {(r.folder, r.qid, r.Id): round(r.score, 9) for r in rows.collect()} == want
+
+
+def test_ranks_of_a_query_need_no_shuffle_of_pairs(spark):
+    """Also with repeated variants and mails, which are rows of the same list."""
+    mails, queries, _ = vectors(spark)
+    mails, queries = mails.unionByName(mails.filter("Id < 5")), queries.unionByName(queries.filter("qid = 1"))
+    fused = rrf(dense_rank_all(queries, mails, per_query=True))
+    plan = fused._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Window" not in plan
+    as_scores = lambda df: {(r.folder, r.qid, r.Id): round(r.score, 12) for r in df.collect()}
+    assert fused.count() == fused.select("folder", "qid", "Id").distinct().count()
+    assert as_scores(fused) == as_scores(rrf(dense_rank_all(queries, mails)))
+
+
+def test_ranks_of_many_mails(spark, tiny_broadcast):
+    mails, queries, _ = vectors(spark)
+    ranked = dense_rank_all(queries, mails, per_query=True)
+    assert "rank" in ranked.columns and ranked.count() == queries.count() * mails.count()
+
+
+def test_leaders_keep_ties_and_drop_what_is_not_finite(spark, monkeypatch):
+    monkeypatch.setattr("mailweave.operators.dense.TILE", 3)
+    rows = [("inbox", j, [float(x)]) for j, x in enumerate([1, 2, 2, 3, 3, 3, "nan", 1, 3, 2, "inf", 3])]
+    mails = spark.createDataFrame(rows[::-1], "folder string, Id bigint, embedding array<float>").coalesce(1)
+    queries = spark.createDataFrame([(0, 0, [1.0]), (1, 0, [-1.0])], "qid bigint, variant_no int, embedding array<float>")
+    got = dense_rank_all(queries, mails, 5).orderBy("qid", "rank").collect()
+    assert [r.Id for r in got if r.qid == 0] == [3, 4, 5, 8, 11]
+    assert [r.Id for r in got if r.qid == 1] == [0, 7, 1, 2, 9]
+
+
 def test_dense_without_queries(spark):
     mails, queries, _ = vectors(spark)
     assert dense_scores(queries.filter("qid < 0"), mails).count() == 0
