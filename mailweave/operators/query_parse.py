@@ -80,11 +80,11 @@ def by_name_word(rows: DataFrame) -> DataFrame:
 def resolve_sender(parsed: DataFrame, aliases: DataFrame) -> DataFrame:
     """Add ``possible_senders``: aliases of the person named, null when unknown.
 
-    ``aliases(Name, aliases)`` holds one row per name; names match exactly.
+    ``aliases(Name, aliases)`` holds one row per name; names match exactly. Its other columns, facts
+    of a list such as its length, come along: they are taken once per name, and a list that is not
+    asked for afterwards is copied to no query.
     """
-    lookup = aliases.select(
-        F.col("Name").alias("sender"), F.col("aliases").alias("possible_senders")
-    )
+    lookup = aliases.withColumnsRenamed({"Name": "sender", "aliases": "possible_senders"})
     return attach(parsed, lookup, ["sender"], ["qid"])
 
 

@@ -127,6 +127,18 @@ def test_resolve_sender(spark, aliases):
     assert ("hope", "bob@corp.com") in words
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_facts_of_a_sender_are_joined_without_the_list(spark, aliases, request, large):
+    if large:
+        request.getfixturevalue("tiny_broadcast")
+    lists = aliases.groupBy("Name").agg(F.sort_array(F.collect_list("Alias")).alias("aliases"))
+    parsed = parse_queries(asked(spark, "from Alice", "from Hope"))
+    resolved = resolve_sender(parsed, lists.withColumn("n", F.size("aliases"))).select("qid", "n")
+    assert {r.qid: r.n for r in resolved.collect()} == {0: 2, 1: None}
+    plan = resolved._jdf.queryExecution().optimizedPlan()
+    assert "possible_senders" not in plan.toString()
+
+
 def test_boosts_only_add_to_hits(spark, store, aliases):
     parsed = parse_queries(asked(spark, "praise from Alice in December 2012"), as_of="2012-06-15")
     plain = {r.Id: r.score for r in keyword_search(parsed, store.index, aliases, boosts=False).collect()}
