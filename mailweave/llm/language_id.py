@@ -12,10 +12,9 @@ of the texts are joined to them. The probabilities are the same either way; no g
 
 The language of a text is the one with the lowest cross-entropy per character over the whole
 text. A text is rejected when its cross-entropy lies above what training texts of that language
-and length show: the limit per language is the 99.9 % quantile of the length-scaled excess of a
-bounded sample of its training texts (about ``CALIBRATION`` of each language, all where there are
-fewer), widened by half. So many texts of one language do not thin out the sample of another. A
-language with fewer than ``FEWEST`` texts in it takes the quantile over the texts of all languages,
+and length show: the limit per language is the 99.9 % quantile of the length-scaled excess of all
+its training texts, widened by half. Medians and quantiles are exact, from distributed ranks. A
+language with fewer than ``FEWEST`` texts takes the quantile over the texts of all languages,
 and the greater of its own median and that of all. Rejection does not alter the predicted language.
 
 Characters are lower-cased; runs of anything but letters are one gap.
@@ -40,11 +39,13 @@ from pyspark.sql import types as T
 
 from mailweave.llm.common import fresh, held_out, table
 from mailweave.operators.joins import attach
+from mailweave.operators.ranking import rank_within
 from mailweave.session import stored
 
 MODEL_BYTES = 64 << 20
-CALIBRATION = 6_000  # texts of each language
+TOP = 0.999
 FEWEST = 1_000  # a 99.9 % quantile of fewer is their maximum
+SCATTER = 400  # grams beyond which a text scatters no less
 HELD_CHARS = 1 << 19
 GAP = 32
 UNKNOWN = "und"
@@ -201,7 +202,7 @@ class Limits:
 
     def scaled_excess(self, entropy: np.ndarray, sizes: np.ndarray, lang: np.ndarray) -> np.ndarray:
         """Short texts scatter more, by the root of their length up to a few hundred grams."""
-        return (entropy - self.mean[lang]) * np.sqrt(np.minimum(sizes, 400))
+        return (entropy - self.mean[lang]) * np.sqrt(np.minimum(sizes, SCATTER))
 
     def judge(self, letters: np.ndarray, h: np.ndarray | None, sizes: np.ndarray | None) -> dict[str, np.ndarray]:
         """The output columns of texts, which have letters or not, from their entropies and sizes."""
@@ -355,7 +356,7 @@ def _last(gram: Column, length: int) -> Column:
 
 
 def fit(training: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", most: int = MODEL_BYTES) -> Model | Tables:
-    """Model from all rows of ``training``, with limits from a bounded sample of each language."""
+    """Model and limits from all rows of ``training``."""
     counted = stored(count_grams(training, text, lang), "grams")
     langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
     facts = counted.agg(F.count(F.lit(1)), F.count_distinct("gram")).first()
@@ -365,25 +366,36 @@ def fit(training: DataFrame, text: str = "text", lang: str = "lang", key: str =
     return model
 
 
-def calibrate(model: Model | Tables, training: DataFrame, text: str, lang: str, key: str, most: int = CALIBRATION) -> None:
-    """Limits of rejection from about ``most`` training texts of each language, chosen by a hash."""
+def calibrate(model: Model | Tables, training: DataFrame, text: str, lang: str, key: str, most: int | None = None) -> None:
+    """Limits of rejection from all training texts; given ``most``, from about that many of each
+    language, chosen by a hash."""
     rows = training.filter(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
     rows = rows.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
-    totals = rows.groupBy("lang").count().collect()
-    pairs = [F.lit(v) for r in totals for v in (r["lang"], min(1.0, most / r["count"]))]
-    if not pairs:
+    if not model.langs:
         return
-    # The upper 53 bits of the hash as a number in [0, 1); the text counts where ids are null or repeated.
-    drawn = F.shiftrightunsigned(F.xxhash64("key", "text", F.lit("calibration")), 11) / F.lit(float(1 << 53))
-    chosen = drawn < F.create_map(*pairs)[F.col("lang")]
+    if most is not None:
+        totals = rows.groupBy("lang").count().collect()
+        pairs = [F.lit(v) for r in totals for v in (r["lang"], min(1.0, most / r["count"]))]
+        # The upper 53 bits of the hash as a number in [0, 1); the text counts where ids are null or repeated.
+        drawn = F.shiftrightunsigned(F.xxhash64("key", "text", F.lit("calibration")), 11) / F.lit(float(1 << 53))
+        rows = rows.filter(drawn < F.create_map(*pairs)[F.col("lang")])
+    seen = measured(model, rows)
+    if most is None:
+        set_all_limits(model, seen)
+    else:
+        set_limits(model, seen.toPandas())
+
+
+def measured(model: Model | Tables, rows: DataFrame) -> DataFrame:
+    """``(lang, h, n)`` of the texts ``rows(text, lang)``: the place of their language, bits per gram
+    under it, and the number of grams, where there are two at least."""
     if isinstance(model, Tables):
-        sampled = stored(rows.filter(chosen).withColumn("row", F.monotonically_increasing_id()), "calibration")
+        numbered = stored(rows.withColumn("row", F.monotonically_increasing_id()), "calibration")
         place = F.create_map(*[F.lit(x) for k, name in enumerate(model.langs) for x in (name, k)])
-        own = sampled.select("row", F.element_at(place, F.col("lang")).alias("lang"))
-        seen = model.entropies(sampled).join(own, "row").filter("size > 1")
-        set_limits(model, seen.select("lang", F.get("h", F.col("lang")).alias("h"), F.col("size").alias("n")).toPandas())
-        return
-    shared = training.sparkSession.sparkContext.broadcast(model)
+        own = numbered.select("row", F.element_at(place, F.col("lang")).alias("lang"))
+        found = model.entropies(numbered).join(own, "row").filter("size > 1")
+        return stored(found.select("lang", F.get("h", F.col("lang")).alias("h"), F.col("size").alias("n")), "entropies")
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
@@ -395,9 +407,47 @@ def calibrate(model: Model | Tables, training: DataFrame, text: str, lang: str,
                 fine = (own >= 0) & (sizes > 1)
                 yield pd.DataFrame({"lang": own[fine], "h": h[np.arange(len(own)), own][fine], "n": sizes[fine]})
 
-    seen = rows.filter(chosen).select("text", "lang").mapInPandas(measure, "lang int, h double, n bigint").toPandas()
+    found = stored(rows.select("text", "lang").mapInPandas(measure, "lang int, h double, n bigint"), "entropies")
     shared.unpersist()
-    set_limits(model, seen)
+    return found
+
+
+POOLED = -1  # all languages together, beside their places
+
+
+def quantiles(values: DataFrame, share: float) -> dict[int, tuple[float, int]]:
+    """The exact quantile of ``values(lang, x)`` and their number, by language and of all together:
+    between the two nearest values in proportion. Values are ranked by Spark; two a language reach the driver."""
+    both = values.withColumn("lang", F.explode(F.array(F.col("lang"), F.lit(POOLED))))
+    totals = {r["lang"]: r["n"] for r in both.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not totals:
+        return {}
+    wanted = {lang: (share * (n - 1), n) for lang, n in totals.items()}
+    places = F.create_map(*[F.lit(x) for lang, (at, _) in wanted.items() for x in (lang, int(at))])
+    ranked = rank_within(both, ["lang"], [F.col("x").asc()], "place", totals[POOLED])
+    first = F.element_at(places, F.col("lang"))
+    near = ranked.filter((F.col("place") == first) | (F.col("place") == first + 1))
+    found = {(r["lang"], r["place"]): r["x"] for r in near.collect()}
+    out = {}
+    for lang, (at, n) in wanted.items():
+        low = found[lang, int(at)]
+        out[lang] = (low + (at - int(at)) * (found.get((lang, int(at) + 1), low) - low), n)
+    return out
+
+
+def set_all_limits(model: Limits, seen: DataFrame) -> None:
+    """Limits as of :func:`set_limits` from a table ``seen(lang, h, n)`` of any size."""
+    medians = quantiles(seen.select("lang", F.col("h").alias("x")), 0.5)
+    if not medians:
+        return
+    for lang, (median, _) in medians.items():
+        if lang != POOLED:
+            model.mean[lang] = median
+    means = F.create_map(*[F.lit(x) for k, mean in enumerate(model.mean.tolist()) for x in (k, mean)])
+    scale = F.sqrt(F.least(F.col("n"), F.lit(SCATTER)).cast("double"))
+    excess = seen.select("lang", ((F.col("h") - F.element_at(means, F.col("lang"))) * scale).alias("x"))
+    tops = quantiles(excess, TOP)
+    _take_limits(model, medians[POOLED][0], tops[POOLED][0], tops)
 
 
 def set_limits(model: Limits, seen: pd.DataFrame) -> None:
@@ -408,14 +458,18 @@ def set_limits(model: Limits, seen: pd.DataFrame) -> None:
     for k in np.unique(lang):
         model.mean[k] = np.median(h[lang == k])
     excess = model.scaled_excess(h, n, lang)
-    widened = lambda of: 1.5 * max(np.quantile(of, 0.999), 1.0)
-    pooled_mean, pooled = np.median(h), widened(excess)
+    tops = {k: (np.quantile(excess[lang == k], TOP), (lang == k).sum()) for k in np.unique(lang)}
+    _take_limits(model, np.median(h), np.quantile(excess, TOP), tops)
+
+
+def _take_limits(model: Limits, pooled_mean: float, pooled: float, tops: dict[int, tuple[float, int]]) -> None:
+    widened = lambda top: 1.5 * max(top, 1.0)
     for k in range(len(model.langs)):
-        own = excess[lang == k]
-        if len(own) >= FEWEST:
-            model.limit[k] = widened(own)
+        top, texts = tops.get(k, (pooled, 0))
+        if texts >= FEWEST:
+            model.limit[k] = widened(top)
         else:
-            model.mean[k], model.limit[k] = max(model.mean[k], pooled_mean), pooled
+            model.mean[k], model.limit[k] = max(model.mean[k], pooled_mean), widened(pooled)
 
 
 def predict_language(df: DataFrame, model: Model | Tables, text: str = "text") -> DataFrame:

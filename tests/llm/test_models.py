@@ -74,6 +74,37 @@ def test_calibration_of_a_rare_language(spark, docs, monkeypatch):
     assert sizes[0][model.langs.index("de")] == 30 and 25 <= sizes[0][model.langs.index("en")] <= 80
 
 
+def test_limits_come_from_all_texts(spark, monkeypatch):
+    """More texts than any sample took; ranked in one window and by ranges."""
+    monkeypatch.setattr(language_id, "FEWEST", 20)
+    rng = np.random.default_rng(7)
+    n = rng.integers(2, 900, 9000)
+    seen = pd.DataFrame({"lang": [0] * 8000 + [2] * 990 + [1] * 10, "h": rng.normal(3, 0.4, 9000), "n": n})
+    empty = pd.DataFrame({"lang": ["a", "b", "c", "d"], "gram": [1, 2, 3, 4], "n": 1})
+    want = language_id.Model(empty)
+    language_id.set_limits(want, seen)
+    table = spark.createDataFrame(seen).withColumn("lang", F.col("lang").cast("int"))
+    for rows in ("1000000", "0"):
+        spark.conf.set("spark.mailweave.windowRows", rows)
+        try:
+            model = language_id.Model(empty)
+            language_id.set_all_limits(model, table)
+        finally:
+            spark.conf.unset("spark.mailweave.windowRows")
+        assert model.mean == pytest.approx(want.mean) and model.limit == pytest.approx(want.limit)
+
+
+def test_every_training_text_is_measured(spark, docs, monkeypatch):
+    sizes = []
+    put = language_id.set_all_limits
+    monkeypatch.setattr(language_id, "set_all_limits", lambda m, seen: (sizes.append(seen.count()), put(m, seen)))
+    training = language_id.training_rows(docs)
+    known = training.filter("lang IS NOT NULL AND text IS NOT NULL")
+    many = known.crossJoin(spark.range(2).select("id")).select((F.col("doc_id") + F.col("id") * 10**7).alias("doc_id"), "text", "lang")
+    language_id.fit(many)
+    assert sizes == [sum(language_id.grams([r.text])[1][0] > 1 for r in many.collect())]
+
+
 def test_limits_of_a_language_with_few_texts():
     rng = np.random.default_rng(5)
     model = language_id.Model(pd.DataFrame({"lang": ["a", "b", "c"], "gram": [1, 2, 3], "n": [1, 1, 1]}))
