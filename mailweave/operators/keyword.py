@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailweave.functions.text import tokens
-from mailweave.operators.joins import ROW_BYTES, attach, measured_bytes
+from mailweave.operators.joins import ROW_BYTES, attach, broadcast_limit, measured_bytes
 from mailweave.operators.mailbox import FOLDERS
 from mailweave.operators.query_parse import by_name_word
 from mailweave.operators.ranking import by_score, top_n
@@ -37,8 +37,8 @@ def contributions(
 
     The terms are weighted by the dictionary first, where each becomes at most one row per
     folder. The postings are then read once and, with few terms, not shuffled. With
-    ``allowed(folder, qid, Id)`` only these mails of a query are matched: their ids are a filter of
-    the postings, and the statistics stay those of all mails.
+    ``allowed(folder, qid, Id)``, each row once, only these mails of a query are matched: they are
+    joined to the postings before any word is, and the statistics stay those of all mails.
     """
     wanted = stored(terms, "terms")
     size = measured_bytes(wanted)
@@ -56,15 +56,32 @@ def contributions(
     gain = F.col("weight") * idf * (k1 + 1)
     weights = known.select("folder", "field", "term", "qid", gain.alias("gain"), "avg_len")
     postings = _of_terms(index.postings, wanted, size)
+    keys = ["folder", "field", "term"]
+    few = None if allowed is None else measured_bytes(allowed.select("folder", "qid", "Id"))
+    if few is not None and few > broadcast_limit(allowed):
+        postings, keys, allowed = _of_mails(postings, allowed.select("folder", "qid", "Id"), few), [*keys, "qid"], None
     if allowed is not None:
-        postings = attach(postings, allowed.select("folder", "Id").distinct(), ["folder", "Id"], ["term"], "left_semi")
-    hits = attach(postings, weights, ["folder", "field", "term"], ["Id"], "inner", size * folders)
+        postings = attach(postings, allowed.select("folder", "Id").distinct(), ["folder", "Id"], ["term"], "left_semi", few)
+    hits = attach(postings, weights, keys, ["Id"], "inner", size * folders)
     if allowed is not None:
-        hits = attach(hits, allowed.select("folder", "qid", "Id"), ["folder", "qid", "Id"], ["term"], "left_semi")
+        hits = attach(hits, allowed.select("folder", "qid", "Id"), ["folder", "qid", "Id"], ["term"], "left_semi", few)
     saturation = F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len"))
     return hits.withColumn("part", F.col("gain") * F.col("tf") / saturation)
 
 
+def _of_mails(postings: DataFrame, allowed: DataFrame, size: int) -> DataFrame:
+    """Postings of the mails ``allowed(folder, qid, Id)``, many of them, once for each of their queries.
+
+    They are joined by the id alone, by which the stored postings are bucketed: these stay where
+    they are. The folder is compared by order, as an equal key would make Spark shuffle them by both.
+    """
+    pairs = allowed.withColumnsRenamed({"folder": "_folder", "Id": "_id"})
+    if size / int(allowed.sparkSession.conf.get("spark.sql.shuffle.partitions")) <= broadcast_limit(allowed):
+        pairs = pairs.hint("shuffle_hash")
+    same = (F.col("folder") <= F.col("_folder")) & (F.col("folder") >= F.col("_folder"))
+    return postings.join(pairs, (F.col("Id") == F.col("_id")) & same).drop("_folder", "_id")
+
+
 def _of_terms(postings: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """Postings of few words are read through literal filters, which skip the pages of other words:
     within a file, postings are sorted by field and term."""
@@ -107,7 +124,7 @@ def match_best_field(
 
     ``sender_terms(qid, field, term, weight)`` adds a boosted sender score, which never
     makes a hit by itself. Both come from one join and one aggregation of the postings.
-    ``allowed(folder, qid, Id)`` names the only mails that may be hits.
+    ``allowed(folder, qid, Id)`` names the only mails that may be hits, each once.
     """
     terms = query_terms(queries, fields, text_col)
     if sender_terms is not None:

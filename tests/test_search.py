@@ -327,6 +327,28 @@ def test_exact_values_of_a_mail(spark, corpus, tmp_path):
     assert load_index(spark, str(tmp_path / "none")).exact.count() == 0
 
 
+def test_many_allowed_mails_do_not_shuffle_postings(spark, store, aliases, monkeypatch):
+    """Also an id that is in both folders, of which a query may find one."""
+    from mailweave.operators import keyword
+
+    parsed = parse_queries(asked(spark, "praise thanks talk", "praise talk crisis"))
+    allowed = spark.createDataFrame([("inbox", 0, 1), ("inbox", 0, 3), ("sent", 0, 1), ("sent", 1, 5)], "folder string, qid long, Id long")
+    few = keyword.match_best_field(parsed, store.index, text_col="relevant_text", allowed=allowed)
+    want = {(r.folder, r.qid, r.Id): round(r.best, 9) for r in few.collect()}
+    monkeypatch.setattr(keyword, "broadcast_limit", lambda df: 100)
+    many = keyword.match_best_field(parsed, store.index, text_col="relevant_text", allowed=allowed)
+    assert want and {(r.folder, r.qid, r.Id): round(r.best, 9) for r in many.collect()} == want
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = keyword.match_best_field(parsed, store.index, text_col="relevant_text", allowed=allowed)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    # Only the pairs, by id.
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "_id" in exchanges[0], plan
+
+
 def test_filter_mode_scores_only_what_may_be_found(spark, store, aliases):
     parsed = parse_queries(asked(spark, "praise from Alice in December 2012"), as_of="2012-06-15")
     found = keyword_search(parsed, store.index, aliases, mode="filter")
