@@ -25,7 +25,7 @@ EXACT = {"recipients": "ExtractedTo", "cc": "ExtractedCc"}
 EXACT_SCHEMA = "folder string, field string, value string, Id bigint, date_sent timestamp_ntz"
 EXACT_PER_FILE = 2_000_000
 
-MAILS_PER_SHARD = 100_000
+MAILS_PER_SHARD = 2_000  # a search holds the sums of a bucket, one per query and mail, in one task
 MAX_SHARDS = 50_000  # Spark allows 100,000 buckets; beyond this many, buckets grow instead
 
 

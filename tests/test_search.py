@@ -9,7 +9,7 @@ from mailweave.operators.ranking import hit_cap
 from mailweave.plans.evaluation import evaluate
 from mailweave.plans.search import fetch, open_store, search, search_scores, semantic_search
 from mailweave.sources import reports
-from mailweave.sources.postings import build_postings, stored_index
+from mailweave.sources.postings import build_postings, load_index, stored_index, write_index
 
 MAILS = [
     ("inbox", 1, "gratitude", "thanks for the praise thanks", "alice@corp.com", "2012-12-05"),
@@ -426,3 +426,14 @@ def test_postings_of_few_words_are_read_by_literal_filters(spark, store, monkeyp
     monkeypatch.setattr(keyword, "LITERAL_TERMS", 2)
     assert "In(term" not in bm25(queries, store.index)._jdf.queryExecution().executedPlan().toString()
     assert found() == few and few
+
+
+def test_buckets_of_postings_hold_few_mails(spark, tmp_path):
+    mails = spark.range(0, 20_001, 1, 4).select(
+        F.lit("inbox").alias("folder"), F.col("id").alias("Id"), F.lit("a").alias("ExtractedSubject"),
+        F.lit("b").alias("ExtractedBodyText"), F.lit(None).cast("string").alias("ExtractedFrom"), F.lit(None).cast("timestamp_ntz").alias("date_sent"),
+    )
+    write_index(mails, str(tmp_path))
+    found = load_index(spark, str(tmp_path)).postings
+    sizes = found.filter("field = 'body'").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in sizes) == 20_001 and max(r["count"] for r in sizes) <= 2_500
