@@ -36,7 +36,8 @@ def contributions(
     """Posting rows that match ``terms(qid, field, term, weight)`` with their share ``part``.
 
     The terms are weighted by the dictionary first, where each becomes at most one row per
-    folder. The postings are then read once and, with few terms, not shuffled. With
+    folder. The postings are then read once and, where few of the terms are in the dictionary, not
+    shuffled, however many are asked for. With
     ``allowed(folder, qid, Id)``, each row once, only these mails of a query are matched: they are
     joined to the postings before any word is, and the statistics stay those of all mails.
     """
@@ -54,7 +55,7 @@ def contributions(
     )
     idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     gain = F.col("weight") * idf * (k1 + 1)
-    weights = known.select("folder", "field", "term", "qid", gain.alias("gain"), "avg_len")
+    weights = stored(known.select("folder", "field", "term", "qid", gain.alias("gain"), "avg_len"), "weights")
     postings = _of_terms(index.postings, wanted, size)
     keys = ["folder", "field", "term"]
     few = None if allowed is None else measured_bytes(allowed.select("folder", "qid", "Id"))
@@ -62,7 +63,7 @@ def contributions(
         postings, keys, allowed = _of_mails(postings, allowed.select("folder", "qid", "Id"), few), [*keys, "qid"], None
     if allowed is not None:
         postings = attach(postings, allowed.select("folder", "Id").distinct(), ["folder", "Id"], ["term"], "left_semi", few)
-    hits = attach(postings, weights, keys, ["Id"], "inner", size * folders)
+    hits = attach(postings, weights, keys, ["Id"], "inner")
     if allowed is not None:
         hits = attach(hits, allowed.select("folder", "qid", "Id"), ["folder", "qid", "Id"], ["term"], "left_semi", few)
     saturation = F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len"))

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from mailweave.operators.keyword import bm25, keyword_search
+from mailweave.operators.keyword import bm25, keyword_search, match_best_field, sender_terms
 from mailweave.operators.query_parse import by_name_word, expand_queries, parse_queries, resolve_sender
 from mailweave.operators.ranking import hit_cap
 from mailweave.plans.evaluation import evaluate
@@ -437,3 +437,18 @@ def test_buckets_of_postings_hold_few_mails(spark, tmp_path):
     found = load_index(spark, str(tmp_path)).postings
     sizes = found.filter("field = 'body'").groupBy(F.input_file_name()).count().collect()
     assert sum(r["count"] for r in sizes) == 20_001 and max(r["count"] for r in sizes) <= 2_500
+
+
+def test_terms_without_postings_do_not_shuffle_them(spark, store):
+    parsed = parse_queries(asked(spark, "talk from Alice"))
+    unknown = spark.range(3_000).select(F.lit("Alice").alias("Name"), F.concat(F.lit("x"), "id").alias("Alias"))
+    known = spark.createDataFrame([("Alice", "alice@corp.com")], "Name string, Alias string")
+    few = sender_terms(parsed, known)
+    want = match_best_field(parsed, store.index, sender_terms=few, text_col="relevant_text").collect()
+    spark.conf.set("spark.mailweave.broadcastBytes", "100000")
+    try:
+        hits = match_best_field(parsed, store.index, sender_terms=sender_terms(parsed, known.unionByName(unknown)), text_col="relevant_text")
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(folder" not in plan and sorted(hits.collect()) == sorted(want)
+    finally:
+        spark.conf.unset("spark.mailweave.broadcastBytes")
