@@ -9,7 +9,7 @@ from mailweave.functions.text import tokens
 from mailweave.operators.joins import ROW_BYTES, attach, broadcast_limit, measured_bytes
 from mailweave.operators.mailbox import FOLDERS
 from mailweave.operators.query_parse import by_name_word
-from mailweave.operators.ranking import by_score, top_n
+from mailweave.operators.ranking import by_score, first_n
 from mailweave.session import stored
 from mailweave.sources.postings import FIELDS, Index, exact_values
 
@@ -194,7 +194,7 @@ def keyword_search(
             score = F.col("best") + F.col("sender") + F.when(_inside(), DATE_BOOST).otherwise(0.0)
         scored = hits.select("folder", "qid", "Id", score.alias("score"))
     if max_hits is not None:
-        scored = top_n(scored, ["folder", "qid"], max_hits, by_score()).drop("rank")
+        scored = first_n(scored, ["folder", "qid"], max_hits, by_score())
     return scored
 
 

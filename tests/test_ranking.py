@@ -8,7 +8,7 @@ from mailweave.operators import joins, ranking
 from mailweave.operators.dense import dense_rank_all, dense_scores
 from mailweave.operators.fusion import combine, min_max, rrf
 from mailweave.operators.joins import attach, salted_join
-from mailweave.operators.ranking import by_score, number_docs, rank_all, rank_within, tie_key, top_n
+from mailweave.operators.ranking import by_score, first_n, number_docs, rank_all, rank_within, tie_key, top_n
 
 
 def scores(spark, rows):
@@ -251,3 +251,16 @@ def test_combine_hits_only(spark):
     kw = scores(spark, [("inbox", 1, 3, 2.0)])
     assert [r.Id for r in combine(None, kw, queries, corpus, 3, hits_only=True).collect()] == [3]
     assert [r.Id for r in combine(None, kw, queries, corpus, 3).orderBy("rank").collect()] == [3, 0, 1]
+
+
+def test_rows_of_groups_within_the_cap_are_not_ranked(spark, monkeypatch):
+    df = scores(spark, [("inbox", q, i, float(i % 7)) for q in (1, None) for i in range(5)] + [("sent", 1, 1, 1.0)])
+    ranked = []
+    put = ranking.rank_within
+    monkeypatch.setattr(ranking, "GROUP_LIMIT", 0)
+    monkeypatch.setattr(ranking, "rank_within", lambda df, *args: ranked.append(df.count()) or put(df, *args))
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    assert order(first_n(df, ["folder", "qid"], 5, by_score()).collect()) == order(df.collect()) and ranked == []
+    got = first_n(df, ["folder", "qid"], 3, by_score()).collect()
+    want = [("inbox", q, i, float(i)) for q in (1, None) for i in (2, 3, 4)] + [("sent", 1, 1, 1.0)]
+    assert order(got) == order(want) and ranked == [10]
