@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mailweave.operators import joins, ranking
+from mailweave.operators import fusion, joins, ranking
 from mailweave.operators.dense import dense_rank_all, dense_scores
 from mailweave.operators.fusion import combine, min_max, rrf
 from mailweave.operators.joins import attach, salted_join
@@ -264,3 +264,27 @@ def test_rows_of_groups_within_the_cap_are_not_ranked(spark, monkeypatch):
     got = first_n(df, ["folder", "qid"], 3, by_score()).collect()
     want = [("inbox", q, i, float(i)) for q in (1, None) for i in (2, 3, 4)] + [("sent", 1, 1, 1.0)]
     assert order(got) == order(want) and ranked == [10]
+
+
+def test_unscored_mails_are_found_without_shuffling_pairs(spark, monkeypatch):
+    monkeypatch.setattr(fusion, "BITS", 2)
+    ids = spark.createDataFrame([("inbox", 1), ("inbox", 2), ("inbox", 2), ("inbox", None), ("sent", 1)], "folder string, Id bigint")
+    asked = [("inbox", q, 0.5 * q if q else 0.0) for q in (1, 2, 3, 5, None)] + [("sent", 1, 0.25)]
+    stats = spark.createDataFrame(asked, "folder string, qid bigint, rest double")
+    seen = [("inbox", 1, 1), ("inbox", 2, 1), ("inbox", 3, 1), ("inbox", 5, 2), ("inbox", 5, None), ("inbox", None, 2), ("sent", 1, 1)]
+    hits = spark.createDataFrame(seen, "folder string, qid bigint, Id bigint")
+    size = 100 * fusion.ROW_BYTES
+    got = fusion._all_unscored(stats, ids, hits, size)
+    order = lambda df: sorted(map(tuple, df.select("folder", "qid", "Id", "score").collect()), key=str)
+    assert order(got) == order(fusion._rest(stats, ids, hits, size)) and got.count() > 10
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(folder" in plan and "qid" not in "".join(x for x in plan.split("\n") if "hashpartitioning(" in x)
+
+
+def test_windows_are_as_many_as_all_rows_need(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "WINDOW_ROWS", 9)
+    monkeypatch.setattr(ranking, "_window_rows", lambda df: 300)
+    rows = random_scores()
+    ranked = rank_within(scores(spark, rows), ["folder", "qid"], by_score(), group_rows=300, rows=300)
+    assert as_ranks(ranked) == expected_ranks(rows)
+    assert ", 34), REPARTITION_BY_NUM" in ranked._jdf.queryExecution().executedPlan().toString()
