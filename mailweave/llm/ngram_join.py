@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailweave.llm.common import fresh, table
-from mailweave.llm.components import components
+from mailweave.llm.components import components, root
 from mailweave.operators.joins import attach
 from mailweave.session import stored
 
@@ -294,9 +294,10 @@ def postings(sets: DataFrame, buckets: int) -> DataFrame:
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose whole sets are similar enough."""
     side = lambda name: sets.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("grams").alias(f"g_{name}"))
+    pairs = stored(pairs.select("a", "b"), "pairs")
     ends = stored(pairs.select("a").distinct(), "pair_ends")
     leaders = stored(attach(side("a"), ends, ["a"], ["a"], how="left_semi", unique=True), "pair_sets")
-    with_b = attach(side("b"), stored(pairs.select("a", "b"), "pairs"), ["b"], ["b"], how="inner", unique=True)
+    with_b = attach(side("b"), pairs, ["b"], ["b"], how="inner", unique=True)
     both = with_b.join(leaders, "a")
     shared = F.size(F.array_intersect("g_a", "g_b"))
     return both.filter(100 * shared >= 75 * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
@@ -364,12 +365,6 @@ def long_list_links(lists: DataFrame, sizes: DataFrame, sets: DataFrame) -> Data
         ends = np.cumsum(n)
         parent: dict[int, int] = {}
 
-        def root(x: int) -> int:
-            while parent.get(x, x) != x:
-                parent[x] = parent.get(parent[x], parent[x])
-                x = parent[x]
-            return x
-
         a, b = [], []
         for x in range(len(docs)):
             if i != j and chunk[x] != i:
@@ -382,7 +377,7 @@ def long_list_links(lists: DataFrame, sizes: DataFrame, sets: DataFrame) -> Data
             near = (100 * shared >= 75 * (n[x] + n - shared)) & (groups != groups[x])
             near &= (chunk == j) if i != j else (np.arange(len(docs)) > x)
             for y in np.nonzero(near)[0].tolist():
-                p, q = root(int(groups[x])), root(int(groups[y]))
+                p, q = root(parent, int(groups[x])), root(parent, int(groups[y]))
                 if p != q:
                     parent[max(p, q)] = min(p, q)
                     a.append(int(docs[x]))
@@ -439,7 +434,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         thin.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first")), "classes"
     )
     able = stored(may_link(blocks), "may_link")
-    reps = stored(able.join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_semi").distinct(), "may_link")
+    firsts = classes.select(F.col("first").alias("doc_id"))
+    reps = stored(attach(able, firsts, ["doc_id"], ["doc_id"], how="left_semi", unique=True).distinct(), "may_link")
     sets = stored(sets_of(attach(docs, reps, ["doc_id"], ["doc_id"], how="left_semi", unique=True)), "sets")
     lists = stored(postings(sets, buckets), "postings")
     found = links(lists, sets)

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from mailweave.llm import components as component_links
 from mailweave.llm import ngram_join, vector_join
 from mailweave.llm.components import components
 
@@ -165,6 +166,32 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+@pytest.mark.parametrize("most", [1, 7, 60, 1000])
+def test_components_of_links_in_several_tasks(spark, monkeypatch, most):
+    monkeypatch.setattr(component_links, "LINKS_PER_TASK", most)
+    rnd = random.Random(4)
+    pairs = [(k, k + 1) for k in range(100, 160)] + [(rnd.randrange(90), rnd.randrange(90)) for _ in range(60)] + [(200, 300 + k) for k in range(80)]
+    pairs += pairs[:30] + [(b, a) for a, b in pairs[20:50]]
+    links = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(3)
+    pairs = [p for p in pairs if p[0] != p[1]]
+    found = components(links).collect()
+    assert len(found) == len({r.node for r in found})
+    assert {r.node: r.component for r in found} == groups({n for p in pairs for n in p}, pairs)
+
+
+def test_components_of_few_links_take_few_tasks(spark, monkeypatch):
+    """However many partitions a shuffle has, a few links are settled without one."""
+    links = spark.createDataFrame([(k, k + 1) for k in range(50)], "a bigint, b bigint")
+    spark.sparkContext.setJobGroup("few links", "components")
+    try:
+        assert {r.component for r in components(links).collect()} == {0}
+        status = spark.sparkContext.statusTracker()
+        stages = {s for j in status.getJobIdsForGroup("few links") for s in status.getJobInfo(j).stageIds}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(stages) <= 6
+
+
 def vectors(seed=2):
     rng = np.random.default_rng(seed)
     out = []
