@@ -106,18 +106,14 @@ def _postings(corpus: DataFrame, fields: dict[str, str], key: str) -> DataFrame:
 def corpus_stats(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Document frequency per term; mail count and average length per field.
 
-    One aggregation per term feeds both, so postings are shuffled once, pre-aggregated.
+    One posting of each text is its head and knows the text's length, so the fields follow from
+    the heads alone: only the dictionary shuffles terms, and the postings' text is read for it only.
     """
-    terms = postings.groupBy("folder", "field", "term").agg(
-        F.count(F.lit(1)).alias("df"),
-        F.sum("tf").alias("total_tf"),
-        F.count_if("head").alias("heads"),
+    terms = postings.groupBy("folder", "field", "term").agg(F.count(F.lit(1)).alias("df"))
+    fields = postings.filter("head").groupBy("folder", "field").agg(
+        F.count(F.lit(1)).alias("n_docs"), (F.sum("len") / F.count(F.lit(1))).alias("avg_len")
     )
-    fields = terms.groupBy("folder", "field").agg(
-        F.sum("heads").alias("n_docs"),
-        (F.sum("total_tf") / F.sum("heads")).alias("avg_len"),
-    )
-    return terms.select("folder", "field", "term", "df"), fields
+    return terms, fields
 
 
 def build_postings(

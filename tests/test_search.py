@@ -9,7 +9,7 @@ from mailweave.operators.ranking import hit_cap
 from mailweave.plans.evaluation import evaluate
 from mailweave.plans.search import fetch, open_store, search, search_scores, semantic_search
 from mailweave.sources import reports
-from mailweave.sources.postings import build_postings, load_index, stored_index, write_index
+from mailweave.sources.postings import build_postings, corpus_stats, load_index, stored_index, write_index
 
 MAILS = [
     ("inbox", 1, "gratitude", "thanks for the praise thanks", "alice@corp.com", "2012-12-05"),
@@ -452,3 +452,22 @@ def test_terms_without_postings_do_not_shuffle_them(spark, store):
         assert "hashpartitioning(folder" not in plan and sorted(hits.collect()) == sorted(want)
     finally:
         spark.conf.unset("spark.mailweave.broadcastBytes")
+
+
+def test_field_statistics_shuffle_no_terms(spark):
+    """They come from the heads, one row per text, and not from the dictionary."""
+    rows = [
+        ("inbox", "body", "a", 1, 2, 3, True), ("inbox", "body", "b", 1, 1, 3, False), ("inbox", "body", "a", 2, 1, 1, True),
+        ("inbox", "subject", "a", 2, 1, 1, True), ("sent", "body", "c", 3, 5, 5, True), ("sent", "body", "c", 3, 5, 5, True),
+        (None, "body", "d", 4, 1, 2, True), (None, "body", "e", 4, 1, 2, False),
+    ]
+    held = spark.createDataFrame(rows, "folder string, field string, term string, Id bigint, tf int, len int, head boolean")
+    terms, fields = corpus_stats(held)
+    assert sorted(map(tuple, fields.collect()), key=str) == sorted(
+        [("inbox", "body", 2, 2.0), ("inbox", "subject", 1, 1.0), ("sent", "body", 2, 5.0), (None, "body", 1, 2.0)], key=str
+    )
+    assert {tuple(r) for r in terms.collect()} == {
+        ("inbox", "body", "a", 2), ("inbox", "body", "b", 1), ("inbox", "subject", "a", 1), ("sent", "body", "c", 2),
+        (None, "body", "d", 1), (None, "body", "e", 1),
+    }
+    assert fields._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
