@@ -471,3 +471,49 @@ def test_field_statistics_shuffle_no_terms(spark):
         (None, "body", "d", 1), (None, "body", "e", 1),
     }
     assert fields._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+
+
+def test_postings_are_written_from_sorted_runs(spark, tmp_path):
+    """The same rows as counted in place, those of many mails in one run in the order of the files."""
+    from mailweave.sources.postings import FIELDS, _postings, _postings_in_runs
+
+    rows = [
+        ("sent", 1, "b a B", "x  b\ny", "Éa@c.org", None), ("inbox", 2, None, "", "o'neil", "2024-01-02 03:04:05"),
+        ("inbox", 2, None, "b b é z", None, "2024-01-02 03:04:05"), (None, 3, "𝒳 ￮ 1", None, "a", None),
+        ("inbox", None, "a", "a", "a", None), ("sent", 4, "", "...", None, None), ("sent", 1, "b a B", "x  b\ny", "Éa@c.org", None),
+    ]
+    names = ["ExtractedSubject", "ExtractedBodyText", "ExtractedFrom"]
+    mails = spark.createDataFrame(rows, f"folder string, Id bigint, {' string, '.join(names)} string, date_sent string")
+    mails = mails.withColumn("date_sent", F.col("date_sent").cast("timestamp_ntz")).coalesce(1)
+    count = lambda found: sorted(map(tuple, found.collect()), key=str)
+    want = _postings(mails, FIELDS, "Id")
+    one = _postings_in_runs(mails, FIELDS, "Id")
+    assert one.columns == want.columns and [f.dataType for f in one.schema] == [f.dataType for f in want.schema]
+    assert count(one) == count(want) and len(count(want)) > 20
+    keys = [(r.folder or "", r.field, r.term.encode()) for r in one.collect()]
+    assert keys == sorted(keys)
+    assert count(_postings_in_runs(mails, FIELDS, "Id", 3, 2)) == count(want)
+    assert count(_postings_in_runs(mails.withColumn("Id", F.col("Id").cast("string")), FIELDS, "Id", 5)) == count(
+        _postings(mails.withColumn("Id", F.col("Id").cast("string")), FIELDS, "Id")
+    )
+    assert _postings_in_runs(mails.filter("Id < 0"), FIELDS, "Id").count() == 0
+    write_index(mails, str(tmp_path))
+    assert count(load_index(spark, str(tmp_path)).postings) == count(want.drop("head"))
+
+
+def test_words_of_many_mails_are_hashed_once(spark):
+    """The built-in encoder of whole tables: vectors of the expression, without a hash per word."""
+    from mailweave.functions.text import tokens
+    from mailweave.functions.vectors import hash_encode
+    from mailweave.operators import encode
+
+    texts = ["b a B", None, "", "é o'neil 𝒳 ￮", "...", "a " * 3000, "b a B", "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "Id int, text string").coalesce(1)
+    rows = lambda found: sorted(map(tuple, found.collect()))
+    for dim in (64, 7, 1):
+        want = rows(df.select("Id", hash_encode(F.col("text"), dim).alias("embedding")))
+        assert rows(encode.embed(df, "text", dim=dim)) == want
+        words = df.select("Id", tokens(F.col("text")).alias("_words"))
+        assert rows(words.mapInArrow(encode._hashed(["Id"], dim, 16, 4), "Id int, embedding array<float>")) == want
+    plan = encode.embed(df, "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "MapInArrow" in plan
