@@ -55,6 +55,8 @@ LEAF = 256
 SAMPLE_BYTES = 32 << 20  # of 64-bit vectors, over all lengths, that place the cuts
 SAMPLE_PER_CELL = 16
 PACK = 32_768  # vectors whose visits are packed together
+REACH = 1 << 21  # vectors by cells of a block that are looked at together
+SENT_BYTES = 16 << 20  # of a batch of visits
 STEPS = 32_767  # of a component
 FUZZ = 1e-5  # beyond the rounding of 32-bit products
 
@@ -130,6 +132,11 @@ def grow(x: np.ndarray, cuts: int) -> tuple | None:
     return dim, cut, grow(x[low], cuts - 1), grow(x[~low], cuts - 1)
 
 
+def cells(tree: tuple | None) -> int:
+    """Number of cells of a tree."""
+    return 1 if tree is None else cells(tree[2]) + cells(tree[3])
+
+
 def visit(tree: tuple | None, x: np.ndarray, budget: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows, cells, and whether the row lives there: its own cell, and those of a higher number
     that its ball reaches. Distances to a cell are taken per dimension."""
@@ -309,7 +316,13 @@ VISITS = "d int, block int, cell bigint, i int, j int, home boolean, records bin
 
 
 def visits(batches: Iterator[pa.RecordBatch], trees: dict, parts: dict | None, cosine: float) -> Iterator[pa.RecordBatch]:
-    """Where the vectors go. Without ``parts`` only numbers: ``(d, block, cell, homes, visitors)``."""
+    """Where the vectors go. Without ``parts`` only numbers: ``(d, block, cell, homes, visitors)``.
+
+    Visits grow with the cells, so they leave in batches of about ``SENT_BYTES``, and no more than
+    ``REACH`` pairs of a vector and a cell are looked at together.
+    """
+    names = ["d", "block", "cell", "homes", "visitors"] if parts is None else ["d", "block", "cell", "i", "j", "home", "records"]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), *([pa.int64()] * 2 if parts is None else [pa.int32(), pa.int32(), pa.bool_(), pa.binary()])]
     for packed in _packs(batches):
         lengths = np.array([len(u) // 8 for u in packed.column("unit").to_pylist()])
         for d in np.unique(lengths).tolist():
@@ -317,27 +330,38 @@ def visits(batches: Iterator[pa.RecordBatch], trees: dict, parts: dict | None, c
             rows = np.empty(own.num_rows, dtype=record(d))
             rows["node"], rows["size"] = own.column("node").to_numpy(), own.column("size").to_numpy()
             rows["q"] = in_steps(_units(own.column("unit"), d))
-            x, share = rows["q"].astype(np.float64) / STEPS, budgets(d, cosine) / STEPS**2
             out: list[tuple] = []
-            for block, s in enumerate(block_starts(d)):
-                tree = trees[d][block] if d in trees else None
-                at, cell, lives = visit(tree, x[:, s : s + BLOCK], share[block])
-                order = np.argsort(cell, kind="stable")
-                at, cell, lives = at[order], cell[order], lives[order]
-                bounds = np.flatnonzero(np.diff(cell, prepend=-1, append=-1))
-                for start, end in zip(bounds, bounds[1:]):
-                    c = int(cell[start])
-                    homes, others = at[start:end][lives[start:end]], at[start:end][~lives[start:end]]
-                    if parts is None:
-                        out.append((d, block, c, len(homes), len(others)))
-                    else:
-                        k, m = parts.get((d, block, c), (1, 0))
-                        out += _dealt((d, block, c), rows, homes, others, k, m)
+            held = 0
+            for row in _visits_of(d, rows, trees, parts, cosine):
+                out.append(row)
+                held += 64 + (len(row[-1]) if parts is not None else 0)
+                if held >= SENT_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=names)
+                    out, held = [], 0
             if out:
-                names = ["d", "block", "cell", "homes", "visitors"] if parts is None else ["d", "block", "cell", "i", "j", "home", "records"]
-                kinds = [pa.int32(), pa.int32(), pa.int64(), *([pa.int64()] * 2 if parts is None else [pa.int32(), pa.int32(), pa.bool_(), pa.binary()])]
-                columns = [pa.array(c, kind) for c, kind in zip(zip(*out), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=names)
+
+
+def _visits_of(d: int, rows: np.ndarray, trees: dict, parts: dict | None, cosine: float) -> Iterator[tuple]:
+    """The rows of ``visits`` for vectors of one length."""
+    share = budgets(d, cosine) / STEPS**2
+    for block, s in enumerate(block_starts(d)):
+        tree = trees[d][block] if d in trees else None
+        step = max(1, REACH // cells(tree))
+        for first in range(0, len(rows), step):
+            x = rows["q"][first : first + step, s : s + BLOCK].astype(np.float64) / STEPS
+            at, cell, lives = visit(tree, x, share[block])
+            order = np.argsort(cell, kind="stable")
+            at, cell, lives = first + at[order], cell[order], lives[order]
+            bounds = np.flatnonzero(np.diff(cell, prepend=-1, append=-1))
+            for start, end in zip(bounds, bounds[1:]):
+                c = int(cell[start])
+                homes, others = at[start:end][lives[start:end]], at[start:end][~lives[start:end]]
+                if parts is None:
+                    yield d, block, c, len(homes), len(others)
+                else:
+                    k, m = parts.get((d, block, c), (1, 0))
+                    yield from _dealt((d, block, c), rows, homes, others, k, m)
 
 
 def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -294,6 +294,38 @@ def test_cells_and_doubt_lose_no_pair(monkeypatch):
     assert met < 0.75 * 8 * len(units) ** 2 / 2
 
 
+def test_visits_leave_in_small_batches(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    units = rng.normal(size=(3000, 64))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    x = vector_join.in_steps(units).astype(np.float64) / vector_join.STEPS
+    trees = {64: [vector_join.grow(x[:, s : s + 8], 4) for s in vector_join.block_starts(64)]}
+    columns = [pa.array(np.arange(3000)), pa.array(np.ones(3000, np.int64)), pa.array([u.tobytes() for u in units], pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, names=["node", "size", "unit"])
+    assert vector_join.cells(trees[64][0]) == 16
+
+    def sent(parts):
+        met, most = set(), 0
+        for out in vector_join.visits(iter([batch]), trees, parts, 0.9):
+            most = max(most, out.nbytes)
+            for r in out.to_pylist():
+                for node in np.frombuffer(r["records"], vector_join.record(64))["node"].tolist():
+                    met.add((r["block"], r["cell"], r["i"], r["j"], r["home"], node))
+        return met, most
+
+    split = {(64, 0, c): (2, 1) for c in range(16, 32)}
+    whole, most = sent(split)
+    assert most > 1 << 20
+    monkeypatch.setattr(vector_join, "SENT_BYTES", 1 << 17)
+    monkeypatch.setattr(vector_join, "REACH", 1 << 12)
+    parted, most = sent(split)
+    assert parted == whole and most < 1 << 18
+    counts = [sum(r[c] for out in vector_join.visits(iter([batch]), trees, None, 0.9) for r in out.to_pylist()) for c in ("homes", "visitors")]
+    assert counts[0] == 8 * 3000 and counts[1] == len({m for m in whole if not m[4] and m[0] > 0}) + len({(m[0], m[1], m[5]) for m in whole if not m[4] and m[0] == 0 and m[3] == 2})
+
+
 def test_local_cuts_compare_fewer_pairs(monkeypatch):
     """Inside a cell the boxes leave out most comparisons, and no pair within reach."""
     rng = np.random.default_rng(8)
