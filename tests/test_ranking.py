@@ -168,6 +168,29 @@ def test_ranks_of_a_query_need_no_shuffle_of_pairs(spark):
     assert as_scores(fused) == as_scores(rrf(dense_rank_all(queries, mails)))
 
 
+@pytest.mark.parametrize("most", [None, 130])
+def test_fused_rows_of_a_mail_come_together(spark, monkeypatch, most):
+    """Its id is then written once for many queries; vectors ship in the precision they are given in."""
+    from mailweave.operators import dense
+
+    mails, queries, _ = vectors(spark)
+    if most:
+        monkeypatch.setattr(dense, "RANKS_PER_QUERY", most + 60)  # a query of three variants at a time
+    spark.conf.set("spark.mailweave.broadcastBytes", str(60 * (8 * 4 + 32)))
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        fused = rrf(dense_rank_all(queries, mails, per_query=True))
+        assert not fused._jdf.queryExecution().optimizedPlan().toString().count("Aggregate")
+        rows = fused.collect()
+    finally:
+        spark.conf.unset("spark.mailweave.broadcastBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    runs = 1 + sum((a.folder, a.Id) != (b.folder, b.Id) for a, b in zip(rows, rows[1:]))
+    assert len(rows) == 180 and runs == (180 if most else 60)
+    want = {(r.folder, r.qid, r.Id): round(r.score, 12) for r in rrf(dense_rank_all(queries, mails)).collect()}
+    assert {(r.folder, r.qid, r.Id): round(r.score, 12) for r in rows} == want
+
+
 def test_ranks_of_many_mails(spark, tiny_broadcast):
     mails, queries, _ = vectors(spark)
     ranked = dense_rank_all(queries, mails, per_query=True)
