@@ -197,6 +197,33 @@ def test_ranks_of_many_mails(spark, tiny_broadcast):
     assert "rank" in ranked.columns and ranked.count() == queries.count() * mails.count()
 
 
+@pytest.mark.parametrize("pairs", [1 << 20, 30])
+def test_scores_of_a_query_are_ranked_from_packs(spark, monkeypatch, pairs):
+    """More mails than can be shipped: no row for each score. Also with repeated variants and mails."""
+    monkeypatch.setattr("mailweave.operators.dense.PAIRS_PER_BATCH", pairs)
+    mails, queries, _ = vectors(spark)
+    mails, queries = mails.unionByName(mails.filter("Id < 5")), queries.unionByName(queries.filter("qid = 1"))
+    spark.conf.set("spark.mailweave.broadcastBytes", "2500")
+    try:
+        ranked = dense_rank_all(queries, mails, per_query=True)
+    finally:
+        spark.conf.unset("spark.mailweave.broadcastBytes")
+    assert "ranks" in ranked.columns
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "Window" not in plan
+    as_scores = lambda df: {(r.folder, r.qid, r.Id): round(r.score, 12) for r in df.collect()}
+    fused = rrf(ranked)
+    assert fused.count() == fused.select("folder", "qid", "Id").distinct().count()
+    assert as_scores(fused) == as_scores(rrf(dense_rank_all(queries, mails)))
+
+
+def test_numbers_packed_by_bytes():
+    from mailweave.operators.dense import _packed, _unpacked
+
+    for values in (np.array([3, -1, 1 << 60, 0]), np.array([[0.5, -2.0], [np.inf, 1e-300]])):
+        assert (_unpacked(_packed(values), values.dtype.type) == values.ravel()).all()
+
+
 def test_leaders_keep_ties_and_drop_what_is_not_finite(spark, monkeypatch):
     monkeypatch.setattr("mailweave.operators.dense.TILE", 3)
     rows = [("inbox", j, [float(x)]) for j, x in enumerate([1, 2, 2, 3, 3, 3, "nan", 1, 3, 2, "inf", 3])]
@@ -268,6 +295,35 @@ def test_combine_equals_dense_fill(spark, n):
         assert got.get(q, []) == want, q
 
 
+@pytest.mark.parametrize("hits_only", [False, True])
+@pytest.mark.parametrize("sides", ["both", "sem", "kw"])
+def test_full_ranking_by_query_of_odd_rows(spark, monkeypatch, sides, hits_only):
+    """Repeated and null ids, scores and keys; repeated and unknown queries; folders without a mail."""
+    nan = float("nan")
+    sem = scores(spark, [
+        *[("inbox", 1, i, 0.1 * i - 0.3) for i in range(6)], ("inbox", 1, 2, 0.7), ("inbox", 1, None, 0.2), ("inbox", 1, 8, None),
+        *[("inbox", 2, i, 0.5) for i in range(12)], ("inbox", 3, 1, nan), ("inbox", 3, 2, 1.0), ("sent", 4, 20, 2.0),
+        ("gone", 1, 1, 1.0), ("gone", 1, 2, 0.5), ("inbox", 9, 1, 0.4), ("inbox", 9, 2, 0.6), (None, 1, 1, 1.0), ("inbox", None, 1, 1.0),
+    ])
+    kw = scores(spark, [
+        ("inbox", 1, 2, 4.0), ("inbox", 1, 2, 5.0), ("inbox", 1, 4, 1.0), ("inbox", 1, 7, 2.0), ("inbox", 1, 7, 2.0), ("inbox", 1, None, 3.0),
+        ("inbox", 2, 3, 1.0), ("sent", 5, 20, 1.5), ("sent", 5, 21, 2.5), ("inbox", 9, 2, 1.0), (None, 1, 1, 1.0),
+    ])
+    queries = [(1, "one"), (2, "two words"), (2, "two words and many more of them"), (3, "c"), (4, "d"), (5, "e"), (None, "f")]
+    queries = spark.createDataFrame(queries, "qid bigint, query string")
+    mails = [("inbox", i) for i in [*range(10), 9, 9, None]] + [("sent", i) for i in (20, 21, 22)] + [(None, 5)]
+    corpus = spark.createDataFrame(mails, "folder string, Id bigint")
+    sem, kw = None if sides == "kw" else sem, None if sides == "sem" else kw
+    in_order = lambda df: sorted((tuple(f"{x:.9g}" if isinstance(x, float) else str(x) for x in r) for r in df.collect()))
+    spark.conf.set("spark.mailweave.broadcastBytes", "0")
+    want = in_order(combine(sem, kw, queries, corpus, None, hits_only))
+    spark.conf.unset("spark.mailweave.broadcastBytes")
+    # Scores are shuffled once: none is stored.
+    monkeypatch.setattr(fusion, "stored", lambda *_: 1 / 0)
+    found = combine(sem, kw, queries, corpus, None, hits_only)
+    assert in_order(found) == want and found.columns == ["folder", "qid", "Id", "score", "rank"]
+
+
 def test_combine_hits_only(spark):
     queries = spark.createDataFrame([(1, "a")], "qid bigint, query string")
     corpus = spark.createDataFrame([("inbox", i) for i in range(5)], "folder string, Id bigint")
