@@ -156,6 +156,27 @@ def test_greatest_score_of_a_query(spark, request, monkeypatch, large):
     assert {(r.folder, r.qid, r.Id): round(r.score, 9) for r in rows.collect()} == want
 
 
+@pytest.mark.parametrize("most", [1 << 16, 20])
+def test_variants_of_a_query_meet_in_one_block(spark, tiny_broadcast, monkeypatch, most):
+    """A mail then has one row for a query, unless the query needs several blocks."""
+    from mailweave.operators import dense
+
+    monkeypatch.setattr(dense, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(dense, "MOST_BLOCK_ROWS", most, raising=False)
+    mails, _, values = vectors(spark)
+    rng = np.random.default_rng(6)
+    wanted = rng.normal(size=(120, 8)).astype(np.float32)
+    asked = [(i % 3, i, [float(x) for x in v]) for i, v in enumerate(wanted)]
+    queries = spark.createDataFrame(asked, "qid bigint, variant_no int, embedding array<float>")
+    rows = dense_scores(queries, mails, per_query=True).collect()
+    assert len(rows) == 3 * 60 if most > 1000 else 3 * 60 <= len(rows) <= 3 * 60 * 2
+    best = {}
+    for r in rows:
+        best[(r.qid, r.Id)] = max(r.score, best.get((r.qid, r.Id), -99.0))
+    products = wanted.astype(float) @ values.astype(float).T
+    assert all(s == pytest.approx(products[q::3, j].max(), abs=1e-9) for (q, j), s in best.items()) and len(best) == 180
+
+
 def test_ranks_of_a_query_need_no_shuffle_of_pairs(spark):
     """Also with repeated variants and mails, which are rows of the same list."""
     mails, queries, _ = vectors(spark)
