@@ -517,3 +517,22 @@ def test_words_of_many_mails_are_hashed_once(spark):
         assert rows(words.mapInArrow(encode._hashed(["Id"], dim, 16, 4), "Id int, embedding array<float>")) == want
     plan = encode.embed(df, "text")._jdf.queryExecution().optimizedPlan().toString()
     assert "md5" not in plan and "MapInArrow" in plan
+
+
+def test_shuffles_of_a_stored_table_are_dropped(spark):
+    from mailweave import session
+
+    def held():
+        return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+
+    df = spark.range(1000).repartition(3, "id")
+    before = held()
+    kept = session.stored(df, "spread")
+    assert held() <= before and kept.count() == 1000
+    assert spark.conf.get(session.CLEANUP_CONF, "false") == "false"
+    # The same rows can still be computed again.
+    assert session.stored(df, "spread").count() == df.count() == 1000
+    spark.conf.set(session.CLEANUP_CONF, "true")
+    session.stored(df, "spread")
+    assert spark.conf.get(session.CLEANUP_CONF) == "true"
+    spark.conf.unset(session.CLEANUP_CONF)
